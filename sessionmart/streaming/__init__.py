@@ -1,0 +1,11 @@
+"""Streaming.
+
+The pipeline this package reproduces is batch-only: every model is a full
+rebuild over its inputs, with no incremental model, watermark, trigger or
+late-data rule. Nothing here is streaming, so this package only documents that
+fact. The batch plans are incremental-friendly nonetheless: every model is
+partitioned by (symbol, session_date), so a caller can rebuild a range of
+sessions with ``sources.read_bars(..., sessions=(first, last))`` and overwrite
+only those ``session_date`` partitions (``sinks.write_partitioned`` uses dynamic
+partition overwrite).
+"""
