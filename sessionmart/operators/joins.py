@@ -86,10 +86,10 @@ def set_overlap(a: DataFrame, b: DataFrame, keys: Sequence[str],
 
     agg = j.agg(cnt(in_a).alias(f"{a_name}_total"),
                 cnt(in_b).alias(f"{b_name}_total"),
-                cnt(in_a & in_b).alias("both"),
+                cnt(in_a & in_b).alias("in_both"),
                 cnt(in_a & ~in_b).alias(f"{a_name}_only"),
                 cnt(~in_a & in_b).alias(f"{b_name}_only"))
     return agg.withColumn(
         "overlap_pct",
-        F.round(F.lit(100.0) * F.col("both") / F.nullif(F.col(f"{a_name}_total").cast("double"),
+        F.round(F.lit(100.0) * F.col("in_both") / F.nullif(F.col(f"{a_name}_total").cast("double"),
                                                       F.lit(0.0)), 6))
