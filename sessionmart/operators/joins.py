@@ -40,9 +40,9 @@ def reduce_to_keys(big: DataFrame, keys: DataFrame, on: Sequence[str],
                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Semi-join ``big`` to the distinct ``keys`` when the key set is small.
 
-    The semi-join is pushed by Catalyst below aggregates and windows whose
-    grouping/partition keys cover ``on``, so a large upstream computation runs
-    only for the keys that will be joined. With too many keys the input is
+    Used before per-key work (windows / aggregates partitioned by ``on``) so
+    that work runs only for keys that will be joined; the broadcast side is
+    the distinct key set, size-checked. With too many keys the input is
     returned unchanged (the later join is exact either way).
     """
     k = keys.select(*on).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sessionmart import params as P
 from sessionmart import schemas
 from sessionmart.operators import windows as Wn
-from sessionmart.operators.joins import preserving_left_join, reduce_to_keys
+from sessionmart.operators.joins import preserving_left_join
 
 
 def entry_gate(params: P.StrategyParams = P.FROZEN):
@@ -42,20 +42,12 @@ def stage(is_winner="is_winner", is_traded="is_traded"):
             .otherwise(F.lit(P.STAGE_NEVER)))
 
 
-def setup_funnel(outcomes: DataFrame, features: DataFrame, reduce: bool = True) -> DataFrame:
+def setup_funnel(outcomes: DataFrame, features: DataFrame) -> DataFrame:
     """One row per candidate setup, enriched with session features where bars exist.
 
     LEFT join on (symbol, setup_date = session_date): a setup without bars stays
     in the funnel with has_bar_data = false, so the denominator never shrinks.
-
-    With ``reduce`` the session features are first semi-joined to the (size-
-    checked, broadcast) setup keys; Catalyst pushes that semi-join below the
-    session aggregation and the windows, so bar-level work is done only for
-    sessions that some setup refers to. The result is identical either way.
     """
-    if reduce:
-        keys = outcomes.select("symbol", F.col("setup_date").alias("session_date"))
-        features = reduce_to_keys(features, keys, ["symbol", "session_date"])
     f = features.select(
         F.col("symbol").alias("f_symbol"), F.col("session_date").alias("f_session_date"),
         "bar_count", "session_volume", "max_vwap_extension_ratio", "max_day_gain",
@@ -71,3 +63,8 @@ def setup_funnel(outcomes: DataFrame, features: DataFrame, reduce: bool = True)
         "peak_extension_ts_et", "bars_meeting_2of3",
         F.col("f_symbol").isNotNull().alias("has_bar_data"),
     )
+
+
+def setup_sessions(outcomes: DataFrame) -> DataFrame:
+    """The (symbol, session_date) keys the funnel looks up."""
+    return outcomes.select("symbol", F.col("setup_date").alias("session_date"))

@@ -16,6 +16,7 @@ costs nothing (``localCheckpoint`` would lose blocks with the executor).
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,38 +25,85 @@ from sessionmart import params as P
 from sessionmart import schemas
 from sessionmart.config import shared_dir
 from sessionmart.plans import intermediate, marts, quality_suite, staging
+from sessionmart.operators.joins import reduce_to_keys
 from sessionmart.sources import sinks
 
 
+class Models(Mapping[str, DataFrame]):
+    """Every model as a lazy DataFrame, built on first access only.
+
+    Looking up one model builds just its upstream chain; in particular the
+    size check behind the funnel's key reduction runs only when the funnel is
+    requested.
+    """
+
+    NAMES = ("stg_bars", "stg_setups", "stg_results", "session_vwap", "bars_exhaustion",
+             "session_features", "setup_outcomes", "signal_candidates", "setup_funnel")
+
+    def __init__(self, bars: DataFrame, setups: DataFrame, results: DataFrame,
+                 params: P.StrategyParams = P.FROZEN, materialize: bool = False,
+                 reduce_funnel: bool = True):
+        self._in = {"bars": bars, "setups": setups, "results": results}
+        self._params = params
+        self._materialize = materialize
+        self._reduce_funnel = reduce_funnel
+        self._built: dict[str, DataFrame] = {}
+        if materialize:
+            shared_dir(bars.sparkSession)
+
+    def _build(self, name: str) -> DataFrame:
+        p, m = self._params, self
+        if name == "stg_bars":
+            df = staging.stg_bars(self._in["bars"])
+            return df.checkpoint(eager=True) if self._materialize else df
+        if name == "stg_setups":
+            return staging.stg_setups(self._in["setups"])
+        if name == "stg_results":
+            return staging.stg_results(self._in["results"])
+        if name == "bars_exhaustion":
+            df = intermediate.bars_exhaustion(intermediate.session_vwap(m["stg_bars"]), p)
+            return df.checkpoint(eager=True) if self._materialize else df
+        if name == "session_vwap":
+            if self._materialize:
+                return m["bars_exhaustion"].select(*schemas.SESSION_VWAP_COLS)
+            return intermediate.session_vwap(m["stg_bars"])
+        if name == "session_features":
+            return intermediate.session_features(m["bars_exhaustion"], p)
+        if name == "setup_outcomes":
+            return intermediate.setup_outcomes(m["stg_setups"], m["stg_results"])
+        if name == "signal_candidates":
+            return marts.signal_candidates(m["bars_exhaustion"], p)
+        if name == "setup_funnel":
+            outcomes = m["setup_outcomes"]
+            if self._reduce_funnel:
+                # Every window partitions by session, so keeping only whole
+                # sessions that some setup refers to (before the windows) gives
+                # exactly the same feature rows for those sessions.
+                bars = reduce_to_keys(m["stg_bars"], marts.setup_sessions(outcomes),
+                                      ["symbol", "session_date"])
+                exh = intermediate.bars_exhaustion(intermediate.session_vwap(bars), p)
+                features = intermediate.session_features(exh, p)
+            else:
+                features = m["session_features"]
+            return marts.setup_funnel(outcomes, features)
+        raise KeyError(name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+
 def build_models(bars: DataFrame, setups: DataFrame, results: DataFrame,
                  params: P.StrategyParams = P.FROZEN, materialize: bool = False,
-                 reduce_funnel: bool = True) -> dict[str, DataFrame]:
-    if materialize:
-        shared_dir(bars.sparkSession)
-    stg_bars = staging.stg_bars(bars)
-    if materialize:
-        stg_bars = stg_bars.checkpoint(eager=True)
-    stg_setups = staging.stg_setups(setups)
-    stg_results = staging.stg_results(results)
-    exh = intermediate.bars_exhaustion(intermediate.session_vwap(stg_bars), params)
-    if materialize:
-        exh = exh.checkpoint(eager=True)
-    vwap = exh.select(*schemas.SESSION_VWAP_COLS)
-    features = intermediate.session_features(exh, params)
-    outcomes = intermediate.setup_outcomes(stg_setups, stg_results)
-    signals = marts.signal_candidates(exh, params)
-    funnel = marts.setup_funnel(outcomes, features, reduce=reduce_funnel)
-    return {
-        "stg_bars": stg_bars,
-        "stg_setups": stg_setups,
-        "stg_results": stg_results,
-        "session_vwap": vwap,
-        "bars_exhaustion": exh,
-        "session_features": features,
-        "setup_outcomes": outcomes,
-        "signal_candidates": signals,
-        "setup_funnel": funnel,
-    }
+                 reduce_funnel: bool = True) -> Models:
+    return Models(bars, setups, results, params, materialize, reduce_funnel)
 
 
 @dataclass
