@@ -20,7 +20,7 @@ from sessionmart import schemas
 from sessionmart.config import scratch_path
 from sessionmart.operators import windows as Wn
 from sessionmart.plans import pipeline, quality_suite, reports
-from sessionmart.sources import ingest, readers, sinks, testdata
+from sessionmart.sources import ingest, readers, testdata
 
 ROUND_DIGITS = 6
 # UTC day of the single-day scan probe (inside the test tables' date range).
@@ -228,13 +228,11 @@ def ingest_report(spark, d):
 
 
 def partitioned_roundtrip(spark, d):
-    """Universe bars written partitioned by UTC day (clustered by symbol), read
-    back from the shared folder; per-day rows, symbols and volume."""
+    """Universe bars loaded partitioned by UTC day (clustered by symbol) into the
+    shared folder, count-verified, read back; per-day rows, symbols and volume."""
     bars, u = _universe(spark, d)
     path = scratch_path(spark, "raw_bars")
-    staged = ingest.restrict_to_universe(bars, u).withColumn("utc_date", F.to_date("timestamp"))
-    sinks.write_partitioned(staged, path, partition_col="utc_date",
-                            cluster_by=("symbol", "timestamp"))
+    ingest.load_raw(ingest.restrict_to_universe(bars, u), path)
     back = readers.read_bars(spark, path).withColumn("utc_date", F.to_date("timestamp"))
     return back.groupBy("utc_date").agg(F.count(F.lit(1)).alias("rows"),
                                         F.count_distinct("symbol").alias("symbols"),

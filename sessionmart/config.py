@@ -66,6 +66,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder on shared storage; "
+                               "a machine-local folder does not survive executor loss")
         path = tempfile.mkdtemp(prefix="sessionmart-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -37,6 +37,8 @@ TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 EST_BYTES_PER_ROW = 62
 # Grain guard: a modal gap of a day or more means daily bars, not minute bars.
 DAILY_GAP_SECONDS = 86_400
+# The frozen ten-symbol development sample (bars of these symbols only).
+SAMPLE_SYMBOLS = ("GOVX", "INDO", "MI", "PDYN", "ERNA", "XTKG", "LGVN", "GFAI", "KALA", "WAFU")
 # -----------------------------------------------------------------------------------
 
 

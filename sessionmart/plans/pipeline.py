@@ -113,34 +113,49 @@ class PipelineResult:
     checks: DataFrame
 
 
-# (model, partition column) for the partitioned + clustered tables; the rest
-# are plain full-rebuild tables, and staging / exhaustion / outcomes are views.
+# Partitioned + clustered tables (by ET session_date), plain full-rebuild
+# tables, and lazy views; and the layer each model belongs to.
 PARTITIONED = {"session_vwap": "session_date", "signal_candidates": "session_date"}
 TABLES = ("session_features", "setup_funnel")
 VIEWS = ("stg_bars", "stg_setups", "stg_results", "bars_exhaustion", "setup_outcomes")
+LAYER = {"stg_bars": "staging", "stg_setups": "staging", "stg_results": "staging",
+         "session_vwap": "intermediate", "bars_exhaustion": "intermediate",
+         "session_features": "intermediate", "setup_outcomes": "intermediate",
+         "signal_candidates": "marts", "setup_funnel": "marts"}
 
 
 def run_pipeline(spark: SparkSession, bars: DataFrame, setups: DataFrame,
                  results: DataFrame, out_dir: str | None = None, target: str = "dev",
-                 params: P.StrategyParams = P.FROZEN) -> PipelineResult:
-    """Build every layer, write the tables, run the 42 checks over what was written."""
+                 params: P.StrategyParams = P.FROZEN,
+                 namespace_prefix: str | None = None) -> PipelineResult:
+    """Build every layer, write the tables, run the 42 checks over what was written.
+
+    Tables go to ``out_dir`` as Parquet folders, or -- with
+    ``namespace_prefix`` -- into one catalog namespace per layer
+    (``<prefix>_intermediate.session_vwap`` ...).
+    """
+    layers = sinks.create_layers(spark, namespace_prefix) if namespace_prefix else None
     out_dir = out_dir or os.path.join(shared_dir(spark), "warehouse")
     models = build_models(bars, setups, results, params, materialize=True,
                           reduce_funnel=False)
+
+    def target_of(name: str) -> str:
+        if layers:
+            return f"{layers[LAYER[name]]}.{name}"
+        return os.path.join(out_dir, name)
+
     tables: dict[str, str] = {}
     for name in VIEWS:
         sinks.write_view(models[name], name)
     for name, part in PARTITIONED.items():
-        path = os.path.join(out_dir, name)
-        sinks.write_partitioned(models[name], path, partition_col=part,
+        tables[name] = target_of(name)
+        sinks.write_partitioned(models[name], tables[name], partition_col=part,
                                 cluster_by=("symbol", "bar_ts_utc"))
-        tables[name] = path
     for name in TABLES:
-        path = os.path.join(out_dir, name)
-        sinks.write_table(models[name], path)
-        tables[name] = path
+        tables[name] = target_of(name)
+        sinks.write_table(models[name], tables[name])
     written = dict(models)
-    for name, path in tables.items():
-        written[name] = sinks.write_view(sinks.read_table(spark, path), name)
+    for name, tgt in tables.items():
+        written[name] = sinks.write_view(sinks.read_table(spark, tgt), name)
     checks = quality_suite.run_suite(written, target=target, params=params)
     return PipelineResult(out_dir, tables, checks)

@@ -7,8 +7,6 @@ conform to the fixed schema, report/guard, then write partitioned.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -16,6 +14,7 @@ from pyspark.sql.types import TimestampNTZType
 from sessionmart import params as P
 from sessionmart import schemas
 from sessionmart.operators.joins import sized_broadcast
+from sessionmart.sources import sinks
 from sessionmart.sources.readers import conform
 
 
@@ -28,6 +27,16 @@ def universe(results: DataFrame) -> DataFrame:
     return results.select("symbol").where(F.col("symbol").isNotNull()).distinct()
 
 
+def sorted_universe(results: DataFrame) -> DataFrame:
+    """The universe as a sorted list (ordering applied only for presentation)."""
+    return universe(results).orderBy("symbol")
+
+
+def sample_universe(spark: SparkSession, symbols=P.SAMPLE_SYMBOLS) -> DataFrame:
+    """A frozen, reviewable symbol list (the development sample) as a relation."""
+    return spark.createDataFrame([(s,) for s in symbols], "symbol string")
+
+
 def read_bar_files(spark: SparkSession, pattern: str) -> DataFrame:
     """Read a bar cache written as many files (e.g. one per symbol) in parallel.
 
@@ -141,20 +150,15 @@ def check_preconditions(spark: SparkSession, source_path: str | None = None,
         raise IngestError(f"namespace {database!r} does not exist; create it first")
 
 
-def utc_partitioned(bars: DataFrame) -> DataFrame:
-    """Raw bars plus the UTC-day partition column, range-partitioned on
-    (utc_date, symbol) so each write task covers a narrow slice of days and a
-    sorted run of symbols (tight Parquet min/max on symbol, no hot task: a
-    (day, symbol) range holds at most 1,440 bars per symbol)."""
-    return (bars.withColumn("utc_date", F.to_date(F.col("timestamp")))
-            .repartitionByRange("utc_date", "symbol")
-            .sortWithinPartitions("utc_date", "symbol", "timestamp"))
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+def load_raw(bars: DataFrame, target: str, expected_rows: int | None = None,
+             expected_symbols: int | None = None) -> tuple[int, int]:
+    """Load raw bars as the vendor sent them: partitioned by UTC day, clustered
+    by symbol, snappy Parquet; then verify the row/symbol counts of what was
+    written (raise on mismatch with the caller's expectation)."""
+    spark = bars.sparkSession
+    staged = conform(bars, schemas.BARS_NTZ).withColumn("utc_date", F.to_date("timestamp"))
+    sinks.write_partitioned(staged, target, partition_col="utc_date",
+                            cluster_by=("symbol", "timestamp"))
+    return count_guard(sinks.read_table(spark, target), expected_rows, expected_symbols)
 
 
-def local_path(path: str) -> str:
-    return path if "://" in path else os.path.abspath(path)

@@ -20,9 +20,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="sessionmart-test-ckpt-")
+    root = tempfile.mkdtemp(prefix="sessionmart-test-")
     s = get_session(master="local[4]", shuffle_partitions=4,
-                    extra={"spark.checkpoint.dir": ckpt})
+                    extra={"spark.checkpoint.dir": os.path.join(root, "ckpt"),
+                           "spark.sql.warehouse.dir": os.path.join(root, "warehouse")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -110,3 +110,33 @@ def test_layers_namespaces(spark):
     names = sinks.create_layers(spark, prefix="smtest")
     for db in names.values():
         assert spark.catalog.databaseExists(db)
+
+
+def test_catalog_tables_per_layer(spark):
+    bars, setups, results = testdata.load_inputs(spark, SF001)
+    res = pipeline.run_pipeline(spark, bars, setups, results, namespace_prefix="smlayer")
+    assert res.tables["session_vwap"] == "smlayer_intermediate.session_vwap"
+    assert res.tables["setup_funnel"] == "smlayer_marts.setup_funnel"
+    assert spark.table("smlayer_marts.setup_funnel").count() == setups.count()
+    assert all(r["status"] == "pass" for r in res.checks.collect())
+
+
+def test_read_bars_from_table_name(spark):
+    bars, _, _ = testdata.load_inputs(spark, SF001)
+    sinks.create_layers(spark, prefix="smraw")
+    bars.write.mode("overwrite").saveAsTable("smraw_raw.bars_1min")
+    back = readers.read_bars(spark, "smraw_raw.bars_1min")
+    assert back.schema == schemas.BARS_NTZ
+    assert back.exceptAll(bars).count() == 0
+
+
+def test_load_raw_and_sample_universe(spark, tmp_dir):
+    bars, _, _ = testdata.load_inputs(spark, SF001)
+    n = bars.count()
+    p = os.path.join(tmp_dir, "raw")
+    assert ingest.load_raw(bars, p, expected_rows=n)[0] == n
+    with pytest.raises(ingest.IngestError):
+        ingest.load_raw(bars, os.path.join(tmp_dir, "raw2"), expected_rows=n + 1)
+    sample = ingest.sample_universe(spark)
+    assert sample.count() == 10
+    assert ingest.restrict_to_universe(bars, sample).count() == 0   # synthetic symbols differ
