@@ -53,12 +53,10 @@ def write_partitioned(df: DataFrame, target: str, partition_col: str = "session_
     statistics on the cluster columns, and no task owns a whole partition
     value (no hot day).
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     keys = [partition_col, *cluster_by]
     laid_out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = (laid_out.write.mode(mode).format("parquet").option("compression", "snappy")
-         .partitionBy(partition_col))
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col))
     if _is_table(target):
         w.saveAsTable(target)
     else:
