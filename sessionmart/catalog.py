@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from sessionmart import params as P
 from sessionmart import schemas
 from sessionmart.config import scratch_path
+from sessionmart.functions import is_regular_session, round_scaled
 from sessionmart.operators import windows as Wn
 from sessionmart.plans import pipeline, quality_suite, reports
 from sessionmart.sources import ingest, readers, testdata
@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def round_doubles(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
+        round_scaled(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])
@@ -64,7 +64,7 @@ def signal_setup_overlap(spark, d):
 
 def running_vwap(spark, d):
     stg = models(spark, d)["stg_bars"]
-    reg = stg.where(F.col("session_phase") == F.lit(P.PHASE_REGULAR)).withColumn(
+    reg = stg.where(is_regular_session("bar_time_et")).withColumn(
         "typical_price",
         (F.col("high_price") + F.col("low_price") + F.col("close_price")) / F.lit(3.0))
     cum = Wn.with_running_vwap(reg)

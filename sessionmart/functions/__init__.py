@@ -4,6 +4,8 @@ from sessionmart.functions.scalar import (
     bool_to_int,
     fraction_from_percent,
     int_flag,
+    is_regular_session,
+    round_scaled,
     safe_div,
     session_phase,
     surrogate_key,
@@ -16,6 +18,8 @@ __all__ = [
     "bool_to_int",
     "fraction_from_percent",
     "int_flag",
+    "is_regular_session",
+    "round_scaled",
     "safe_div",
     "session_phase",
     "surrogate_key",

@@ -49,6 +49,13 @@ def time_of_day(ts: Column | str) -> Column:
     return F.date_format(_col(ts), P.TIME_OF_DAY_FORMAT)
 
 
+def is_regular_session(tod: Column | str) -> Column:
+    """``tod`` in [09:30, 16:00) -- exactly ``session_phase(tod) = 'regular'``,
+    written as a plain range test so a pushed-down filter stays cheap."""
+    t = _col(tod)
+    return (t >= F.lit(P.tod(P.REGULAR_START))) & (t < F.lit(P.tod(P.REGULAR_END)))
+
+
 def session_phase(tod: Column | str) -> Column:
     """Searched CASE over the ET time of day.
 
@@ -56,8 +63,8 @@ def session_phase(tod: Column | str) -> Column:
     postmarket -- including 00:00-04:00 (a stated boundary of the definition).
     """
     t = _col(tod)
-    reg0, reg1, pre0 = P.tod(P.REGULAR_START), P.tod(P.REGULAR_END), P.tod(P.PREMARKET_START)
-    return (F.when((t >= F.lit(reg0)) & (t < F.lit(reg1)), F.lit(P.PHASE_REGULAR))
+    reg0, pre0 = P.tod(P.REGULAR_START), P.tod(P.PREMARKET_START)
+    return (F.when(is_regular_session(t), F.lit(P.PHASE_REGULAR))
             .when((t >= F.lit(pre0)) & (t < F.lit(reg0)), F.lit(P.PHASE_PREMARKET))
             .otherwise(F.lit(P.PHASE_POSTMARKET)))
 
@@ -101,3 +108,15 @@ def int_flag(c: Column | str) -> Column:
 def fraction_from_percent(c: Column | str) -> Column:
     """Percent (66.5) -> fraction (0.665)."""
     return _col(c).cast("double") / F.lit(100.0)
+
+
+def round_scaled(c: Column | str, digits: int = 6) -> Column:
+    """Round a double to ``digits`` places as ``round(c * 10^d) / 10^d``.
+
+    Rounds the binary value (half away from zero on the scaled product), so a
+    value whose decimal text ends in 5 at digit d+1 but whose binary value lies
+    just below it rounds down -- the same result other engines give for their
+    ``round(x, d)`` on doubles.
+    """
+    scale = F.lit(float(10 ** digits))
+    return F.round(_col(c) * scale) / scale

@@ -91,5 +91,5 @@ def set_overlap(a: DataFrame, b: DataFrame, keys: Sequence[str],
                 cnt(~in_a & in_b).alias(f"{b_name}_only"))
     return agg.withColumn(
         "overlap_pct",
-        F.round(F.lit(100.0) * F.col("in_both") / F.nullif(F.col(f"{a_name}_total").cast("double"),
-                                                      F.lit(0.0)), 6))
+        F.lit(100.0) * F.col("in_both") / F.nullif(F.col(f"{a_name}_total").cast("double"),
+                                                   F.lit(0.0)))

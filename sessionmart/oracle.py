@@ -416,7 +416,7 @@ ORACLE: dict[str, str] = {
         "SELECT session_date, count(*) AS signals FROM signal_candidates GROUP BY session_date",
         ["session_date", "signals"]),
     "signal_setup_overlap": over(
-        """SELECT *, round(100.0 * in_both / nullif(CAST(backtest_total AS DOUBLE), 0.0), 6) AS overlap_pct
+        """SELECT *, 100.0 * in_both / nullif(CAST(backtest_total AS DOUBLE), 0.0) AS overlap_pct
            FROM (SELECT CAST(sum(CASE WHEN a IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS backtest_total,
                         CAST(sum(CASE WHEN b IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS signal_total,
                         CAST(sum(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS in_both,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sessionmart import params as P
 from sessionmart import schemas
-from sessionmart.functions import bool_to_int, safe_div
+from sessionmart.functions import bool_to_int, is_regular_session, safe_div
 from sessionmart.operators import windows as Wn
 from sessionmart.operators.aggregates import count_if, min_where
 from sessionmart.operators.joins import preserving_left_join
@@ -26,7 +26,9 @@ def session_vwap(stg: DataFrame) -> DataFrame:
     first existing bar at or after 09:30 ET (not a literal 09:30 bar).
     day_high / day_gain are running values ("so far"), not session finals.
     """
-    regular = stg.where(F.col("session_phase") == F.lit(P.PHASE_REGULAR))
+    # session_phase = 'regular', stated as the equivalent range test on the
+    # time of day (cheaper once Catalyst pushes it below the source).
+    regular = stg.where(is_regular_session("bar_time_et"))
     tp = regular.withColumn(
         "typical_price",
         (F.col("high_price") + F.col("low_price") + F.col("close_price")) / F.lit(3.0))

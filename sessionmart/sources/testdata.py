@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from sessionmart.functions import safe_div, to_et
+from sessionmart.functions import round_scaled, safe_div, to_et
 
 SETUP_EVENTS = ("signup", "view")
 RESULT_EVENTS = ("purchase", "error")
@@ -94,7 +94,7 @@ def results_from_events(ev: DataFrame) -> DataFrame:
                 F.count(F.lit(1)).cast("int").alias("days_up"),
                 F.sum("k").cast("bigint").alias("volume"),
                 F.sum(F.when(is_buy, F.lit(1)).otherwise(F.lit(0))).cast("int").alias("trades"),
-                F.round(F.sum(F.when(is_buy, F.col("value")).otherwise(-F.col("value"))), 6)
+                round_scaled(F.sum(F.when(is_buy, F.col("value")).otherwise(-F.col("value"))), 6)
                 .alias("pnl")))
     traded = F.col("trades") > F.lit(0)
     return agg.select(

@@ -68,8 +68,9 @@ def compare(spark_df, con, sql: str) -> dict:
         "values_match": digest(s_rows) == digest(d_rows),
     }
     if not out["values_match"]:
-        diff_s = [r for r in s_rows if r not in set(d_rows)][:3]
-        diff_d = [r for r in d_rows if r not in set(s_rows)][:3]
+        s_set, d_set = set(s_rows), set(d_rows)
+        diff_s = [r for r in s_rows if r not in d_set][:3]
+        diff_d = [r for r in d_rows if r not in s_set][:3]
         out["example_spark_only"] = diff_s
         out["example_oracle_only"] = diff_d
         out["cols"] = (s_cols, d_cols)
