@@ -1,13 +1,13 @@
 """Compose the models, optionally materialise them, write the layers, run checks.
 
 ``build_models`` returns every model as a lazy DataFrame over one shared
-lineage. With ``materialize=True`` the two expensive relations are cut with a
-reliable ``checkpoint()`` into the shared folder (``spark.checkpoint.dir``):
-
-* ``stg_bars`` -- read by the VWAP model and by eight checks;
-* ``bars_exhaustion`` -- the window table. A checkpoint keeps its
-  hash partitioning on (symbol, session_date), so ``session_features`` and
-  ``signal_candidates`` run on it without another shuffle.
+lineage. With ``materialize=True`` the window table (``bars_exhaustion``, of
+which ``session_vwap`` is a projection) is cut with a reliable
+``checkpoint()`` into the shared folder (``spark.checkpoint.dir``). The
+checkpoint keeps its hash partitioning on (symbol, session_date), so
+``session_features`` and ``signal_candidates`` run on it without another
+shuffle. Staging stays a view: it is a projection of the source, and
+re-reading the column-pruned source costs less than writing a copy of it.
 
 Checkpoints are written to shared storage, so losing an executor afterwards
 costs nothing (``localCheckpoint`` would lose blocks with the executor).
@@ -54,8 +54,9 @@ class Models(Mapping[str, DataFrame]):
     def _build(self, name: str) -> DataFrame:
         p, m = self._params, self
         if name == "stg_bars":
-            df = staging.stg_bars(self._in["bars"])
-            return df.checkpoint(eager=True) if self._materialize else df
+            # A view: re-reading the column-pruned source is cheaper than
+            # writing a full copy of every bar.
+            return staging.stg_bars(self._in["bars"])
         if name == "stg_setups":
             return staging.stg_setups(self._in["setups"])
         if name == "stg_results":
