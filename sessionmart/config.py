@@ -51,6 +51,28 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+           broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Partition settings for a given input size and cluster width.
+
+    * file splits of ``target_partition_bytes`` (fewer, larger scan tasks at
+      100 TB: ~400k splits of 256 MB instead of ~800k of 128 MB);
+    * initial shuffle partitions so a partition holds about one split's worth
+      of data, never fewer than 2x the cores; AQE then coalesces small ones
+      toward the same advisory size and splits skewed ones;
+    * a broadcast threshold that AQE applies to *measured* shuffle sizes.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 16),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def apply_session_conf(spark: SparkSession) -> None:
     """Pin the runtime SQL settings on an existing session (e.g. one the caller built)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",

@@ -140,3 +140,10 @@ def test_load_raw_and_sample_universe(spark, tmp_dir):
     sample = ingest.sample_universe(spark)
     assert sample.count() == 10
     assert ingest.restrict_to_universe(bars, sample).count() == 0   # synthetic symbols differ
+
+
+def test_sizing_for_100tb():
+    from sessionmart.config import sizing
+    conf = sizing(100 << 40, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(sizing(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
