@@ -15,7 +15,7 @@ from sessionmart import params as P
 from sessionmart import schemas
 from sessionmart.operators.joins import sized_broadcast
 from sessionmart.sources import sinks
-from sessionmart.sources.readers import conform
+from sessionmart.sources.readers import conform, conform_columns
 
 
 class IngestError(RuntimeError):
@@ -40,11 +40,17 @@ def sample_universe(spark: SparkSession, symbols=P.SAMPLE_SYMBOLS) -> DataFrame:
 def read_bar_files(spark: SparkSession, pattern: str) -> DataFrame:
     """Read a bar cache written as many files (e.g. one per symbol) in parallel.
 
-    Several files may hold the same bar; they are deduplicated on the natural
-    key (symbol, timestamp) so the result does not depend on file order.
+    Several files may hold the same bar. One copy per natural key
+    (symbol, timestamp) is kept: the one from the first file by path, so the
+    result never depends on listing order or on which task attempt ran. It is
+    an aggregate, so even a huge group of copies collapses map-side.
     """
-    df = conform(spark.read.parquet(pattern), schemas.BARS_NTZ)
-    return df.dropDuplicates(["symbol", "timestamp"])
+    raw = spark.read.parquet(pattern)
+    df = raw.select(*conform_columns(raw, schemas.BARS_NTZ), F.input_file_name().alias("_file"))
+    values = [c for c in schemas.BARS_NTZ.names if c not in ("symbol", "timestamp")]
+    one = df.groupBy("symbol", "timestamp").agg(
+        F.min_by(F.struct(*values), F.col("_file")).alias("b"))
+    return one.select("timestamp", *[F.col(f"b.{c}").alias(c) for c in values], "symbol")
 
 
 def restrict_to_universe(bars: DataFrame, symbols: DataFrame) -> DataFrame:

@@ -12,11 +12,8 @@ from sessionmart import schemas
 from sessionmart.functions import to_utc_ntz
 
 
-def conform(df: DataFrame, target: StructType) -> DataFrame:
-    """Fix names, order and types (ANSI casts: bad values fail loudly).
-
-    Timestamps become the zone-less UTC wall clock; extra columns are dropped.
-    """
+def conform_columns(df: DataFrame, target: StructType) -> list:
+    """The projection that fixes names, order and types of ``df`` to ``target``."""
     cols = []
     for f in target.fields:
         src_type = df.schema[f.name].dataType
@@ -24,7 +21,15 @@ def conform(df: DataFrame, target: StructType) -> DataFrame:
             cols.append(to_utc_ntz(F.col(f.name), src_type).alias(f.name))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return cols
+
+
+def conform(df: DataFrame, target: StructType) -> DataFrame:
+    """Fix names, order and types (ANSI casts: bad values fail loudly).
+
+    Timestamps become the zone-less UTC wall clock; extra columns are dropped.
+    """
+    return df.select(*conform_columns(df, target))
 
 
 def read_bars(spark: SparkSession, source: str | DataFrame,

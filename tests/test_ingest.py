@@ -48,10 +48,12 @@ def test_grain_guard_detects_daily_bars(spark):
 
 def test_dedup_of_overlapping_files(spark, tmp_dir):
     t = dt.datetime(2024, 1, 16, 15, 0)
-    b = bars_df(spark, [(t, 1, 2, 1, 2, 5, "A")])
-    b.write.parquet(os.path.join(tmp_dir, "A_1min_a.parquet"))
-    b.write.parquet(os.path.join(tmp_dir, "A_1min_b.parquet"))
-    assert ingest.read_bar_files(spark, os.path.join(tmp_dir, "A_1min_*.parquet")).count() == 1
+    bars_df(spark, [(t, 1, 2, 1, 2, 5, "A")]).write.parquet(os.path.join(tmp_dir, "A_1min_b.parquet"))
+    bars_df(spark, [(t, 1, 3, 1, 3, 7, "A")]).write.parquet(os.path.join(tmp_dir, "A_1min_a.parquet"))
+    out = ingest.read_bar_files(spark, os.path.join(tmp_dir, "A_1min_*.parquet"))
+    assert out.schema == schemas.BARS_NTZ
+    rows = out.collect()
+    assert len(rows) == 1 and rows[0]["volume"] == 7.0       # the copy from the first file by path
 
 
 def test_preconditions(spark, tmp_dir):
