@@ -239,6 +239,19 @@ def partitioned_roundtrip(spark, d):
                                         F.sum("volume").alias("volume"))
 
 
+def seed_csv_roundtrip(spark, d):
+    """Setup and result seeds written as header CSV to the shared folder, read
+    back with their declared types (FAILFAST), staged and joined to outcomes."""
+    _, setups, results = testdata.load_inputs(spark, d)
+    s_path, r_path = scratch_path(spark, "setups_csv"), scratch_path(spark, "results_csv")
+    setups.write.option("header", True).csv(s_path)
+    results.write.option("header", True).csv(r_path)
+    m = pipeline.build_models(testdata.bars_from_events(testdata.events(spark, d)),
+                              readers.read_setups(spark, s_path),
+                              readers.read_results(spark, r_path))
+    return m["setup_outcomes"]
+
+
 REGISTRY: dict[str, Query] = {
     # models
     "stg_bars": _model("stg_bars"),
@@ -288,6 +301,7 @@ REGISTRY: dict[str, Query] = {
     # ingest
     "ingest_report": ingest_report,
     "partitioned_roundtrip": partitioned_roundtrip,
+    "seed_csv_roundtrip": seed_csv_roundtrip,
 }
 
 

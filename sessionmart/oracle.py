@@ -514,6 +514,7 @@ ORACLE: dict[str, str] = {
            FROM universe u LEFT JOIN
                 (SELECT symbol, count(*) AS n FROM raw_bars GROUP BY symbol) c USING (symbol)""",
         ["symbols_total", "symbols_resolved", "symbols_missing", "rows", "est_logical_bytes"]),
+    "seed_csv_roundtrip": select("setup_outcomes", OUTCOMES),
     "partitioned_roundtrip": over(
         """SELECT CAST("timestamp" AS DATE) AS utc_date, count(*) AS rows,
                   count(DISTINCT symbol) AS symbols, sum(volume) AS volume
