@@ -9,8 +9,9 @@ A check is declared once (``Check``) and has two readings:
 
 The summary is computed in as few passes as possible: all row-level checks of
 one model (not_null, accepted_values, expression checks) share a single
-aggregation over that model; key checks (unique, unique_combination) are one
-``groupBy`` each; reference checks (relationships) are one anti join each.
+aggregation over that model; key checks (unique, unique_combination) shuffle
+64-bit key hashes first and group real keys only for colliding hashes
+(``duplicate_keys``); reference checks (relationships) are one anti join each.
 
 Failure counts follow the usual generic-test semantics:
   not_null            rows where the column is NULL
@@ -108,18 +109,40 @@ def violations(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
         return (df.where(_row_predicate(check, df))
                 .groupBy(F.col(c).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records")))
     if check.kind in (UNIQUE, UNIQUE_COMBINATION):
-        cols = list(check.columns)
-        nn = F.lit(True)
-        if check.kind == UNIQUE:
-            nn = F.col(cols[0]).isNotNull()
-        return (df.where(nn).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
-                .where(F.col("n_records") > F.lit(1)))
+        base = df.where(F.col(check.columns[0]).isNotNull()) if check.kind == UNIQUE else df
+        return duplicate_keys(base, list(check.columns))
     if check.kind == RELATIONSHIPS:
         parent = models[check.to_model].select(F.col(check.to_field).alias(check.columns[0]))
         return anti_join(df.select(check.columns[0]), parent, check.columns[0])
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+# Most colliding 64-bit hashes the key check narrows to before it falls back
+# to grouping every key (bounded list, collected to build an IN-set filter).
+MAX_HASH_CANDIDATES = 100_000
+
+
+def duplicate_keys(df: DataFrame, cols: list[str],
+                   max_candidates: int = MAX_HASH_CANDIDATES) -> DataFrame:
+    """Key values occurring more than once, with their counts (exact).
+
+    Two phases, so the big shuffle moves 8-byte hashes instead of full keys:
+    1. count rows per 64-bit hash of the key (map-side partial counts) and
+       keep hashes seen more than once -- every duplicated key is among them;
+    2. group the real keys of only the rows whose hash is a candidate.
+    Clean data has (almost) no candidates, making phase 2 an empty scan. With
+    more than ``max_candidates`` candidates all keys are grouped directly.
+    """
+    h = F.xxhash64(*cols)
+    cand = (df.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > F.lit(1)).select("_h"))
+    hashes = [r[0] for r in cand.limit(max_candidates + 1).collect()]
+    if len(hashes) <= max_candidates:
+        df = df.where(h.isin(hashes)) if hashes else df.where(F.lit(False))
+    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
+            .where(F.col("n_records") > F.lit(1)))
+
+
 def _summary_row(check: Check, count: Column) -> list[Column]:
     return [F.lit(check.name).alias("check_name"), F.lit(check.model).alias("model"),
             F.lit(check.severity).alias("severity"), count.cast("bigint").alias("violations")]

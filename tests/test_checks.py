@@ -101,3 +101,13 @@ def test_relationship_severity_depends_on_target(spark):
         row = res.where(F.col("check_name").startswith("relationships")).first()
         if row["violations"]:
             assert row["status"] == status
+
+
+def test_duplicate_keys_two_phase_is_exact(spark):
+    rows = [(i % 50, i % 7) for i in range(500)] + [(1000, 1), (1000, 1), (None, 2), (None, 2)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    direct = df.groupBy("a", "b").count().where("count > 1").count()
+    assert Q.duplicate_keys(df, ["a", "b"]).count() == direct
+    assert Q.duplicate_keys(df, ["a", "b"], max_candidates=1).count() == direct   # fallback path
+    uniq = spark.range(10_000).select(F.col("id").alias("a"))
+    assert Q.duplicate_keys(uniq, ["a"]).count() == 0
