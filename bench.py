@@ -72,8 +72,11 @@ def pruning(spark, sf_dir: str, scratch: str) -> dict:
     full_b, full_f = scanned(readers.read_bars(spark, path).agg(F.sum("volume")))
     one = spark.read.parquet(path).where(F.col("utc_date") == F.lit(day)).agg(F.sum("volume"))
     day_b, day_f = scanned(one)
+    # one ET session through the reader's session predicate (UTC days d, d+1)
+    ses_b, ses_f = scanned(readers.read_bars(spark, path, sessions=(day, day)).agg(F.sum("volume")))
     return {"full_bytes": full_b, "full_files": full_f, "day_bytes": day_b, "day_files": day_f,
-            "factor": round(full_b / day_b, 1) if day_b else None, "day": day.isoformat()}
+            "factor": round(full_b / day_b, 1) if day_b else None, "day": day.isoformat(),
+            "session_bytes": ses_b, "session_files": ses_f}
 
 
 def main() -> None:
