@@ -149,3 +149,22 @@ def test_sizing_for_100tb():
     conf = sizing(100 << 40, total_cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert int(sizing(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_cli_ingest_then_build(spark, tmp_dir, capsys):
+    from sessionmart.__main__ import main
+    bars, setups, results = testdata.load_inputs(spark, SF001)
+    cache = os.path.join(tmp_dir, "cache")
+    for i, part in enumerate(bars.randomSplit([0.5, 0.5], seed=1)):
+        part.write.parquet(os.path.join(cache, f"P{i}_1min_all.parquet"))
+    s_csv, r_csv = os.path.join(tmp_dir, "setups"), os.path.join(tmp_dir, "results")
+    setups.write.option("header", True).csv(s_csv)
+    results.write.option("header", True).csv(r_csv)
+    raw = os.path.join(tmp_dir, "raw")
+    assert main(["ingest", "--cache", os.path.join(cache, "*_1min_*.parquet"),
+                 "--results", r_csv, "--out", raw]) == 0
+    universe_rows = ingest.restrict_to_universe(bars, ingest.universe(results)).count()
+    assert spark.read.parquet(raw).count() == universe_rows
+    assert main(["build", "--bars", raw, "--setups", s_csv, "--results", r_csv,
+                 "--out", os.path.join(tmp_dir, "wh")]) == 0
+    assert '"failed": 0' in capsys.readouterr().out
