@@ -186,3 +186,15 @@ def test_single_exchange_for_all_windows(spark):
     exh = pipeline.build_models(bars, setups, results)["bars_exhaustion"]
     plan = exh._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(symbol") == 1
+
+
+def test_known_counts_on_test_tables(spark):
+    """Regression guard on the adapters + models (figures cross-checked with DuckDB)."""
+    from conftest import SF01
+    from sessionmart.plans import reports
+    bars, setups, results = testdata.load_inputs(spark, SF01)
+    m = pipeline.build_models(bars, setups, results)
+    assert m["signal_candidates"].count() == 108
+    k = reports.kpi_summary(m["setup_funnel"]).first()
+    assert (k["candidates"], k["traded"], k["won"]) == (2651, 933, 765)
+    assert m["setup_funnel"].where("has_bar_data").count() == 1500
