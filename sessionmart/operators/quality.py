@@ -9,8 +9,9 @@ A check is declared once (``Check``) and has two readings:
 
 The summary is computed in as few passes as possible: all row-level checks of
 one model (not_null, accepted_values, expression checks) share a single
-aggregation over that model; key checks (unique, unique_combination) shuffle
-64-bit key hashes first and group real keys only for colliding hashes
+aggregation over that model; key checks (unique, unique_combination) are one
+``groupBy`` each -- on bar-grain models (``hashed=True``) they shuffle 64-bit
+key hashes first and group real keys only for colliding hashes
 (``duplicate_keys``); reference checks (relationships) are one anti join each.
 
 Failure counts follow the usual generic-test semantics:
@@ -56,14 +57,17 @@ class Check:
     predicate: Callable[[DataFrame], Column] | None = field(default=None, compare=False)
     # For EXPRESSION checks: the columns reported for each violating row.
     report: tuple[str, ...] = ()
+    # For key checks on bar-grain models: shuffle key hashes first.
+    hashed: bool = False
 
 
 def not_null(model: str, col: str, severity: str = "error") -> Check:
     return Check(f"not_null_{model}_{col}", model, NOT_NULL, (col,), severity=severity)
 
 
-def unique(model: str, col: str, severity: str = "error") -> Check:
-    return Check(f"unique_{model}_{col}", model, UNIQUE, (col,), severity=severity)
+def unique(model: str, col: str, severity: str = "error", hashed: bool = False) -> Check:
+    return Check(f"unique_{model}_{col}", model, UNIQUE, (col,), severity=severity,
+                 hashed=hashed)
 
 
 def unique_combination(model: str, cols: Sequence[str], severity: str = "error") -> Check:
@@ -110,7 +114,10 @@ def violations(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
                 .groupBy(F.col(c).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records")))
     if check.kind in (UNIQUE, UNIQUE_COMBINATION):
         base = df.where(F.col(check.columns[0]).isNotNull()) if check.kind == UNIQUE else df
-        return duplicate_keys(base, list(check.columns))
+        if check.hashed:
+            return duplicate_keys(base, list(check.columns))
+        return (base.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n_records"))
+                .where(F.col("n_records") > F.lit(1)))
     if check.kind == RELATIONSHIPS:
         parent = models[check.to_model].select(F.col(check.to_field).alias(check.columns[0]))
         return anti_join(df.select(check.columns[0]), parent, check.columns[0])

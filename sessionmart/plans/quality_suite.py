@@ -41,11 +41,13 @@ def outside_hours_predicate(params: P.StrategyParams = P.FROZEN):
 
 
 def suite(target: str = "dev", params: P.StrategyParams = P.FROZEN) -> list[Q.Check]:
+    """The 42 checks. Key uniqueness on the three bar-grain models (every bar)
+    uses the hashed two-phase form; the smaller models group keys directly."""
     rel_severity = "error" if target == "prod" else "warn"
     nn, un, av = Q.not_null, Q.unique, Q.accepted_values
     return [
         # stg_bars (7)
-        un("stg_bars", "bar_key"), nn("stg_bars", "bar_key"), nn("stg_bars", "symbol"),
+        un("stg_bars", "bar_key", hashed=True), nn("stg_bars", "bar_key"), nn("stg_bars", "symbol"),
         nn("stg_bars", "bar_ts_utc"), nn("stg_bars", "bar_ts_et"),
         nn("stg_bars", "session_date"), av("stg_bars", "session_phase", PHASES),
         # stg_setups (3)
@@ -55,10 +57,10 @@ def suite(target: str = "dev", params: P.StrategyParams = P.FROZEN) -> list[Q.Ch
         # stg_results (2)
         nn("stg_results", "symbol"), nn("stg_results", "setup_date"),
         # session_vwap (4)
-        un("session_vwap", "bar_key"), nn("session_vwap", "bar_key"),
+        un("session_vwap", "bar_key", hashed=True), nn("session_vwap", "bar_key"),
         nn("session_vwap", "symbol"), nn("session_vwap", "session_date"),
         # bars_exhaustion (3)
-        un("bars_exhaustion", "bar_key"), nn("bars_exhaustion", "bar_key"),
+        un("bars_exhaustion", "bar_key", hashed=True), nn("bars_exhaustion", "bar_key"),
         av("bars_exhaustion", "criteria_met", (0, 1, 2, 3)),
         # session_features (3)
         Q.unique_combination("session_features", ("symbol", "session_date")),
