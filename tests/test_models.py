@@ -164,6 +164,13 @@ def test_invariants_on_test_tables(spark):
     dec = m["session_vwap"].withColumn("prev", F.lag("day_high").over(w)).where(
         F.col("day_high") < F.col("prev"))
     assert dec.count() == 0
+    # session VWAP lies between the running min(low) and running max(high)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = (m["session_vwap"].withColumn("lo", F.min("low_price").over(run))
+           .where(F.col("session_vwap").isNotNull()
+                  & ((F.col("session_vwap") < F.col("lo") - F.lit(1e-9))
+                     | (F.col("session_vwap") > F.col("day_high") + F.lit(1e-9)))))
+    assert out.count() == 0
 
 
 def test_permutation_invariance(spark):
