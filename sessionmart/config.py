@@ -86,15 +86,20 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session. Only when nothing is configured (local runs, tests)
     a private folder is created and registered, so later calls agree.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- a remote (Connect) session has no context
+        sc = None
+    path = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder on shared storage; "
                                "a machine-local folder does not survive executor loss")
         path = tempfile.mkdtemp(prefix="sessionmart-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
