@@ -44,3 +44,16 @@ def test_grain_window_by_symbol_runs_on_day_table(spark):
     plan = _plan(spark, "bar_grain")
     # the symbol-only window sits above an aggregate to (symbol, utc_date)
     assert re.search(r"HashAggregate\(keys=\[symbol#\d+, utc_date#\d+", plan)
+
+
+def test_funnel_key_reduction_sits_below_the_window_exchange(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = E.queries()["setup_funnel"](spark, SF001)
+        lines = df._jdf.queryExecution().executedPlan().treeString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchange = next(i for i, ln in enumerate(lines)
+                    if "Exchange hashpartitioning(symbol" in ln and "session_date" in ln)
+    semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln)
+    assert semi > exchange        # deeper in the tree = runs before the window shuffle
