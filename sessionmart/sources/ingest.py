@@ -125,12 +125,17 @@ def bar_grain(bars: DataFrame) -> DataFrame:
     inter = (days.withColumn("prev_last", F.lag("last_ts").over(w_sym))
              .where(F.col("prev_last").isNotNull())
              .select("symbol", _gap_seconds(F.col("prev_last"), F.col("first_ts")).alias("gap")))
-    counts = intra.unionByName(inter).groupBy("symbol", "gap").agg(F.count(F.lit(1)).alias("c"))
-    modal = counts.groupBy("symbol").agg(
-        F.max(F.struct(F.col("c"), (-F.col("gap")).alias("neg_gap"))).alias("m"))
-    n_bars = days.groupBy("symbol").agg(F.sum("n").cast("bigint").alias("bars"))
-    out = n_bars.join(modal, "symbol", "left").select(
-        "symbol", "bars", (-F.col("m.neg_gap")).cast("bigint").alias("modal_gap_seconds"))
+    counts = (intra.unionByName(inter).groupBy("symbol", "gap")
+              .agg(F.count(F.lit(1)).alias("c")).withColumn("n", F.lit(None).cast("bigint")))
+    sizes = days.select("symbol", F.lit(None).cast("bigint").alias("gap"),
+                        F.lit(None).cast("bigint").alias("c"), "n")
+    # one per-symbol aggregate gives both the modal gap and the bar count
+    per_symbol = counts.unionByName(sizes).groupBy("symbol").agg(
+        F.sum("n").cast("bigint").alias("bars"),
+        F.max(F.when(F.col("c").isNotNull(),
+                     F.struct(F.col("c"), (-F.col("gap")).alias("neg_gap")))).alias("m"))
+    out = per_symbol.select("symbol", "bars",
+                            (-F.col("m.neg_gap")).cast("bigint").alias("modal_gap_seconds"))
     return out.withColumn(
         "is_daily_grain",
         F.coalesce(F.col("modal_gap_seconds") >= F.lit(P.DAILY_GAP_SECONDS), F.lit(False)))
