@@ -58,10 +58,13 @@ class Words:
 
 
 class WordHasher:
-    """Splits and hashes batches; keeps its tables between batches."""
+    """Splits and hashes batches; keeps its tables between batches.
 
-    def __init__(self) -> None:
-        self.space, self.values = is_space(), byte_values()
+    ``gaps``: a lookup table of the bytes that separate words (white space by default).
+    """
+
+    def __init__(self, gaps: np.ndarray | None = None) -> None:
+        self.space, self.values = is_space() if gaps is None else gaps, byte_values()
         self.up, self.down = powers(1 << 16)
 
     def __call__(self, texts: Sequence[str | None], lower: bool = True) -> Words:
