@@ -35,6 +35,7 @@ section select summary table tbody td tfoot th thead tr ul video""".split())
 CLOSES_P = BLOCK - {"br", "button", "img", "input", "label", "option", "select", "body", "html", "td", "th", "tr", "li", "dd", "dt"}
 SAME = {"li": ("li",), "option": ("option",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
         "dt": ("dt", "dd"), "dd": ("dt", "dd")}
+PART = frozenset("header footer nav aside form article main".split())
 SCOPE = frozenset("table td th ul ol dl div section article aside nav form body".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*+"|'[^']*+'|[^"'>])*+|[^>]*)(?:>|\Z)""", re.S)
@@ -44,15 +45,15 @@ _RAW_END = {t: re.compile(f"</{t}\\b[^>]*(?:>|\\Z)", re.I) for t in RAW}
 
 
 class Element:
-    __slots__ = ("tag", "feats", "link")
+    __slots__ = ("tag", "feats", "link", "part")
 
-    def __init__(self, tag: str, feats: frozenset, link: bool) -> None:
-        self.tag, self.feats, self.link = tag, feats, link
+    def __init__(self, tag: str, feats: frozenset, link: bool, part: str) -> None:
+        self.tag, self.feats, self.link, self.part = tag, feats, link, part
 
 
 def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
     """Leaf blocks of a page in order: text, features of the ancestors, tag, share of link text."""
-    stack = [Element("", frozenset(), False)]
+    stack = [Element("", frozenset(), False, "")]
     out: list[tuple[str, frozenset, str, float]] = []
     pieces: list[str] = []
     linked, where, at = 0, stack[-1], 0
@@ -62,7 +63,7 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append((text, where.feats, where.tag, min(1.0, linked / len(text))))
+                out.append((text, where.feats | {"part=" + where.part}, where.tag, min(1.0, linked / len(text))))
         pieces, linked = [], 0
 
     def add(raw: str) -> None:
@@ -119,7 +120,7 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
             for a in _ATTR.finditer(m[3]):
                 own.update("is=" + w.lower() for w in _WORD.findall(a[2] or a[3] or a[4] or "") if len(w) > 1)
         feats = parent.feats if own <= parent.feats else parent.feats | own
-        stack.append(Element(tag, feats, parent.link or tag == "a"))
+        stack.append(Element(tag, feats, parent.link or tag == "a", tag if tag in PART else parent.part))
     close_block()
     return out
 
@@ -355,8 +356,6 @@ class PageMaker:
         r = self.r
         body = self.main()
         title = f"<h1>{self.words(2, 12, False)}</h1>" if r.random() < 0.75 else ""
-        if title and r.random() < 0.15:
-            title = f"<header>{title}</header>"
         parts = [(x, True) for x in ([title] if title else []) + body]
         for part, p in (("ad", 0.3), ("sidebar", 0.08), ("form", 0.12), ("share", 0.15), ("notice", 0.12), ("menu", 0.05)):
             if r.random() < p:

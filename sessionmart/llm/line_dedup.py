@@ -211,11 +211,11 @@ def _rewrite_rows(columns: list[str]):
         for pdf in batches:
             out = pdf[columns].copy()
             text, removed, spans = pdf["text"].tolist(), np.zeros(len(pdf), np.int64), [None] * len(pdf)
-            hit = [i for i, r in enumerate(pdf["runs"]) if r is not None]
+            hit = [i for i, r in enumerate(pdf["__runs"]) if r is not None]
             for s in chunks([text[i] for i in hit]):
                 lines = Lines(hasher, [text[i] for i in hit[s]])
                 for k, i in enumerate(hit[s]):
-                    b, spans[i], removed[i] = cut_lines(lines, k, np.asarray(pdf["runs"].iloc[i], np.int64))
+                    b, spans[i], removed[i] = cut_lines(lines, k, np.asarray(pdf["__runs"].iloc[i], np.int64))
                     text[i] = b.decode("utf-8", "surrogatepass")
             out["text"] = text
             out["removed_words"] = removed
@@ -238,11 +238,11 @@ def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int
             .mapInPandas(_fingerprint_rows(parts, gram_words, window_words), _PACKED)
             .groupBy("part").applyInPandas(_later_runs, "doc long, hash long, runs array<int>")
             .groupBy("doc", "hash").agg(F.flatten(F.collect_list("runs")).alias("runs")))
-    runs = written(runs, "runs").toDF("_doc", "_hash", "_runs")
-    marked = docs.withColumn("_d", key).withColumn("_h", F.xxhash64("text"))
-    joined = marked.join(runs, (marked["_d"] == runs["_doc"]) & (marked["_h"] == runs["_hash"]), "left")
+    runs = written(runs, "runs").toDF("__doc", "__hash", "__runs")
+    marked = docs.withColumn("__d", key).withColumn("__h", F.xxhash64("text"))
+    joined = marked.join(runs, (marked["__d"] == runs["__doc"]) & (marked["__h"] == runs["__hash"]), "left")
     fields = [f for f in docs.schema.fields]
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return (joined.select(*docs.columns, F.col("_runs").alias("runs"))
+    return (joined.select(*docs.columns, "__runs")
             .mapInPandas(_rewrite_rows(docs.columns),
                          shape + ", removed_words long, removed array<struct<`from`: long, `to`: long>>"))

@@ -2,7 +2,7 @@
 
 Lines are normalised (lower case, single spaces) and hashed. For each host (the ``source``) the distinct
 documents that hold a line are counted; copies and near copies of one document, told by
-the smallest hash among their lines, count once. A line above the limits (a share of the host's
+the smallest hash among their other lines, count once. A line above the limits (a share of the host's
 documents, and a least number) is boilerplate and is removed. A document is
 rejected if it fails the base rules, or if too few words remain.
 
@@ -86,14 +86,16 @@ def measure(docs: DataFrame) -> DataFrame:
         "doc_id", "host", "row", "n_words", F.length(_without(F.col("text"), SPACE)).cast("long").alias("word_chars"),
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words",
-        F.array_min("hashes").alias("sign"), "hashes",
+        F.slice(F.sort_array(F.array_distinct("hashes")), 1, 2).alias("low"), "hashes",
         F.transform("norms", lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("line_words"))
 
 
 def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, host_percent: float = HOST_PERCENT) -> tuple[DataFrame, DataFrame]:
     """Occurrences of lines (row, host, line, words, sign), and the lines above the limits (host, line)."""
-    lines = (measured.select("row", "host", "sign", F.explode(F.arrays_zip("hashes", "line_words")).alias("x"))
-             .select("row", "host", "sign", F.col("x.hashes").alias("line"), F.col("x.line_words").alias("words")))
+    line, low = F.col("x.hashes"), F.col("low")
+    sign = F.when(line == F.get(low, F.lit(0)), F.coalesce(F.get(low, F.lit(1)), line)).otherwise(F.get(low, F.lit(0)))
+    lines = (measured.select("row", "host", "low", F.explode(F.arrays_zip("hashes", "line_words")).alias("x"))
+             .select("row", "host", sign.alias("sign"), line.alias("line"), F.col("x.line_words").alias("words")))
     docs = measured.groupBy("host").agg(F.count("*").alias("host_docs"))
     often = (lines.groupBy("host", "line").agg(F.countDistinct("sign").alias("n_docs")).where(F.col("n_docs") > min_docs)
              .join(docs, "host").where(F.col("n_docs") * 100 > F.col("host_docs") * host_percent).select("host", "line"))
@@ -110,7 +112,7 @@ def judge(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int =
     copies = measured.groupBy("row", "host").agg(F.count("*").alias("copies"))
     gone = (gone.join(copies, ["row", "host"])
             .select("row", "host", (F.col("all_words") / F.col("copies")).cast("long").alias("removed_words"), "removed_lines"))
-    df = measured.drop("hashes", "line_words", "sign").join(gone, ["row", "host"], "left")
+    df = measured.drop("hashes", "line_words", "low").join(gone, ["row", "host"], "left")
     removed = F.coalesce("removed_words", F.lit(0)).cast("long")
     left = F.col("n_words") - removed
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
@@ -122,9 +124,10 @@ def judge(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int =
 
 def clean(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are kept, without the lines above the limits; columns as in ``docs``."""
-    verdict = judge(docs, **options).where("kept").select(F.col("row").alias("_row"), F.col("host").alias("_host"), "removed_lines").distinct()
+    verdict = judge(docs, **options).where("kept").select(F.col("row").alias("__row"), F.col("host").alias("__host"),
+                                                         F.col("removed_lines").alias("__lines")).distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = docs.withColumn("_row", F.xxhash64("doc_id", text)).withColumn("_host", F.coalesce(F.col("source").cast("string"), F.lit("")))
-    stays = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("removed_lines", line_hash(_norm(x))))
-    text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
-    return marked.join(verdict, ["_row", "_host"]).withColumn("text", text).select(*docs.columns)
+    marked = docs.withColumn("__row", F.xxhash64("doc_id", text)).withColumn("__host", F.coalesce(F.col("source").cast("string"), F.lit("")))
+    stays = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("__lines", line_hash(_norm(x))))
+    text = F.when(F.col("__lines").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
+    return marked.join(verdict, ["__row", "__host"]).withColumn("text", text).select(*docs.columns)

@@ -12,7 +12,7 @@ training alternates: score the training windows, take each toxic document's best
 window and the other documents' worst ones, and fit on them. Evidence used in training comes from the
 other half of the sample, so the network learns how far to trust it.
 
-Null or empty text: one empty window (the network's bias). Null label or ``doc_id``: not trained on; a
+Null text or text without words: 0. Null label or ``doc_id``: not trained on; a
 null ``doc_id`` is still scored. Several labels for one id: toxic if any is. Without labelled
 documents of both classes every score is 0.
 """
@@ -241,13 +241,13 @@ class Scorer:
     def window_scores(self, texts: list[str | None], block: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         table, idx, doc = self.prepare(texts)
         got = [self.network.scores(table, idx[i:i + block]) for i in range(0, len(idx), block)]
-        return np.concatenate(got), doc
+        return np.where(idx[:, 0] < len(table) - 1, np.concatenate(got), -np.inf), doc
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        logit, doc = self.window_scores(texts)
+        logit, doc = self.window_scores(texts)  # -inf for an empty window
         best = np.full(len(texts), -np.inf)
         np.maximum.at(best, doc, logit)
-        return 1 / (1 + np.exp(-best))
+        return 1 / (1 + np.exp(-np.clip(best, -700, 700)))
 
 
 def _midpoint(logit: np.ndarray, y: np.ndarray) -> np.float32:
@@ -286,7 +286,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 5, steps: int = 60,
     logit = strength[idx].max(axis=1)  # the first choice of windows: by the strongest evidence
     m = {k: np.zeros_like(x) for k, x in network.p.items()}
     v = {k: np.zeros_like(x) for k, x in network.p.items()}
-    done, empty = 0, np.full((batch // 16, idx.shape[1]), base)  # texts without words are not toxic
+    done = 0
     for turn in range(rounds):
         if turn:
             logit = np.concatenate([network.scores(table, idx[i:i + 2048]) for i in range(0, len(idx), 2048)])
@@ -297,9 +297,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 5, steps: int = 60,
         neg = order[(rank < 3) & (y[doc[order]] == 0)]
         for _ in range(steps):
             some = np.concatenate((r.choice(pos, batch // 3), r.choice(neg, batch - batch // 3)))
-            rows = np.concatenate((idx[some], empty))
-            target = np.concatenate((y[doc[some]], np.zeros(len(empty), np.int64))).astype(np.float32)
-            g = network.gradient(table, rows, target, np.ones(len(rows), np.float32))
+            g = network.gradient(table, idx[some], y[doc[some]].astype(np.float32), np.ones(len(some), np.float32))
             done += 1
             step = rate * 0.5 ** turn
             for k in network.p:

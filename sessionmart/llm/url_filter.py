@@ -89,7 +89,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], rounds: int = RO
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     hosts = parsed.select("host").distinct()
     ruled = written(hosts.join(_host_rules(hosts, rules), "host", "left"), "host-rules")
-    decided = F.filter("rules", lambda r: F.startswith(F.col("path"), r["rule_path"]))[0]
+    decided = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["rule_path"])), F.lit(0))
     verdict = (parsed.join(ruled, "host", "left")
                .select("host", decided["verdict"].alias("verdict")))
     seeds = verdict.groupBy("host").agg(
