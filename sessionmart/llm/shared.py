@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import shared_dir
 
 
-def parts_of(spark: SparkSession, factor: int = 3) -> int:
+def parts_of(spark: SparkSession, factor: int = 2) -> int:
     """Number of key ranges for an exchange: a few for each shuffle partition, so it follows the input's size."""
     return factor * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -20,15 +20,14 @@ def parts_of(spark: SparkSession, factor: int = 3) -> int:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The collection that follows lets Spark's cleaner drop shuffle files that no
-    live plan needs any more.
+    The collection before it lets Spark's cleaner drop the shuffle files of earlier steps
+    that no live plan needs any more.
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    df.write.parquet(path)
     return spark.read.parquet(path)
 
 
