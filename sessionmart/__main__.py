@@ -8,8 +8,9 @@
 ``build`` writes every model and runs the 42 checks over what was written;
 it exits 1 if any error-severity check fails. ``ingest`` reads the cache in
 parallel, restricts it to the universe (every result symbol, or the frozen
-sample), reports missing symbols, refuses daily-grain files, and loads the raw
-bars partitioned by UTC day with a count guard.
+sample; ``--results`` is any CSV with a ``symbol`` column), refuses daily-grain files,
+loads the raw bars partitioned by UTC day with a count guard, and writes the list of
+symbols without bars to ``OUT_missing_symbols``.
 """
 
 from __future__ import annotations
@@ -19,17 +20,22 @@ import json
 import sys
 
 from sessionmart import schemas
-from sessionmart.config import get_session
+from sessionmart.config import get_session, sizing
 from sessionmart.plans import pipeline
 from sessionmart.sources import ingest, readers
 
 
+def _session(args):
+    conf = sizing(args.input_bytes, args.cores) if args.input_bytes and args.cores else {}
+    return get_session(master=args.master, extra=conf)
+
+
 def _build(args) -> int:
-    spark = get_session(master=args.master)
+    spark = _session(args)
     res = pipeline.run_pipeline(
         spark, readers.read_bars(spark, args.bars), readers.read_setups(spark, args.setups),
         readers.read_results(spark, args.results), out_dir=args.out, target=args.target,
-        namespace_prefix=args.namespace)
+        namespace_prefix=args.namespace, create_namespaces=args.create_namespaces)
     rows = res.checks.orderBy("model", "check_name").collect()
     for r in rows:
         print(f"{r['status']:5s} {r['violations']:>8d}  {r['model']:18s} {r['check_name']}")
@@ -40,25 +46,27 @@ def _build(args) -> int:
 
 
 def _ingest(args) -> int:
-    spark = get_session(master=args.master)
+    spark = _session(args)
     ingest.check_preconditions(spark, source_path=args.cache)
     if args.sample:
         symbols = ingest.sample_universe(spark)
     else:
-        symbols = ingest.universe(readers.read_results(spark, args.results))
+        symbols = ingest.universe_from_csv(spark, args.results)
     # Grain guard first (refuse before writing), on the narrow key pairs only.
     keys = ingest.restrict_to_universe(
         readers.conform(spark.read.parquet(args.cache), schemas.BARS_NTZ)
         .select("symbol", "timestamp").distinct(), symbols)
     ingest.grain_guard(keys)
     # One full pass: de-duplicate, restrict, write partitioned, count-guard.
-    chosen = ingest.restrict_to_universe(ingest.read_bar_files(spark, args.cache), symbols)
+    chosen = ingest.read_bar_files(spark, args.cache, symbols)
     rows, n_symbols = ingest.load_raw(chosen, args.out, args.expect_rows, args.expect_symbols)
     # Report from what was written (column-pruned reads of the output).
     written = readers.read_bars(spark, args.out)
     report = ingest.ingest_report(symbols, written).first().asDict()
-    missing = ingest.missing_symbols(symbols, written).orderBy("symbol").limit(50)
-    report["missing_first_50"] = [r["symbol"] for r in missing.collect()]
+    # The whole list of symbols without a bar goes next to the output, as CSV.
+    missing = args.out.rstrip("/") + "_missing_symbols"
+    ingest.missing_symbols(symbols, written).orderBy("symbol").write.mode("overwrite").option("header", True).csv(missing)
+    report["missing_list"] = missing
     report.update({"written_rows": rows, "written_symbols": n_symbols, "output": args.out})
     print(json.dumps(report))
     return 0
@@ -67,7 +75,9 @@ def _ingest(args) -> int:
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="sessionmart", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("--master", default="local[*]")
+    p.add_argument("--master", help="default: the submitter's")
+    p.add_argument("--input-bytes", type=int, help="with --cores: partition settings for this input size")
+    p.add_argument("--cores", type=int)
     sub = p.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build")
     b.add_argument("--bars", required=True)
@@ -75,6 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--results", required=True)
     b.add_argument("--out")
     b.add_argument("--namespace")
+    b.add_argument("--create-namespaces", action="store_true", help="else they must exist")
     b.add_argument("--target", choices=("dev", "prod"), default="dev")
     i = sub.add_parser("ingest")
     i.add_argument("--cache", required=True)

@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from sessionmart import schemas
 from sessionmart.config import scratch_path
-from sessionmart.functions import is_regular_session, round_scaled
+from sessionmart.functions import round_scaled, time_of_day, to_et
+from sessionmart.functions import session_phase as phase_of
 from sessionmart.operators import windows as Wn
-from sessionmart.plans import pipeline, quality_suite, reports
-from sessionmart.sources import ingest, readers, testdata
+from sessionmart.plans import intermediate, pipeline, quality_suite, reports, staging
+from sessionmart.sources import ingest, readers, sinks, testdata
 
 ROUND_DIGITS = 6
 # UTC day of the single-day scan probe (inside the test tables' date range).
@@ -37,9 +37,8 @@ def round_doubles(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     ])
 
 
-def models(spark: SparkSession, sf_dir: str, **kw) -> dict[str, DataFrame]:
-    bars, setups, results = testdata.load_inputs(spark, sf_dir)
-    return pipeline.build_models(bars, setups, results, **kw)
+def models(spark: SparkSession, sf_dir: str) -> pipeline.Models:
+    return pipeline.build_models(*testdata.load_inputs(spark, sf_dir))
 
 
 def _model(name: str) -> Query:
@@ -63,15 +62,9 @@ def signal_setup_overlap(spark, d):
 # ---- window operators, exposed one by one ---------------------------------------
 
 def running_vwap(spark, d):
-    stg = models(spark, d)["stg_bars"]
-    reg = stg.where(is_regular_session("bar_time_et")).withColumn(
-        "typical_price",
-        (F.col("high_price") + F.col("low_price") + F.col("close_price")) / F.lit(3.0))
-    cum = Wn.with_running_vwap(reg)
-    return cum.select("bar_key", "symbol", "session_date", "bar_ts_utc", "typical_price",
-                      "volume", "cum_tp_volume", "cum_volume",
-                      (F.col("cum_tp_volume") / F.nullif(F.col("cum_volume"), F.lit(0)))
-                      .alias("session_vwap"))
+    return intermediate.with_session_totals(models(spark, d)["stg_bars"]).select(
+        "bar_key", "symbol", "session_date", "bar_ts_utc", "typical_price",
+        "volume", "cum_tp_volume", "cum_volume", "session_vwap")
 
 
 def running_day_high(spark, d):
@@ -115,13 +108,20 @@ def bars_symbol_counts(spark, d):
 
 
 def single_day_volume(spark, d):
-    """Full-table and one-UTC-day SUM(volume) over the raw bars."""
+    """Whole-table and one-UTC-day SUM(volume) over the raw bars loaded by UTC day.
+
+    The one day is a partition filter: its read touches that day's files only.
+    """
     bars, _, _ = testdata.load_inputs(spark, d)
-    day = F.to_date(F.col("timestamp")) == F.lit(PROBE_DAY)
-    return bars.agg(F.sum("volume").alias("total_volume"),
-                    F.sum(F.when(day, F.col("volume"))).alias("day_volume"),
-                    F.count(F.when(day, F.lit(1))).alias("day_rows"),
-                    F.lit(PROBE_DAY).alias("probe_day"))
+    path = scratch_path(spark, "raw_bars")
+    ingest.load_raw(bars, path)
+    loaded = sinks.read_table(spark, path)
+    whole = loaded.agg(F.sum("volume").alias("total_volume"))
+    one = (loaded.where(F.col("utc_date") == F.lit(PROBE_DAY))
+           .agg(F.sum("volume").alias("day_volume"), F.count(F.lit(1)).alias("day_rows")))
+    both = whole.unionByName(one, allowMissingColumns=True)  # two rows
+    return both.agg(F.max("total_volume").alias("total_volume"), F.max("day_volume").alias("day_volume"),
+                    F.max("day_rows").alias("day_rows"), F.lit(PROBE_DAY).alias("probe_day"))
 
 
 # ---- joins ------------------------------------------------------------------------
@@ -155,6 +155,14 @@ def missing_symbols_anti(spark, d):
 
 # ---- scalar functions -------------------------------------------------------------
 
+def et_parts_dst(spark, d):
+    """New York time parts of events shifted over both clock changes of 2024."""
+    return testdata.clock_change_times(testdata.events(spark, d)).select(
+        "event_id", "change", "ts", to_et("ts").alias("ts_et"),
+        F.to_date(to_et("ts")).alias("session_date"), time_of_day(to_et("ts")).alias("time_et"),
+        phase_of(time_of_day(to_et("ts"))).alias("session_phase"))
+
+
 def session_phase(spark, d):
     return models(spark, d)["stg_bars"].select("bar_key", "bar_time_et", "session_phase")
 
@@ -177,26 +185,8 @@ def safe_ratios(spark, d):
 # ---- checks -----------------------------------------------------------------------
 
 def source_profile(spark, d):
-    """One pass over the raw bars: rows, malformed bars, NULL cells, duplicate keys.
-
-    One shuffle on the natural key with map-side partial aggregation, then a
-    global aggregate of the per-key partials.
-    """
     bars, _, _ = testdata.load_inputs(spark, d)
-    o, h, l, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
-    bad = (l > h) | (h < F.greatest(o, c)) | (l > F.least(o, c)) | (v < F.lit(0))
-    nulls = sum((F.col(f.name).isNull().cast("int") for f in schemas.BARS_NTZ.fields), F.lit(0))
-    per_key = bars.groupBy("symbol", "timestamp").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(F.coalesce(bad, F.lit(False)), F.lit(1)).otherwise(F.lit(0))).alias("bad"),
-        F.sum(nulls).alias("nulls"))
-    key_ok = F.col("symbol").isNotNull() & F.col("timestamp").isNotNull()
-    return per_key.agg(
-        F.sum("n").cast("bigint").alias("rows"),
-        F.sum("bad").cast("bigint").alias("malformed_bars"),
-        F.sum("nulls").cast("bigint").alias("null_cells"),
-        F.sum(F.when(key_ok & (F.col("n") > F.lit(1)), F.lit(1)).otherwise(F.lit(0)))
-        .cast("bigint").alias("duplicate_keys"))
+    return quality_suite.source_profile(bars)
 
 
 def malformed_bars(spark, d):
@@ -211,8 +201,26 @@ def signals_outside_hours(spark, d):
 
 
 def dq_summary(spark, d):
-    """All 42 checks over checkpointed models (each model computed once)."""
-    return quality_suite.run_suite(models(spark, d, materialize=True, reduce_funnel=False))
+    """All 42 checks; the window table and the features are written once and read by the rest."""
+    return quality_suite.run_suite(pipeline.materialize(models(spark, d), scratch_path(spark, "checks")))
+
+
+def dq_planted(spark, d):
+    """All 42 checks over bars, setups and results with planted faults (``testdata.planted_inputs``)."""
+    built = pipeline.build_models(*testdata.planted_inputs(spark, d))
+    return quality_suite.run_suite(pipeline.materialize(built, scratch_path(spark, "planted")))
+
+
+def missing_symbols_planted(spark, d):
+    """Universe symbols without a bar, after the bars of some symbols were dropped."""
+    bars, _, results = testdata.planted_inputs(spark, d)
+    return ingest.missing_symbols(ingest.universe(results), bars).where(F.col("symbol").isNotNull())
+
+
+def malformed_bars_planted(spark, d):
+    """Staged bars that are physically impossible, over the planted bars."""
+    stg = pipeline.build_models(*testdata.planted_inputs(spark, d))["stg_bars"]
+    return stg.where(quality_suite.malformed_predicate(stg)).select(*quality_suite.MALFORMED_REPORT)
 
 
 def bar_grain(spark, d):
@@ -252,6 +260,52 @@ def seed_csv_roundtrip(spark, d):
     return m["setup_outcomes"]
 
 
+def rebuild_roundtrip(spark, d):
+    """A table written with all days and rebuilt with fewer holds the fewer; a rebuilt range leaves the other days.
+
+    Rows per day and table: ``rebuilt`` (odd days of the month only) and ``range`` (all days, of which
+    the probe day and the two after it were rebuilt with the odd days only).
+    """
+    bars, _, _ = testdata.load_inputs(spark, d)
+    dated = bars.withColumn("utc_date", F.to_date("timestamp"))
+    odd = dated.where(F.dayofmonth("utc_date") % 2 == 1)
+    out = None
+    for name in ("rebuilt", "range"):
+        path = scratch_path(spark, name)
+        sinks.write_partitioned(dated, path, "utc_date", ("symbol", "timestamp"))
+        if name == "rebuilt":
+            sinks.write_partitioned(odd, path, "utc_date", ("symbol", "timestamp"))
+        else:
+            sinks.rebuild_partitions(odd, path, PROBE_DAY, PROBE_DAY + dt.timedelta(days=2), "utc_date", ("symbol", "timestamp"))
+        rows = (sinks.read_table(spark, path).groupBy("utc_date")
+                .agg(F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume")).withColumn("target", F.lit(name)))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def seed_reordered_csv(spark, d):
+    """Result seeds written with their columns reversed and one more column, read by header name and staged."""
+    _, _, results = testdata.load_inputs(spark, d)
+    path = scratch_path(spark, "reordered_csv")
+    (results.select(*reversed(results.columns), F.lit("x").alias("note"))
+     .write.option("header", True).csv(path))
+    return staging.stg_results(readers.read_results(spark, path))
+
+
+def universe_from_csv(spark, d):
+    """The universe of a CSV that has a ``symbol`` column among others."""
+    _, _, results = testdata.load_inputs(spark, d)
+    path = scratch_path(spark, "universe_csv")
+    results.select("pnl", "symbol", "date").write.option("header", True).csv(path)
+    return ingest.universe_from_csv(spark, path)
+
+
+def sorted_universe(spark, d):
+    """The universe in order."""
+    _, _, results = testdata.load_inputs(spark, d)
+    return ingest.sorted_universe(results)
+
+
 REGISTRY: dict[str, Query] = {
     # models
     "stg_bars": _model("stg_bars"),
@@ -302,6 +356,15 @@ REGISTRY: dict[str, Query] = {
     "ingest_report": ingest_report,
     "partitioned_roundtrip": partitioned_roundtrip,
     "seed_csv_roundtrip": seed_csv_roundtrip,
+    "rebuild_roundtrip": rebuild_roundtrip,
+    "seed_reordered_csv": seed_reordered_csv,
+    "universe_from_csv": universe_from_csv,
+    "sorted_universe": sorted_universe,
+    # planted faults and clock changes
+    "dq_planted": dq_planted,
+    "missing_symbols_planted": missing_symbols_planted,
+    "malformed_bars_planted": malformed_bars_planted,
+    "et_parts_dst": et_parts_dst,
 }
 
 

@@ -37,12 +37,18 @@ SESSION_CONF = {
 }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "sessionmart", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings the pipeline assumes."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Build (or reuse) a session with the settings the pipeline assumes.
+
+    The master and the number of shuffle partitions are the submitter's unless given here.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -74,10 +80,14 @@ def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Pin the runtime SQL settings on an existing session (e.g. one the caller built)."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
+    """Set what results depend on (zone, ANSI casts) and adaptive execution on the caller's session.
+
+    This changes the given session; nothing else of it is touched.
+    """
+    for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled"):
-        spark.conf.set(k, SESSION_CONF[k])
+        if spark.conf.get(k, None) != SESSION_CONF[k]:
+            spark.conf.set(k, SESSION_CONF[k])
 
 
 def shared_dir(spark: SparkSession) -> str:

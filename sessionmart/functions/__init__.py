@@ -5,6 +5,7 @@ from sessionmart.functions.scalar import (
     fraction_from_percent,
     int_flag,
     is_regular_session,
+    is_regular_time,
     round_scaled,
     safe_div,
     session_phase,
@@ -19,6 +20,7 @@ __all__ = [
     "fraction_from_percent",
     "int_flag",
     "is_regular_session",
+    "is_regular_time",
     "round_scaled",
     "safe_div",
     "session_phase",

@@ -56,6 +56,14 @@ def is_regular_session(tod: Column | str) -> Column:
     return (t >= F.lit(P.tod(P.REGULAR_START))) & (t < F.lit(P.tod(P.REGULAR_END)))
 
 
+def is_regular_time(ts: Column | str) -> Column:
+    """The same test on a New York wall clock, by minutes of the day (no text is formed)."""
+    t = _col(ts)
+    minute = F.hour(t) * 60 + F.minute(t)
+    start, end = (60 * int(x[:2]) + int(x[3:5]) for x in (P.tod(P.REGULAR_START), P.tod(P.REGULAR_END)))
+    return (minute >= F.lit(start)) & (minute < F.lit(end))
+
+
 def session_phase(tod: Column | str) -> Column:
     """Searched CASE over the ET time of day.
 

@@ -1,10 +1,4 @@
-"""Join operators.
-
-Broadcasting is only used behind an explicit, bounded size check: the check
-reads at most ``max_rows + 1`` rows (``limit`` stops the scan early), and above
-the bound the plain shuffle join is kept -- AQE may still convert it at runtime
-from measured shuffle sizes.
-"""
+"""Join operators: plain joins on keys; adaptive execution picks their form from measured sizes."""
 
 from __future__ import annotations
 
@@ -13,20 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a key/dimension side that may be shipped to every executor.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows (bounded-cost check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven within bound, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def preserving_left_join(left: DataFrame, right: DataFrame, on: Column | Sequence[str]) -> DataFrame:
     """Left outer join; never shrinks the left side.
 
@@ -36,19 +16,13 @@ def preserving_left_join(left: DataFrame, right: DataFrame, on: Column | Sequenc
     return left.join(right, on, "left")
 
 
-def reduce_to_keys(big: DataFrame, keys: DataFrame, on: Sequence[str],
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Semi-join ``big`` to the distinct ``keys`` when the key set is small.
+def reduce_to_keys(big: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``big`` whose key is among ``keys`` (semi join).
 
     Used before per-key work (windows / aggregates partitioned by ``on``) so
-    that work runs only for keys that will be joined; the broadcast side is
-    the distinct key set, size-checked. With too many keys the input is
-    returned unchanged (the later join is exact either way).
+    that the work runs only for keys that will be joined.
     """
-    k = keys.select(*on).distinct()
-    if not fits_broadcast(k, max_rows):
-        return big
-    return big.join(F.broadcast(k), list(on), "left_semi")
+    return semi_join(big, keys, on)
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:

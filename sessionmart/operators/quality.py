@@ -7,12 +7,12 @@ A check is declared once (``Check``) and has two readings:
 * ``run_checks(checks, models)`` -- one summary row per check
   (check_name, model, severity, violations, status) as a DataFrame.
 
-The summary is computed in as few passes as possible: all row-level checks of
-one model (not_null, accepted_values, expression checks) share a single
-aggregation over that model; key checks (unique, unique_combination) are one
-``groupBy`` each -- on bar-grain models (``hashed=True``) they shuffle 64-bit
-key hashes first and group real keys only for colliding hashes
-(``duplicate_keys``); reference checks (relationships) are one anti join each.
+The summary takes one pass over each model and one shuffle for all checks. A
+row emits an entry (check, key) for every key check it takes part in and for
+every row-level check it violates; a parent row of a reference check emits its
+key. Entries are counted per (check, key) -- partial counts first, so a key or a
+violation shared by very many rows collapses in each task -- and the counts per
+check follow from them. Nothing is run while the query is built.
 
 Failure counts follow the usual generic-test semantics:
   not_null            rows where the column is NULL
@@ -26,7 +26,7 @@ Failure counts follow the usual generic-test semantics:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,17 +57,14 @@ class Check:
     predicate: Callable[[DataFrame], Column] | None = field(default=None, compare=False)
     # For EXPRESSION checks: the columns reported for each violating row.
     report: tuple[str, ...] = ()
-    # For key checks on bar-grain models: shuffle key hashes first.
-    hashed: bool = False
 
 
 def not_null(model: str, col: str, severity: str = "error") -> Check:
     return Check(f"not_null_{model}_{col}", model, NOT_NULL, (col,), severity=severity)
 
 
-def unique(model: str, col: str, severity: str = "error", hashed: bool = False) -> Check:
-    return Check(f"unique_{model}_{col}", model, UNIQUE, (col,), severity=severity,
-                 hashed=hashed)
+def unique(model: str, col: str, severity: str = "error") -> Check:
+    return Check(f"unique_{model}_{col}", model, UNIQUE, (col,), severity=severity)
 
 
 def unique_combination(model: str, cols: Sequence[str], severity: str = "error") -> Check:
@@ -114,8 +111,6 @@ def violations(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
                 .groupBy(F.col(c).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records")))
     if check.kind in (UNIQUE, UNIQUE_COMBINATION):
         base = df.where(F.col(check.columns[0]).isNotNull()) if check.kind == UNIQUE else df
-        if check.hashed:
-            return duplicate_keys(base, list(check.columns))
         return (base.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n_records"))
                 .where(F.col("n_records") > F.lit(1)))
     if check.kind == RELATIONSHIPS:
@@ -124,67 +119,87 @@ def violations(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-# Most colliding 64-bit hashes the key check narrows to before it falls back
-# to grouping every key (bounded list, collected to build an IN-set filter).
-MAX_HASH_CANDIDATES = 100_000
-
-
-def duplicate_keys(df: DataFrame, cols: list[str],
-                   max_candidates: int = MAX_HASH_CANDIDATES) -> DataFrame:
-    """Key values occurring more than once, with their counts (exact).
-
-    Two phases, so the big shuffle moves 8-byte hashes instead of full keys:
-    1. count rows per 64-bit hash of the key (map-side partial counts) and
-       keep hashes seen more than once -- every duplicated key is among them;
-    2. group the real keys of only the rows whose hash is a candidate.
-    Clean data has (almost) no candidates, making phase 2 an empty scan. With
-    more than ``max_candidates`` candidates all keys are grouped directly.
+def _key_text(*cols: str) -> Column:
+    """One text per key: each value with its length in front, NULL marked apart."""
+    parts = []
+    for c in cols:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N")))
+    return F.concat(*parts)
+
+
+def _entry(i: int, when: Column | None, key: Column | None, child: int = 1, parent: int = 0) -> Column:
+    e = F.struct(F.lit(i).alias("check_id"), (F.lit(None) if key is None else key).cast("string").alias("key"),
+                 F.lit(child).cast("bigint").alias("n"), F.lit(parent).cast("bigint").alias("parents"))
+    return e if when is None else F.when(when, e)
+
+
+def _entries(checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
+    """(check_id, key, n, parents) of all checks, one pass over each model."""
+    by_model: dict[str, list[Column]] = {}
+    for i, ch in enumerate(checks):
+        mine = by_model.setdefault(ch.model, [])
+        if ch.kind in (NOT_NULL, EXPRESSION):
+            mine.append(_entry(i, _row_predicate(ch, models[ch.model]), None))
+        elif ch.kind == ACCEPTED_VALUES:
+            mine.append(_entry(i, _row_predicate(ch, models[ch.model]), F.col(ch.columns[0])))
+        elif ch.kind == UNIQUE:
+            mine.append(_entry(i, F.col(ch.columns[0]).isNotNull(), F.col(ch.columns[0])))
+        elif ch.kind == UNIQUE_COMBINATION:
+            mine.append(_entry(i, None, _key_text(*ch.columns)))
+        elif ch.kind == RELATIONSHIPS:
+            mine.append(_entry(i, F.col(ch.columns[0]).isNotNull(), F.col(ch.columns[0])))
+            by_model.setdefault(ch.to_model, []).append(
+                _entry(i, F.col(ch.to_field).isNotNull(), F.col(ch.to_field), child=0, parent=1))
+        else:
+            raise ValueError(f"unknown check kind {ch.kind!r}")
+    out = None
+    for model, entries in by_model.items():
+        found = F.filter(F.array(*entries), lambda e: e.isNotNull())
+        rows = models[model].select(F.inline(found))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def run_checks(checks: Sequence[Check], models: Mapping[str, DataFrame],
+               same_rows: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per check: check_name, model, severity, violations, status.
+
+    ``same_rows`` names models that hold exactly the rows and keys of another
+    one (a view that only adds columns): a key check on such a model takes the
+    result of the same check on the other model and is not counted twice.
     """
-    h = F.xxhash64(*cols)
-    cand = (df.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > F.lit(1)).select("_h"))
-    hashes = [r[0] for r in cand.limit(max_candidates + 1).collect()]
-    if len(hashes) <= max_candidates:
-        df = df.where(h.isin(hashes)) if hashes else df.where(F.lit(False))
-    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
-            .where(F.col("n_records") > F.lit(1)))
-
-
-def _summary_row(check: Check, count: Column) -> list[Column]:
-    return [F.lit(check.name).alias("check_name"), F.lit(check.model).alias("model"),
-            F.lit(check.severity).alias("severity"), count.cast("bigint").alias("violations")]
-
-
-def run_checks(checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per check: check_name, model, severity, violations, status."""
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
+    same_rows = same_rows or {}
+    counted: list[Check] = []
+    source: list[int] = []
+    at: dict[tuple, int] = {}
     for ch in checks:
-        if ch.kind in ROW_LEVEL:
-            by_model.setdefault(ch.model, []).append(ch)
+        model = same_rows.get(ch.model, ch.model) if ch.kind in (UNIQUE, UNIQUE_COMBINATION) else ch.model
+        key = (ch.kind, model, ch.columns)
+        if ch.kind not in (UNIQUE, UNIQUE_COMBINATION) or key not in at:
+            at[key] = len(counted)
+            counted.append(replace(ch, model=model))
+            source.append(len(counted) - 1)
         else:
-            v = violations(ch, models)
-            parts.append(v.agg(*_summary_row(ch, F.count(F.lit(1)))))
-    for model, group in by_model.items():
-        df = models[model]
-        aggs = []
-        for i, ch in enumerate(group):
-            pred = _row_predicate(ch, df)
-            if ch.kind == ACCEPTED_VALUES:
-                aggs.append(F.count_distinct(F.when(pred, F.col(ch.columns[0]))).alias(f"c{i}"))
-            else:
-                aggs.append(F.sum(F.when(pred, F.lit(1)).otherwise(F.lit(0))).alias(f"c{i}"))
-        one = df.agg(*aggs)
-        # Unpivot the single wide row into one row per check.
-        rows = F.array(*[
-            F.struct(*_summary_row(ch, F.coalesce(F.col(f"c{i}"), F.lit(0))))
-            for i, ch in enumerate(group)
-        ])
-        parts.append(one.select(F.inline(rows)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            source.append(at[key])
+    per_key = (_entries(counted, models).groupBy("check_id", "key")
+               .agg(F.sum("n").alias("n"), F.sum("parents").alias("parents")))
+    kinds = [c.kind for c in counted]
+
+    def of(*names: str) -> Column:
+        return F.col("check_id").isin([i for i, k in enumerate(kinds) if k in names])
+    failing = (F.when(of(UNIQUE, UNIQUE_COMBINATION), (F.col("n") > 1).cast("bigint"))
+               .when(of(ACCEPTED_VALUES), F.lit(1).cast("bigint"))
+               .when(of(RELATIONSHIPS), F.when(F.col("parents") == 0, F.col("n")).otherwise(F.lit(0)))
+               .otherwise(F.col("n")))
+    counts = per_key.groupBy("check_id").agg(F.sum(failing).alias("found"))
+    listed = models[checks[0].model].sparkSession.createDataFrame(
+        [(c.name, c.model, c.severity, s) for c, s in zip(checks, source)],
+        "check_name string, model string, severity string, check_id int")
+    violations = F.coalesce("found", F.lit(0)).cast("bigint")
     status = (F.when(F.col("violations") == F.lit(0), F.lit("pass"))
               .when(F.col("severity") == F.lit("warn"), F.lit("warn"))
               .otherwise(F.lit("fail")))
-    return out.withColumn("status", status)
+    return (listed.join(counts, "check_id", "left")
+            .select("check_name", "model", "severity", violations.alias("violations"))
+            .withColumn("status", status))

@@ -10,6 +10,7 @@ Integer sums are cast to BIGINT (DuckDB sums integers as HUGEINT).
 from __future__ import annotations
 
 from sessionmart import params as P
+from sessionmart import schemas
 
 NULL_TOKEN = P.SURROGATE_KEY_NULL
 
@@ -30,13 +31,13 @@ def _et(c: str) -> str:
     return _ET.format(c=c)
 
 
-WITH = f"""
+_ADAPTERS = f"""
 WITH ev AS (
     SELECT event_id, ts, user_id, event_type, value,
            CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
     FROM events
 ),
-raw_bars AS (
+clean_bars AS (
     SELECT date_trunc('minute', ts) AS "timestamp",
            arg_min(value, row(ts, event_id)) AS open,
            max(value) AS high,
@@ -51,7 +52,7 @@ raw_bars AS (
 ev_et AS (
     SELECT *, CAST({_et('ts')} AS DATE) AS et_date FROM ev
 ),
-setups AS (
+clean_setups AS (
     SELECT symbol, date, open, high, low, close, volume,
            100.0 * (high / nullif(low, 0) - 1.0) AS gain_percent,
            days_up,
@@ -65,7 +66,7 @@ setups AS (
         GROUP BY user_id, et_date
     )
 ),
-results AS (
+clean_results AS (
     SELECT symbol, date, 100.0 * (hi / nullif(lo, 0) - 1.0) AS gain_pct, days_up, volume,
            trades, pnl,
            CASE WHEN trades > 0 AND pnl > 0 THEN 1 ELSE 0 END AS win,
@@ -79,7 +80,10 @@ results AS (
         FROM ev_et WHERE event_type IN ('purchase', 'error')
         GROUP BY user_id, et_date
     )
-),
+)
+"""
+
+_STAGING = f"""
 stg_et AS (
     SELECT *, {_et('"timestamp"')} AS et FROM raw_bars
 ),
@@ -113,158 +117,138 @@ stg_results AS (
            CAST(win AS INTEGER) = 1 AS is_win, CAST(loss AS INTEGER) = 1 AS is_loss
     FROM results
 ),
-vw_cum AS (
-    SELECT *,
-           sum(typical_price * volume) OVER w AS cum_tp_volume,
-           sum(volume) OVER w AS cum_volume,
-           max(high_price) OVER w AS day_high,
-           first_value(open_price) OVER w AS day_open
-    FROM (SELECT *, (high_price + low_price + close_price) / 3.0 AS typical_price
-          FROM stg_bars WHERE session_phase = 'regular')
-    WINDOW w AS (PARTITION BY symbol, session_date ORDER BY bar_ts_utc
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
+
+_AS_GIVEN = """
+raw_bars AS (SELECT * FROM clean_bars),
+setups AS (SELECT * FROM clean_setups),
+results AS (SELECT * FROM clean_results),
+"""
+
+_PLANTED = """
+faulty AS (
+    SELECT "timestamp", open,
+           CASE WHEN minute("timestamp") % 7 = 0 AND high > low THEN low ELSE high END AS high,
+           CASE WHEN minute("timestamp") % 7 = 0 AND high > low THEN high ELSE low END AS low,
+           close, volume, vwap, CASE WHEN minute("timestamp") <> 13 THEN symbol END AS symbol
+    FROM clean_bars WHERE right(symbol, 1) <> '5'
 ),
-vw_vwap AS (
-    SELECT *, cum_tp_volume / nullif(cum_volume, 0) AS session_vwap FROM vw_cum
+raw_bars AS (SELECT * FROM faulty UNION ALL SELECT * FROM faulty WHERE minute("timestamp") % 11 = 0),
+twice AS (SELECT * FROM clean_setups UNION ALL SELECT * FROM clean_setups WHERE day(date) % 5 = 0),
+setups AS (SELECT * REPLACE (CASE WHEN day(date) <> 13 THEN symbol END AS symbol) FROM twice),
+results AS (SELECT * REPLACE (CASE WHEN day(date) <> 13 THEN date END AS date) FROM clean_results),
+"""
+
+# The models stated by sets instead of running windows: each regular bar is joined
+# to the bars of its session up to it; ranks count the bars that come before.
+_MODELS = f"""
+regular AS (
+    SELECT *, (high_price + low_price + close_price) / 3.0 AS typical_price,
+           row_number() OVER (PARTITION BY symbol, session_date ORDER BY bar_ts_utc) AS nth
+    FROM stg_bars WHERE session_phase = 'regular'
 ),
-session_vwap AS (
-    SELECT bar_key, symbol, bar_ts_utc, bar_ts_et, session_date, bar_time_et,
-           open_price, high_price, low_price, close_price, volume, typical_price,
-           day_open, day_high, session_vwap,
-           close_price / nullif(session_vwap, 0) AS vwap_extension_ratio,
-           (day_high - day_open) / nullif(day_open, 0) AS day_gain
-    FROM vw_vwap
+up_to AS (
+    SELECT b.symbol, b.session_date, b.nth,
+           list(p.typical_price * p.volume ORDER BY p.nth) AS money, list(p.volume ORDER BY p.nth) AS volumes,
+           max(p.high_price) AS day_high, list(p.open_price ORDER BY p.nth)[1] AS day_open
+    FROM regular b JOIN regular p
+      ON p.symbol IS NOT DISTINCT FROM b.symbol AND p.session_date = b.session_date AND p.nth <= b.nth
+    GROUP BY b.symbol, b.session_date, b.nth
 ),
-ex_peak AS (
-    SELECT *, max(volume) OVER (PARTITION BY symbol, session_date ORDER BY bar_ts_utc
-                                ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS vol_peak_10
-    FROM session_vwap
+totals AS (
+    SELECT r.*, u.day_high, u.day_open, list_sum(u.money) AS cum_tp_volume, list_sum(u.volumes) AS cum_volume,
+           list_sum(u.money) / nullif(list_sum(u.volumes), 0) AS session_vwap,
+           list_max(u.volumes[-{P.FROZEN.volume_peak_bars}:]) AS vol_peak_10
+    FROM regular r JOIN up_to u
+      ON u.symbol IS NOT DISTINCT FROM r.symbol AND u.session_date = r.session_date AND u.nth = r.nth
 ),
-ex_ratios AS (
-    SELECT *, volume / nullif(vol_peak_10, 0) AS volume_ratio,
-           close_price / nullif(day_high, 0) AS proximity_to_high
-    FROM ex_peak
+measured AS (
+    SELECT *, close_price / nullif(session_vwap, 0) AS vwap_extension_ratio,
+           (day_high - day_open) / nullif(day_open, 0) AS day_gain,
+           volume / nullif(vol_peak_10, 0) AS volume_ratio, close_price / nullif(day_high, 0) AS proximity_to_high
+    FROM totals
 ),
-ex_crit AS (
-    SELECT *, vwap_extension_ratio >= CAST(1.15 AS DOUBLE) AS meets_vwap_extension,
-           volume_ratio <= CAST(0.70 AS DOUBLE) AS meets_volume_exhaustion,
-           proximity_to_high >= CAST(0.93 AS DOUBLE) AS meets_proximity
-    FROM ex_ratios
+judged AS (
+    SELECT *, [vwap_extension_ratio >= {P.FROZEN.vwap_extension_min}::DOUBLE, volume_ratio <= {P.FROZEN.volume_ratio_max}::DOUBLE,
+               proximity_to_high >= {P.FROZEN.proximity_min}::DOUBLE] AS flags
+    FROM measured
 ),
 bars_exhaustion AS (
-    SELECT *, CASE WHEN meets_vwap_extension THEN 1 ELSE 0 END
-            + CASE WHEN meets_volume_exhaustion THEN 1 ELSE 0 END
-            + CASE WHEN meets_proximity THEN 1 ELSE 0 END AS criteria_met
-    FROM ex_crit
+    SELECT *, flags[1] AS meets_vwap_extension, flags[2] AS meets_volume_exhaustion, flags[3] AS meets_proximity,
+           CAST(len(list_filter(flags, lambda f: f)) AS INTEGER) AS criteria_met
+    FROM judged
 ),
-sf_ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY symbol, session_date
-                                 ORDER BY vwap_extension_ratio DESC NULLS LAST,
-                                          bar_ts_utc ASC) AS extension_rank
-    FROM bars_exhaustion
+session_vwap AS (SELECT * FROM measured),
+extension_ranks AS (
+    SELECT b.bar_key, b.symbol, b.session_date, b.bar_ts_utc, b.vwap_extension_ratio,
+           1 + count(*) FILTER (WHERE p.vwap_extension_ratio > b.vwap_extension_ratio
+                                   OR (b.vwap_extension_ratio IS NULL AND p.vwap_extension_ratio IS NOT NULL)
+                                   OR (p.vwap_extension_ratio IS NOT DISTINCT FROM b.vwap_extension_ratio AND p.nth < b.nth)) AS extension_rank
+    FROM bars_exhaustion b JOIN bars_exhaustion p
+      ON p.symbol IS NOT DISTINCT FROM b.symbol AND p.session_date = b.session_date
+    GROUP BY ALL
 ),
 session_features AS (
-    SELECT symbol, session_date,
-           count(*) AS bar_count,
-           sum(volume) AS session_volume,
-           max(vwap_extension_ratio) AS max_vwap_extension_ratio,
-           max(day_gain) AS max_day_gain,
-           max(day_high) AS day_high,
-           min(day_open) AS day_open,
-           min(bar_ts_et) AS first_bar_ts_et,
-           max(bar_ts_et) AS last_bar_ts_et,
-           min(CASE WHEN extension_rank = 1 THEN bar_ts_et END) AS peak_extension_ts_et,
-           max(criteria_met) AS max_criteria_met,
-           CAST(sum(CASE WHEN criteria_met >= 2 THEN 1 ELSE 0 END) AS BIGINT) AS bars_meeting_2of3
-    FROM sf_ranked
-    GROUP BY symbol, session_date
+    SELECT symbol, session_date, max(nth) AS bar_count, sum(volume) AS session_volume,
+           max(vwap_extension_ratio) AS max_vwap_extension_ratio, max(day_gain) AS max_day_gain,
+           max(high_price) AS day_high, arg_min(open_price, nth) AS day_open,
+           arg_min(bar_ts_et, nth) AS first_bar_ts_et, arg_max(bar_ts_et, nth) AS last_bar_ts_et,
+           list(bar_ts_et ORDER BY vwap_extension_ratio DESC NULLS LAST, nth)[1] AS peak_extension_ts_et,
+           max(criteria_met) AS max_criteria_met, count(*) FILTER (WHERE criteria_met >= {P.FROZEN.min_criteria}) AS bars_meeting_2of3
+    FROM bars_exhaustion GROUP BY symbol, session_date
 ),
 setup_outcomes AS (
-    SELECT s.symbol, s.setup_date, s.gain_pct, s.days_up, s.prior_gain, s.setup_volume,
-           r.trades, r.pnl, r.is_win,
-           true AS is_candidate,
-           coalesce(r.trades > 0, false) AS is_traded,
-           coalesce(r.trades > 0 AND r.is_win, false) AS is_winner
-    FROM stg_setups s
-    LEFT JOIN stg_results r ON s.symbol = r.symbol AND s.setup_date = r.setup_date
+    SELECT s.* EXCLUDE (open_price, high_price, low_price, close_price), r.trades, r.pnl, r.is_win, true AS is_candidate,
+           EXISTS (SELECT 1 FROM stg_results t WHERE t.symbol = s.symbol AND t.setup_date = s.setup_date AND t.trades > 0) AS is_traded,
+           EXISTS (SELECT 1 FROM stg_results t WHERE t.symbol = s.symbol AND t.setup_date = s.setup_date AND t.trades > 0 AND t.is_win) AS is_winner
+    FROM stg_setups s LEFT JOIN stg_results r USING (symbol, setup_date)
 ),
-sc_eligible AS (
+passed AS (
     SELECT * FROM bars_exhaustion
-    WHERE bar_time_et BETWEEN '09:45:00.000000' AND '14:00:00.000000'
-      AND day_gain >= CAST(0.50 AS DOUBLE)
-      AND close_price >= session_vwap
-      AND criteria_met >= 2
+    WHERE NOT (bar_time_et < '{P.tod(P.FROZEN.entry_start)}' OR bar_time_et > '{P.tod(P.FROZEN.entry_end)}')
+      AND least(day_gain - {P.FROZEN.day_gain_min}::DOUBLE, close_price - session_vwap, criteria_met - {P.FROZEN.min_criteria}) >= 0
+      AND day_gain IS NOT NULL AND session_vwap IS NOT NULL
 ),
-signal_candidates AS (
-    SELECT bar_key, symbol, session_date, bar_ts_utc, bar_ts_et, bar_time_et,
-           close_price, volume, session_vwap, vwap_extension_ratio, volume_ratio,
-           proximity_to_high, day_open, day_high, day_gain,
-           meets_vwap_extension, meets_volume_exhaustion, meets_proximity, criteria_met,
-           setup_rank, setup_rank = 1 AS is_best_setup_of_day
-    FROM (SELECT *, row_number() OVER (PARTITION BY symbol, session_date
-                                       ORDER BY vwap_extension_ratio DESC NULLS LAST,
-                                                bar_ts_utc ASC) AS setup_rank
-          FROM sc_eligible)
+ranked_signals AS (
+    SELECT b.*, 1 + (SELECT count(*) FROM passed p
+                     WHERE p.symbol IS NOT DISTINCT FROM b.symbol AND p.session_date = b.session_date
+                       AND (p.vwap_extension_ratio > b.vwap_extension_ratio
+                            OR (p.vwap_extension_ratio = b.vwap_extension_ratio AND p.nth < b.nth))) AS setup_rank
+    FROM passed b
 ),
+signal_candidates AS (SELECT *, setup_rank = 1 AS is_best_setup_of_day FROM ranked_signals),
 setup_funnel AS (
-    SELECT o.symbol, o.setup_date, o.gain_pct, o.days_up, o.prior_gain, o.trades, o.pnl,
-           o.is_candidate, o.is_traded, o.is_winner,
-           CASE WHEN o.is_winner THEN 'won' WHEN o.is_traded THEN 'lost'
-                ELSE 'never_triggered' END AS funnel_stage,
-           f.bar_count, f.session_volume, f.max_vwap_extension_ratio, f.max_day_gain,
-           f.peak_extension_ts_et, f.bars_meeting_2of3,
-           f.symbol IS NOT NULL AS has_bar_data
-    FROM setup_outcomes o
-    LEFT JOIN session_features f ON o.symbol = f.symbol AND o.setup_date = f.session_date
+    SELECT o.*, ['never_triggered', 'lost', 'won'][1 + o.is_traded::INT + o.is_winner::INT] AS funnel_stage,
+           f.bar_count, f.session_volume, f.max_vwap_extension_ratio, f.max_day_gain, f.peak_extension_ts_et, f.bars_meeting_2of3,
+           EXISTS (SELECT 1 FROM session_features x WHERE x.symbol = o.symbol AND x.session_date = o.setup_date) AS has_bar_data
+    FROM setup_outcomes o LEFT JOIN session_features f ON f.symbol = o.symbol AND f.session_date = o.setup_date
 ),
 universe AS (
     SELECT DISTINCT symbol FROM results WHERE symbol IS NOT NULL
 )
 """
 
+WITH = _ADAPTERS + "," + _AS_GIVEN + _STAGING + _MODELS
+WITH_PLANTED = _ADAPTERS + "," + _PLANTED + _STAGING + _MODELS
+
 
 def _proj(cols: list[str]) -> str:
     return ", ".join(f'round("{c}", 6) AS "{c}"' if c in DOUBLES else f'"{c}"' for c in cols)
 
 
-def select(source: str, cols: list[str], where: str = "") -> str:
-    return f"{WITH}SELECT {_proj(cols)} FROM {source}{(' WHERE ' + where) if where else ''}"
+def select(source: str, cols: list[str], where: str = "", chain: str = "") -> str:
+    return f"{chain or WITH}SELECT {_proj(cols)} FROM {source}{(' WHERE ' + where) if where else ''}"
 
 
-def over(inner: str, cols: list[str]) -> str:
+def over(inner: str, cols: list[str], chain: str = "") -> str:
     """Final rounding projection over an arbitrary inner SELECT (may use the CTEs)."""
-    return f"{WITH}SELECT {_proj(cols)} FROM ({inner}) q"
-
-
-STG_BARS = ["bar_key", "symbol", "bar_ts_utc", "bar_ts_et", "session_date", "bar_time_et",
-            "open_price", "high_price", "low_price", "close_price", "volume", "bar_vwap",
-            "session_phase"]
-STG_SETUPS = ["symbol", "setup_date", "open_price", "high_price", "low_price", "close_price",
-              "setup_volume", "gain_pct", "days_up", "prior_gain"]
-STG_RESULTS = ["symbol", "setup_date", "gain_pct", "days_up", "setup_volume", "trades", "pnl",
-               "is_win", "is_loss"]
-SESSION_VWAP = ["bar_key", "symbol", "bar_ts_utc", "bar_ts_et", "session_date", "bar_time_et",
-                "open_price", "high_price", "low_price", "close_price", "volume",
-                "typical_price", "day_open", "day_high", "session_vwap",
-                "vwap_extension_ratio", "day_gain"]
-EXHAUSTION = SESSION_VWAP + ["vol_peak_10", "volume_ratio", "proximity_to_high",
-                             "meets_vwap_extension", "meets_volume_exhaustion",
-                             "meets_proximity", "criteria_met"]
-FEATURES = ["symbol", "session_date", "bar_count", "session_volume",
-            "max_vwap_extension_ratio", "max_day_gain", "day_high", "day_open",
-            "first_bar_ts_et", "last_bar_ts_et", "peak_extension_ts_et", "max_criteria_met",
-            "bars_meeting_2of3"]
-OUTCOMES = ["symbol", "setup_date", "gain_pct", "days_up", "prior_gain", "setup_volume",
-            "trades", "pnl", "is_win", "is_candidate", "is_traded", "is_winner"]
-SIGNALS = ["bar_key", "symbol", "session_date", "bar_ts_utc", "bar_ts_et", "bar_time_et",
-           "close_price", "volume", "session_vwap", "vwap_extension_ratio", "volume_ratio",
-           "proximity_to_high", "day_open", "day_high", "day_gain", "meets_vwap_extension",
-           "meets_volume_exhaustion", "meets_proximity", "criteria_met", "setup_rank",
-           "is_best_setup_of_day"]
-FUNNEL = ["symbol", "setup_date", "gain_pct", "days_up", "prior_gain", "trades", "pnl",
-          "is_candidate", "is_traded", "is_winner", "funnel_stage", "bar_count",
-          "session_volume", "max_vwap_extension_ratio", "max_day_gain", "peak_extension_ts_et",
-          "bars_meeting_2of3", "has_bar_data"]
+    return f"{chain or WITH}SELECT {_proj(cols)} FROM ({inner}) q"
+
+
+STG_BARS, STG_SETUPS, STG_RESULTS = schemas.STG_BARS_COLS, schemas.STG_SETUPS_COLS, schemas.STG_RESULTS_COLS
+SESSION_VWAP, EXHAUSTION = schemas.SESSION_VWAP_COLS, schemas.EXHAUSTION_COLS
+FEATURES, OUTCOMES = schemas.SESSION_FEATURES_COLS, schemas.SETUP_OUTCOMES_COLS
+SIGNALS, FUNNEL = schemas.SIGNAL_CANDIDATES_COLS, schemas.SETUP_FUNNEL_COLS
 
 _FUNNEL_COUNTS = """count(*) AS candidates,
        CAST(sum(CASE WHEN is_traded THEN 1 ELSE 0 END) AS BIGINT) AS traded,
@@ -341,14 +325,36 @@ def _checks() -> list[tuple[str, str, str, str]]:
     ]
 
 
-def _dq_summary() -> str:
+def _dq_summary(chain: str = "") -> str:
     rows = " UNION ALL ".join(
         f"SELECT '{n}' AS check_name, '{m}' AS model, '{s}' AS severity, "
         f"CAST(({q}) AS BIGINT) AS violations"
         for n, m, s, q in _checks())
     inner = (f"SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' "
              f"THEN 'warn' ELSE 'fail' END AS status FROM ({rows})")
-    return over(inner, ["check_name", "model", "severity", "violations", "status"])
+    return over(inner, ["check_name", "model", "severity", "violations", "status"], chain)
+
+
+def _clock_changes() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT event_id, '{at}' AS change, TIMESTAMP '{at}' + to_seconds((epoch_us(ts) // 1000000) % 172800 - 86400) AS ts FROM events"
+        for at in ("2024-03-10 07:00:00", "2024-11-03 06:00:00"))
+    return f"""
+        WITH shifted AS ({rows}),
+        local AS (SELECT *, {_et('ts')} AS ts_et FROM shifted),
+        minutes AS (SELECT *, 60 * hour(ts_et) + minute(ts_et) AS m FROM local)
+        SELECT event_id, change, ts, ts_et, CAST(ts_et AS DATE) AS session_date, strftime(ts_et, '%H:%M:%S.%f') AS time_et,
+               CASE WHEN m BETWEEN 570 AND 959 THEN 'regular' WHEN m BETWEEN 240 AND 569 THEN 'premarket' ELSE 'postmarket' END AS session_phase
+        FROM minutes"""
+
+
+def _rebuilt() -> str:
+    per_day = """SELECT CAST("timestamp" AS DATE) AS utc_date, count(*) AS rows, sum(volume) AS volume, '{name}' AS target
+                 FROM raw_bars WHERE {keep} GROUP BY 1"""
+    odd = """day("timestamp") % 2 = 1"""
+    outside = """CAST("timestamp" AS DATE) NOT BETWEEN DATE '2024-01-15' AND DATE '2024-01-17'"""
+    return over(per_day.format(name="rebuilt", keep=odd) + " UNION ALL " + per_day.format(name="range", keep=f"{odd} OR {outside}"),
+                ["utc_date", "rows", "volume", "target"])
 
 
 def _bar_grain() -> str:
@@ -437,7 +443,7 @@ ORACLE: dict[str, str] = {
     # windows
     "running_vwap": over(
         """SELECT bar_key, symbol, session_date, bar_ts_utc, typical_price, volume,
-                  cum_tp_volume, cum_volume, session_vwap FROM vw_vwap""",
+                  cum_tp_volume, cum_volume, session_vwap FROM totals""",
         ["bar_key", "symbol", "session_date", "bar_ts_utc", "typical_price", "volume",
          "cum_tp_volume", "cum_volume", "session_vwap"]),
     "running_day_high": select("session_vwap", ["bar_key", "symbol", "session_date",
@@ -446,7 +452,7 @@ ORACLE: dict[str, str] = {
                                             "open_price", "day_open"]),
     "rolling10_volume_peak": select("bars_exhaustion", ["bar_key", "symbol", "session_date",
                                                         "bar_ts_utc", "volume", "vol_peak_10"]),
-    "extension_rank": select("sf_ranked", ["bar_key", "symbol", "session_date", "bar_ts_utc",
+    "extension_rank": select("extension_ranks", ["bar_key", "symbol", "session_date", "bar_ts_utc",
                                            "vwap_extension_ratio", "extension_rank"]),
     # aggregates
     "session_argmax_extension": select("session_features", [
@@ -521,4 +527,17 @@ ORACLE: dict[str, str] = {
            FROM raw_bars WHERE symbol IN (SELECT symbol FROM universe)
            GROUP BY CAST("timestamp" AS DATE)""",
         ["utc_date", "rows", "symbols", "volume"]),
+    "rebuild_roundtrip": _rebuilt(),
+    "seed_reordered_csv": select("stg_results", STG_RESULTS),
+    "universe_from_csv": select("universe", ["symbol"]),
+    "sorted_universe": over("SELECT symbol FROM universe ORDER BY symbol", ["symbol"]),
+    # planted faults and clock changes
+    "dq_planted": _dq_summary(WITH_PLANTED),
+    "missing_symbols_planted": over(
+        "SELECT symbol FROM universe u WHERE NOT EXISTS "
+        "(SELECT 1 FROM raw_bars b WHERE b.symbol = u.symbol)", ["symbol"], WITH_PLANTED),
+    "malformed_bars_planted": select("stg_bars", ["bar_key", "symbol", "bar_ts_utc", "open_price",
+                                                  "high_price", "low_price", "close_price", "volume"],
+                                     MALFORMED, WITH_PLANTED),
+    "et_parts_dst": _clock_changes(),
 }

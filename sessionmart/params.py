@@ -1,9 +1,7 @@
 """Frozen strategy parameters and other fixed values.
 
-The thresholds are part of the strategy definition, not tuning knobs: a
-disagreement with an external backtest is a finding to explain, never a reason
-to move them. They live in one frozen dataclass so a caller can pass an
-explicit instance, but the default is the only sanctioned value set.
+One frozen dataclass holds the thresholds. Callers may pass another instance (tests
+do); every query uses the default.
 """
 
 from __future__ import annotations

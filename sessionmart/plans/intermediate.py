@@ -2,8 +2,8 @@
 
 Plan shape: ``session_vwap`` and ``bars_exhaustion`` need one Exchange on
 (symbol, session_date) and one Sort; all five running/rolling windows evaluate
-in Window operators over that single ordering. ``session_features`` adds one
-in-partition Sort for its ranking and aggregates without another Exchange.
+in Window operators over that single ordering. ``session_features`` aggregates
+on it without another Exchange or Sort.
 """
 
 from __future__ import annotations
@@ -13,12 +13,24 @@ from pyspark.sql import functions as F
 
 from sessionmart import params as P
 from sessionmart import schemas
-from sessionmart.functions import bool_to_int, is_regular_session, safe_div
+from sessionmart.functions import bool_to_int, is_regular_time, safe_div
 from sessionmart.operators import windows as Wn
-from sessionmart.operators.aggregates import count_if, min_where
+from sessionmart.operators.aggregates import count_if
 from sessionmart.operators.joins import preserving_left_join
 
 
+def with_session_totals(stg: DataFrame) -> DataFrame:
+    """Regular-session bars with typical price, running totals and session VWAP."""
+    # session_phase = 'regular', stated as the equivalent range test on the
+    # minutes of the day (cheaper once Catalyst pushes it below the source).
+    regular = stg.where(is_regular_time("bar_ts_et"))
+    tp = regular.withColumn(
+        "typical_price",
+        (F.col("high_price") + F.col("low_price") + F.col("close_price")) / F.lit(3.0))
+    cum = Wn.with_running_vwap(tp)
+    return cum.withColumn("session_vwap", safe_div("cum_tp_volume", "cum_volume"))
+
+
 def session_vwap(stg: DataFrame) -> DataFrame:
     """Regular-session bars with session-anchored cumulative VWAP.
 
@@ -26,17 +38,10 @@ def session_vwap(stg: DataFrame) -> DataFrame:
     first existing bar at or after 09:30 ET (not a literal 09:30 bar).
     day_high / day_gain are running values ("so far"), not session finals.
     """
-    # session_phase = 'regular', stated as the equivalent range test on the
-    # time of day (cheaper once Catalyst pushes it below the source).
-    regular = stg.where(is_regular_session("bar_time_et"))
-    tp = regular.withColumn(
-        "typical_price",
-        (F.col("high_price") + F.col("low_price") + F.col("close_price")) / F.lit(3.0))
-    cum = Wn.with_running_vwap(tp).withColumns({
+    vw = with_session_totals(stg).withColumns({
         "day_high": Wn.running_max("high_price"),
         "day_open": Wn.session_first("open_price"),
     })
-    vw = cum.withColumn("session_vwap", safe_div("cum_tp_volume", "cum_volume"))
     return vw.select(
         *schemas.SESSION_VWAP_COLS[:-2],
         safe_div("close_price", "session_vwap").alias("vwap_extension_ratio"),
@@ -74,8 +79,9 @@ def session_features(exh: DataFrame, params: P.StrategyParams = P.FROZEN) -> Dat
     earliest bar; a session whose ratios are all NULL still has a rank-1 bar
     (its earliest).
     """
-    ranked = exh.withColumn("extension_rank", Wn.rank_desc_then_time("vwap_extension_ratio"))
-    return ranked.groupBy(*Wn.SESSION_KEYS).agg(
+    # ascending order of (minus the ratio, a missing ratio last; bar time)
+    order = F.struct(F.col("vwap_extension_ratio").isNull(), -F.col("vwap_extension_ratio"), F.col("bar_ts_utc"))
+    return exh.groupBy(*Wn.SESSION_KEYS).agg(
         F.count(F.lit(1)).alias("bar_count"),
         F.sum("volume").alias("session_volume"),
         F.max("vwap_extension_ratio").alias("max_vwap_extension_ratio"),
@@ -84,7 +90,7 @@ def session_features(exh: DataFrame, params: P.StrategyParams = P.FROZEN) -> Dat
         F.min("day_open").alias("day_open"),
         F.min("bar_ts_et").alias("first_bar_ts_et"),
         F.max("bar_ts_et").alias("last_bar_ts_et"),
-        min_where(F.col("extension_rank") == F.lit(1), "bar_ts_et").alias("peak_extension_ts_et"),
+        F.min_by("bar_ts_et", order).alias("peak_extension_ts_et"),
         F.max("criteria_met").alias("max_criteria_met"),
         count_if(F.col("criteria_met") >= F.lit(params.min_criteria)).cast("bigint")
         .alias("bars_meeting_2of3"),

@@ -63,8 +63,3 @@ def setup_funnel(outcomes: DataFrame, features: DataFrame) -> DataFrame:
         "peak_extension_ts_et", "bars_meeting_2of3",
         F.col("f_symbol").isNotNull().alias("has_bar_data"),
     )
-
-
-def setup_sessions(outcomes: DataFrame) -> DataFrame:
-    """The (symbol, session_date) keys the funnel looks up."""
-    return outcomes.select("symbol", F.col("setup_date").alias("session_date"))

@@ -1,16 +1,13 @@
-"""Compose the models, optionally materialise them, write the layers, run checks.
-
-``build_models`` returns every model as a lazy DataFrame over one shared
-lineage. With ``materialize=True`` the window table (``bars_exhaustion``, of
-which ``session_vwap`` is a projection) is cut with a reliable
-``checkpoint()`` into the shared folder (``spark.checkpoint.dir``). The
-checkpoint keeps its hash partitioning on (symbol, session_date), so
-``session_features`` and ``signal_candidates`` run on it without another
-shuffle. Staging stays a view: it is a projection of the source, and
-re-reading the column-pruned source costs less than writing a copy of it.
-
-Checkpoints are written to shared storage, so losing an executor afterwards
-costs nothing (``localCheckpoint`` would lose blocks with the executor).
+"""Compose the models, write the layers, run checks.
+
+``build_models`` gives every model as a lazy DataFrame over one shared lineage.
+A model that was written is ``put`` back as the table read again, and everything
+built later uses that table: ``session_vwap`` is written once, ``bars_exhaustion``
+stays a view over it, ``session_features`` are built from that view and the funnel
+from the written features. Staging stays a view: it is a projection of the source,
+and re-reading the column-pruned source costs less than writing a copy of it.
+
+Written tables lie in shared storage, so losing an executor afterwards costs nothing.
 """
 
 from __future__ import annotations
@@ -20,54 +17,44 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionmart import params as P
-from sessionmart import schemas
 from sessionmart.config import shared_dir
 from sessionmart.plans import intermediate, marts, quality_suite, staging
 from sessionmart.operators.joins import reduce_to_keys
 from sessionmart.sources import sinks
+from sessionmart.sources.ingest import check_preconditions
 
 
 class Models(Mapping[str, DataFrame]):
-    """Every model as a lazy DataFrame, built on first access only.
-
-    Looking up one model builds just its upstream chain; in particular the
-    size check behind the funnel's key reduction runs only when the funnel is
-    requested.
-    """
+    """Every model as a lazy DataFrame, built on first access only (no job runs)."""
 
     NAMES = ("stg_bars", "stg_setups", "stg_results", "session_vwap", "bars_exhaustion",
              "session_features", "setup_outcomes", "signal_candidates", "setup_funnel")
 
     def __init__(self, bars: DataFrame, setups: DataFrame, results: DataFrame,
-                 params: P.StrategyParams = P.FROZEN, materialize: bool = False,
-                 reduce_funnel: bool = True):
+                 params: P.StrategyParams = P.FROZEN):
         self._in = {"bars": bars, "setups": setups, "results": results}
         self._params = params
-        self._materialize = materialize
-        self._reduce_funnel = reduce_funnel
         self._built: dict[str, DataFrame] = {}
-        if materialize:
-            shared_dir(bars.sparkSession)
+
+    def put(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` (a written copy) for the model from now on."""
+        self._built[name] = df
 
     def _build(self, name: str) -> DataFrame:
         p, m = self._params, self
         if name == "stg_bars":
-            # A view: re-reading the column-pruned source is cheaper than
-            # writing a full copy of every bar.
             return staging.stg_bars(self._in["bars"])
         if name == "stg_setups":
             return staging.stg_setups(self._in["setups"])
         if name == "stg_results":
             return staging.stg_results(self._in["results"])
-        if name == "bars_exhaustion":
-            df = intermediate.bars_exhaustion(intermediate.session_vwap(m["stg_bars"]), p)
-            return df.checkpoint(eager=True) if self._materialize else df
         if name == "session_vwap":
-            if self._materialize:
-                return m["bars_exhaustion"].select(*schemas.SESSION_VWAP_COLS)
             return intermediate.session_vwap(m["stg_bars"])
+        if name == "bars_exhaustion":
+            return intermediate.bars_exhaustion(m["session_vwap"], p)
         if name == "session_features":
             return intermediate.session_features(m["bars_exhaustion"], p)
         if name == "setup_outcomes":
@@ -75,20 +62,23 @@ class Models(Mapping[str, DataFrame]):
         if name == "signal_candidates":
             return marts.signal_candidates(m["bars_exhaustion"], p)
         if name == "setup_funnel":
-            outcomes = m["setup_outcomes"]
-            if self._reduce_funnel:
-                # Every window partitions by session, so keeping only whole
-                # sessions that some setup refers to (before the windows) gives
-                # exactly the same feature rows for those sessions.
-                bars = reduce_to_keys(m["stg_bars"], marts.setup_sessions(outcomes),
-                                      ["symbol", "session_date"])
-                exh = intermediate.bars_exhaustion(intermediate.session_vwap(bars), p)
-                features = intermediate.session_features(exh, p)
-            else:
-                features = m["session_features"]
-            return marts.setup_funnel(outcomes, features)
+            return marts.setup_funnel(m["setup_outcomes"], m._setup_features())
         raise KeyError(name)
 
+    def _setup_features(self) -> DataFrame:
+        """Session features for the funnel's left join.
+
+        Features that were written are used as they are. Otherwise the staged bars
+        are reduced to the sessions that some setup refers to before the windows:
+        every window partitions by session, so whole sessions give the same rows.
+        """
+        if "session_features" in self._built:
+            return self._built["session_features"]
+        keys = self["stg_setups"].select("symbol", F.col("setup_date").alias("session_date"))
+        bars = reduce_to_keys(self["stg_bars"], keys, ["symbol", "session_date"])
+        exh = intermediate.bars_exhaustion(intermediate.session_vwap(bars), self._params)
+        return intermediate.session_features(exh, self._params)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = self._build(name)
@@ -102,9 +92,18 @@ class Models(Mapping[str, DataFrame]):
 
 
 def build_models(bars: DataFrame, setups: DataFrame, results: DataFrame,
-                 params: P.StrategyParams = P.FROZEN, materialize: bool = False,
-                 reduce_funnel: bool = True) -> Models:
-    return Models(bars, setups, results, params, materialize, reduce_funnel)
+                 params: P.StrategyParams = P.FROZEN) -> Models:
+    return Models(bars, setups, results, params)
+
+
+def materialize(models: Models, scratch: str) -> Models:
+    """Write the window table and the session features under ``scratch`` and go on from there."""
+    spark = models["stg_setups"].sparkSession
+    for name in ("session_vwap", "session_features"):
+        target = os.path.join(scratch, name)
+        sinks.write_table(models[name], target)
+        models.put(name, sinks.read_table(spark, target))
+    return models
 
 
 @dataclass
@@ -114,11 +113,8 @@ class PipelineResult:
     checks: DataFrame
 
 
-# Partitioned + clustered tables (by ET session_date), plain full-rebuild
-# tables, and lazy views; and the layer each model belongs to.
+# Tables partitioned by ET session_date and clustered; the layer of each model.
 PARTITIONED = {"session_vwap": "session_date", "signal_candidates": "session_date"}
-TABLES = ("session_features", "setup_funnel")
-VIEWS = ("stg_bars", "stg_setups", "stg_results", "bars_exhaustion", "setup_outcomes")
 LAYER = {"stg_bars": "staging", "stg_setups": "staging", "stg_results": "staging",
          "session_vwap": "intermediate", "bars_exhaustion": "intermediate",
          "session_features": "intermediate", "setup_outcomes": "intermediate",
@@ -128,35 +124,46 @@ LAYER = {"stg_bars": "staging", "stg_setups": "staging", "stg_results": "staging
 def run_pipeline(spark: SparkSession, bars: DataFrame, setups: DataFrame,
                  results: DataFrame, out_dir: str | None = None, target: str = "dev",
                  params: P.StrategyParams = P.FROZEN,
-                 namespace_prefix: str | None = None) -> PipelineResult:
+                 namespace_prefix: str | None = None, create_namespaces: bool = True) -> PipelineResult:
     """Build every layer, write the tables, run the 42 checks over what was written.
 
     Tables go to ``out_dir`` as Parquet folders, or -- with
     ``namespace_prefix`` -- into one catalog namespace per layer
-    (``<prefix>_intermediate.session_vwap`` ...).
+    (``<prefix>_intermediate.session_vwap`` ...); the two seeds then go to the raw
+    namespace and their staging models to the staging one. Without
+    ``create_namespaces`` the namespaces must exist.
     """
-    layers = sinks.create_layers(spark, namespace_prefix) if namespace_prefix else None
+    layers = None
+    if namespace_prefix:
+        if create_namespaces:
+            layers = sinks.create_layers(spark, namespace_prefix)
+        else:
+            layers = sinks.layer_names(namespace_prefix)
+            for database in layers.values():
+                check_preconditions(spark, database=database)
     out_dir = out_dir or os.path.join(shared_dir(spark), "warehouse")
-    models = build_models(bars, setups, results, params, materialize=True,
-                          reduce_funnel=False)
+    models = build_models(bars, setups, results, params)
 
     def target_of(name: str) -> str:
-        if layers:
-            return f"{layers[LAYER[name]]}.{name}"
-        return os.path.join(out_dir, name)
+        return f"{layers[LAYER[name]]}.{name}" if layers else os.path.join(out_dir, name)
 
     tables: dict[str, str] = {}
-    for name in VIEWS:
-        sinks.write_view(models[name], name)
-    for name, part in PARTITIONED.items():
-        tables[name] = target_of(name)
-        sinks.write_partitioned(models[name], tables[name], partition_col=part,
-                                cluster_by=("symbol", "bar_ts_utc"))
-    for name in TABLES:
+
+    def write(name: str, writer, **options) -> None:
         tables[name] = target_of(name)
-        sinks.write_table(models[name], tables[name])
-    written = dict(models)
-    for name, tgt in tables.items():
-        written[name] = sinks.write_view(sinks.read_table(spark, tgt), name)
-    checks = quality_suite.run_suite(written, target=target, params=params)
+        writer(models[name], tables[name], **options)
+        models.put(name, sinks.read_table(spark, tables[name]))
+    if layers:
+        for name, df in (("setups", setups), ("backtest_results", results)):
+            tables[name] = f"{layers['raw']}.{name}"
+            sinks.write_table(df, tables[name])
+        for name in ("stg_setups", "stg_results"):
+            write(name, sinks.write_table)
+    write("session_vwap", sinks.write_partitioned, partition_col=PARTITIONED["session_vwap"], cluster_by=("symbol", "bar_ts_utc"))
+    write("session_features", sinks.write_table)
+    write("signal_candidates", sinks.write_partitioned, partition_col=PARTITIONED["signal_candidates"], cluster_by=("symbol", "bar_ts_utc"))
+    write("setup_funnel", sinks.write_table)
+    for name in models:
+        sinks.write_view(models[name], name)
+    checks = quality_suite.run_suite(models, target=target, params=params)
     return PipelineResult(out_dir, tables, checks)

@@ -1,7 +1,6 @@
-"""Staging: one model per source, 1:1 rows, rename + cast + ET session context.
+"""Staging: one model for each source, with typed and renamed columns and New York time.
 
-Staging never filters: a WHERE clause would fix bad rows silently, whereas the
-check suite reports them loudly. Row count out = row count in.
+Each source row gives one staged row; bad rows pass through and are found by the check suite.
 """
 
 from __future__ import annotations
@@ -21,8 +20,10 @@ from sessionmart.functions import (
 from sessionmart.sources.readers import conform
 
 
-def _require_utc(df: DataFrame) -> None:
+def _require_settings(df: DataFrame) -> None:
     tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("spark.sql.ansi.enabled must be true (bad casts must fail, not become NULL)")
     if tz not in ("UTC", "Etc/UTC", "Z", "+00:00"):
         raise ValueError(f"session time zone must be UTC, got {tz!r} "
                          "(bar timestamps are UTC instants)")
@@ -33,7 +34,7 @@ def stg_bars(raw: DataFrame) -> DataFrame:
 
     The UTC -> New York conversion happens exactly once, here.
     """
-    _require_utc(raw)
+    _require_settings(raw)
     src = conform(raw, schemas.BARS_NTZ)
     with_et = src.withColumn("bar_ts_et", to_et("timestamp"))
     parts = with_et.withColumns({
@@ -52,7 +53,6 @@ def stg_bars(raw: DataFrame) -> DataFrame:
         F.col("low").alias("low_price"),
         F.col("close").alias("close_price"),
         "volume",
-        # the vendor's PER-BAR vwap; session VWAP is computed downstream
         F.col("vwap").alias("bar_vwap"),
         session_phase("bar_time_et").alias("session_phase"),
     )

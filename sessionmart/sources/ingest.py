@@ -13,13 +13,13 @@ from pyspark.sql.types import TimestampNTZType
 
 from sessionmart import params as P
 from sessionmart import schemas
-from sessionmart.operators.joins import sized_broadcast
+from sessionmart.operators.joins import semi_join
 from sessionmart.sources import sinks
 from sessionmart.sources.readers import conform, conform_columns
 
 
 class IngestError(RuntimeError):
-    """A precondition or guard failed; nothing was written."""
+    """A precondition or guard failed. The message says what, if anything, was written."""
 
 
 def universe(results: DataFrame) -> DataFrame:
@@ -37,16 +37,21 @@ def sample_universe(spark: SparkSession, symbols=P.SAMPLE_SYMBOLS) -> DataFrame:
     return spark.createDataFrame([(s,) for s in symbols], "symbol string")
 
 
-def read_bar_files(spark: SparkSession, pattern: str) -> DataFrame:
+def read_bar_files(spark: SparkSession, pattern: str, symbols: DataFrame | None = None) -> DataFrame:
     """Read a bar cache written as many files (e.g. one per symbol) in parallel.
 
     Several files may hold the same bar. One copy per natural key
     (symbol, timestamp) is kept: the one from the first file by path, so the
     result never depends on listing order or on which task attempt ran. It is
-    an aggregate, so even a huge group of copies collapses map-side.
+    an aggregate, so even a huge group of copies collapses map-side. With
+    ``symbols`` the bars are restricted to that universe before they are shuffled.
     """
     raw = spark.read.parquet(pattern)
-    df = raw.select(*conform_columns(raw, schemas.BARS_NTZ), F.input_file_name().alias("_file"))
+    if symbols is not None:
+        raw = restrict_to_universe(raw.withColumn("_file", F.input_file_name()), symbols)
+    else:
+        raw = raw.withColumn("_file", F.input_file_name())
+    df = raw.select(*conform_columns(raw, schemas.BARS_NTZ), "_file")
     values = [c for c in schemas.BARS_NTZ.names if c not in ("symbol", "timestamp")]
     one = df.groupBy("symbol", "timestamp").agg(
         F.min_by(F.struct(*values), F.col("_file")).alias("b"))
@@ -54,9 +59,13 @@ def read_bar_files(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def restrict_to_universe(bars: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Bars of universe symbols only (semi join; the symbol list is broadcast
-    when its size is proven small)."""
-    return bars.join(sized_broadcast(symbols.select("symbol")), "symbol", "left_semi")
+    """Bars of universe symbols only (semi join)."""
+    return semi_join(bars, symbols, "symbol")
+
+
+def universe_from_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The universe of any CSV with a header that has a ``symbol`` column."""
+    return universe(spark.read.option("header", True).option("mode", "FAILFAST").csv(path))
 
 
 def missing_symbols(symbols: DataFrame, bars: DataFrame) -> DataFrame:
@@ -88,9 +97,9 @@ def count_guard(bars: DataFrame, expected_rows: int | None = None,
     r = bars.agg(F.count(F.lit(1)).alias("rows"),
                  F.count_distinct("symbol").alias("symbols")).first()
     if expected_rows is not None and r["rows"] != expected_rows:
-        raise IngestError(f"expected {expected_rows:,} rows, got {r['rows']:,}")
+        raise IngestError(f"expected {expected_rows:,} rows, got {r['rows']:,}; the counted table stays as it is")
     if expected_symbols is not None and r["symbols"] != expected_symbols:
-        raise IngestError(f"expected {expected_symbols} symbols, got {r['symbols']}")
+        raise IngestError(f"expected {expected_symbols} symbols, got {r['symbols']}; the counted table stays as it is")
     return r["rows"], r["symbols"]
 
 
@@ -143,10 +152,12 @@ def bar_grain(bars: DataFrame) -> DataFrame:
 
 def grain_guard(bars: DataFrame) -> None:
     """Refuse to continue when any symbol's bars look daily."""
-    bad = bar_grain(bars).where(F.col("is_daily_grain")).select("symbol").limit(20).collect()
-    if bad:
-        raise IngestError("daily-grain bars in a minute-bar source: "
-                          + ", ".join(r["symbol"] for r in bad))
+    bad = bar_grain(bars).where(F.col("is_daily_grain")).orderBy("symbol")
+    n = bad.count()
+    if n:
+        shown = [r["symbol"] for r in bad.select("symbol").take(20)]
+        more = f" and {n - len(shown)} more" if n > len(shown) else ""
+        raise IngestError(f"daily-grain bars in a minute-bar source, {n} symbols: {', '.join(shown)}{more}; nothing was written")
 
 
 def check_preconditions(spark: SparkSession, source_path: str | None = None,
@@ -164,8 +175,8 @@ def check_preconditions(spark: SparkSession, source_path: str | None = None,
 def load_raw(bars: DataFrame, target: str, expected_rows: int | None = None,
              expected_symbols: int | None = None) -> tuple[int, int]:
     """Load raw bars as the vendor sent them: partitioned by UTC day, clustered
-    by symbol, snappy Parquet; then verify the row/symbol counts of what was
-    written (raise on mismatch with the caller's expectation)."""
+    by symbol, snappy Parquet (a full rebuild: days not in ``bars`` go); then verify the
+    row/symbol counts of what was written. A mismatch raises; the table is then written."""
     spark = bars.sparkSession
     staged = conform(bars, schemas.BARS_NTZ).withColumn("utc_date", F.to_date("timestamp"))
     sinks.write_partitioned(staged, target, partition_col="utc_date",

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType, TimestampNTZType
 
 from sessionmart import schemas
 from sessionmart.functions import to_utc_ntz
+from sessionmart.sources.sinks import read_table
 
 
 def conform_columns(df: DataFrame, target: StructType) -> list:
@@ -46,10 +47,8 @@ def read_bars(spark: SparkSession, source: str | DataFrame,
     """
     if isinstance(source, DataFrame):
         df = source
-    elif "/" in source or source.endswith(".parquet"):
-        df = spark.read.parquet(source)
     else:
-        df = spark.table(source)
+        df = read_table(spark, source)
     if sessions is not None:
         first, last = sessions
         lo = dt.datetime.combine(first, dt.time())
@@ -63,11 +62,13 @@ def read_bars(spark: SparkSession, source: str | DataFrame,
 
 
 def read_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Version-controlled CSV with declared column types; malformed rows fail."""
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("mode", "FAILFAST")
-            .csv(path))
+    """Version-controlled CSV: columns by header name, cast to their declared types.
+
+    The order of the columns is free and further columns are ignored; a missing column,
+    a malformed row or a value that does not cast (ANSI) fails.
+    """
+    text = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_setups(spark: SparkSession, path: str) -> DataFrame:

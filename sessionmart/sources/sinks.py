@@ -1,27 +1,31 @@
 """Sinks: views, full-rebuild tables, partitioned + clustered tables, layers.
 
-Tables are written as snappy Parquet. A name containing a dot is a catalog
-table (``layer.model``); anything else is a path. Partitioned writes use
-dynamic partition overwrite, so rebuilding a range of sessions replaces only
-those partitions.
+Tables are written as snappy Parquet. A write is a full rebuild for paths and
+catalog tables alike: partitions that the new rows do not hold are gone. Only
+``rebuild_partitions`` replaces a stated range and leaves the rest.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYERS = ("raw", "staging", "intermediate", "marts")
 
 
-def create_layers(spark: SparkSession, prefix: str = "sessionmart") -> dict[str, str]:
+def layer_names(prefix: str = "sessionmart") -> dict[str, str]:
     """One namespace per layer: ``<prefix>_raw`` ... ``<prefix>_marts``."""
-    names = {}
-    for layer in LAYERS:
-        db = f"{prefix}_{layer}"
+    return {layer: f"{prefix}_{layer}" for layer in LAYERS}
+
+
+def create_layers(spark: SparkSession, prefix: str = "sessionmart") -> dict[str, str]:
+    names = layer_names(prefix)
+    for db in names.values():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        names[layer] = db
     return names
 
 
@@ -31,14 +35,21 @@ def write_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _is_table(target: str) -> bool:
-    return "." in target and "/" not in target
+_TABLE_NAME = re.compile(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*){1,2}")
+
+
+def is_table(target: str) -> bool:
+    """Whether ``target`` names a catalog table (``db.table``); else it is a path.
+
+    The one rule for readers and sinks. A name without a dot is a path, and so is a file name ending in ``.parquet``.
+    """
+    return bool(_TABLE_NAME.fullmatch(target)) and not target.endswith(".parquet")
 
 
 def write_table(df: DataFrame, target: str, mode: str = "overwrite") -> None:
     """A materialised model (full rebuild)."""
     w = df.write.mode(mode).format("parquet").option("compression", "snappy")
-    if _is_table(target):
+    if is_table(target):
         w.saveAsTable(target)
     else:
         w.save(target)
@@ -48,20 +59,48 @@ def write_partitioned(df: DataFrame, target: str, partition_col: str = "session_
                       cluster_by: Sequence[str] = ("symbol",), mode: str = "overwrite") -> None:
     """Partitioned by ``partition_col``, clustered (sorted) by ``cluster_by``.
 
-    Rows are range-partitioned on (partition_col, *cluster_by) so a task writes
-    a narrow, sorted slice: few files per partition directory, tight min/max
-    statistics on the cluster columns, and no task owns a whole partition
-    value (no hot day).
+    Rows are dealt by hash of the partition value and one of ``BUCKETS`` buckets of
+    the first cluster column, then sorted: a partition value is spread over at most
+    that many tasks and files (no hot day), each with its own symbols, and the input
+    is not sampled first.
+    """
+    _partitioned(df, partition_col, cluster_by, mode, "static", target)
+
+
+def rebuild_partitions(df: DataFrame, target: str, first: dt.date, last: dt.date, partition_col: str = "session_date",
+                       cluster_by: Sequence[str] = ("symbol",)) -> None:
+    """Replace the partitions from ``first`` to ``last`` (dates) by the rows of ``df`` in that range.
+
+    Partitions of the range that ``df`` no longer holds are emptied too. Paths only.
     """
-    keys = [partition_col, *cluster_by]
-    laid_out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    if is_table(target):
+        raise ValueError("a range can be rebuilt in a path target only")
+    spark = df.sparkSession
+    day = F.col(partition_col)
+    there = {r[0] for r in spark.read.parquet(target).where(day.between(F.lit(first), F.lit(last))).select(partition_col).distinct().collect()}
+    rows = df.where(day.between(F.lit(first), F.lit(last)))
+    now = {r[0] for r in rows.select(partition_col).distinct().collect()}
+    _partitioned(rows, partition_col, cluster_by, "overwrite", "dynamic", target)
+    root = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for gone in there - now:  # at most one folder for each day of the range
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={gone}"), True)
+
+
+# Tasks and files that one partition value is spread over at most.
+BUCKETS = 16
+
+
+def _partitioned(df: DataFrame, partition_col: str, cluster_by: Sequence[str], mode: str, overwrite: str, target: str) -> None:
+    bucket = F.pmod(F.xxhash64(cluster_by[0]), F.lit(BUCKETS))
+    laid_out = df.repartition(F.col(partition_col), bucket).sortWithinPartitions(partition_col, *cluster_by)
     w = (laid_out.write.mode(mode).format("parquet").option("compression", "snappy")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col))
-    if _is_table(target):
+         .option("partitionOverwriteMode", overwrite).partitionBy(partition_col))
+    if is_table(target):
         w.saveAsTable(target)
     else:
         w.save(target)
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
-    return spark.table(target) if _is_table(target) else spark.read.parquet(target)
+    return spark.table(target) if is_table(target) else spark.read.parquet(target)

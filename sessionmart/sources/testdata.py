@@ -109,3 +109,41 @@ def load_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     """(bars, setups, results) derived from one scan definition of ``events``."""
     ev = events(spark, sf_dir)
     return bars_from_events(ev), setups_from_events(ev), results_from_events(ev)
+
+
+def planted_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three inputs with faults planted by fixed rules on symbol and time.
+
+    Bars: high and low swapped where the minute is divisible by 7 and they differ; every bar of a minute
+    divisible by 11 twice; no symbol where the minute is 13; no bar of symbols ending in 5.
+    Setups: every one of a day divisible by 5 twice; no symbol on day 13. Results: no date on day 13.
+    """
+    bars, setups, results = load_inputs(spark, sf_dir)
+    minute = F.minute("timestamp")
+    swap = (minute % 7 == 0) & (F.col("high") > F.col("low"))
+    bars = bars.where(~F.col("symbol").endswith("5")).select(
+        "timestamp", "open", F.when(swap, F.col("low")).otherwise(F.col("high")).alias("high"),
+        F.when(swap, F.col("high")).otherwise(F.col("low")).alias("low"), "close", "volume", "vwap",
+        F.when(minute != 13, F.col("symbol")).alias("symbol"))
+    bars = bars.unionByName(bars.where(minute % 11 == 0))
+    day = F.dayofmonth("date")
+    setups = setups.unionByName(setups.where(day % 5 == 0)).withColumn("symbol", F.when(day != 13, F.col("symbol")))
+    results = results.withColumn("date", F.when(day != 13, F.col("date")))
+    return bars, setups, results
+
+
+CLOCK_CHANGES = ("2024-03-10 07:00:00", "2024-11-03 06:00:00")
+
+
+def clock_change_times(ev: DataFrame) -> DataFrame:
+    """Each event's time laid around both 2024 clock changes of New York (UTC instants): event_id, change, ts.
+
+    The event's seconds modulo two days, from one day before the change on.
+    """
+    offset = F.pmod(F.unix_timestamp(F.col("ts").cast("timestamp")), F.lit(2 * 86400)) - F.lit(86400)
+    out = None
+    for at in CLOCK_CHANGES:
+        base = F.lit(at).cast(TimestampNTZType())
+        rows = ev.select("event_id", F.lit(at).alias("change"), F.timestamp_add("SECOND", offset.cast("int"), base).alias("ts"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

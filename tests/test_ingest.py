@@ -97,6 +97,77 @@ def test_partitioned_write_prunes(spark, tmp_dir):
     assert full.count() == pruned.count() > 0
 
 
+def test_a_rebuild_leaves_no_stale_partition(spark, tmp_dir):
+    bars, _, _ = testdata.load_inputs(spark, SF001)
+    dated = bars.withColumn("utc_date", F.to_date("timestamp"))
+    days = sorted(r[0] for r in dated.select("utc_date").distinct().collect())
+    sinks.create_layers(spark, prefix="smstale")
+    for target in (os.path.join(tmp_dir, "t"), "smstale_raw.bars"):
+        sinks.write_partitioned(dated, target, "utc_date")
+        sinks.write_partitioned(dated.where(F.col("utc_date") == days[0]), target, "utc_date")
+        assert [r[0] for r in sinks.read_table(spark, target).select("utc_date").distinct().collect()] == [days[0]]
+    p = os.path.join(tmp_dir, "range")
+    sinks.write_partitioned(dated, p, "utc_date")
+    sinks.rebuild_partitions(dated.where(F.col("utc_date") == days[1]), p, days[0], days[2], "utc_date")
+    left = sorted(r[0] for r in sinks.read_table(spark, p).select("utc_date").distinct().collect())
+    assert left == [days[1], *days[3:]]
+    with pytest.raises(ValueError):
+        sinks.rebuild_partitions(dated, "smstale_raw.bars", days[0], days[1], "utc_date")
+
+
+def test_one_rule_tells_tables_from_paths(spark, tmp_dir, monkeypatch):
+    assert sinks.is_table("db.t") and sinks.is_table("c.db.t")
+    for path in ("outdir", "out.parquet", "/a/b.c", "a/b.c", "s3://x/y.z", "./x", "x-y.z"):
+        assert not sinks.is_table(path)
+    monkeypatch.chdir(tmp_dir)
+    bars, _, _ = testdata.load_inputs(spark, SF001)
+    target = os.path.join(os.getcwd(), "outdir")
+    sinks.write_table(bars, target)
+    assert readers.read_bars(spark, target).count() == bars.count()
+
+
+def test_seed_columns_go_by_header_name(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "s.csv")
+    with open(p, "w") as fh:
+        fh.write("note,prior_gain,days_up,gain_percent,volume,close,high,low,open,date,symbol\n")
+        fh.write("x,0.5,3,66.5,100,9,11,8,10,2024-01-16,A\n")
+    r = readers.read_setups(spark, p).first()
+    assert (r["open"], r["close"], r["high"], r["low"], r["symbol"], r["days_up"]) == (10.0, 9.0, 11.0, 8.0, "A", 3)
+    with open(p, "a") as fh:
+        fh.write("x,0.5,three,66.5,100,9,11,8,10,2024-01-16,A\n")
+    with pytest.raises(Exception):
+        readers.read_setups(spark, p).collect()
+    u = ingest.universe_from_csv(spark, p)
+    assert [x[0] for x in u.collect()] == ["A"]
+
+
+def test_destination_namespaces_must_exist(spark):
+    bars, setups, results = testdata.load_inputs(spark, SF001)
+    with pytest.raises(ingest.IngestError):
+        pipeline.run_pipeline(spark, bars, setups, results, namespace_prefix="smnone", create_namespaces=False)
+
+
+def test_session_settings_are_the_submitters(spark):
+    from sessionmart.config import get_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert get_session().conf.get("spark.sql.shuffle.partitions") == before
+    from sessionmart.plans import staging
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError):
+            staging.stg_bars(testdata.load_inputs(spark, SF001)[0])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_restriction_comes_before_the_file_dedup(spark, tmp_dir):
+    bars, _, results = testdata.load_inputs(spark, SF001)
+    bars.write.parquet(os.path.join(tmp_dir, "A_1min_a.parquet"))
+    u = ingest.universe(results)
+    got = ingest.read_bar_files(spark, os.path.join(tmp_dir, "*_1min_*.parquet"), u)
+    assert got.exceptAll(ingest.restrict_to_universe(bars, u).select(got.columns)).count() == 0 and got.count() > 0
+
+
 def test_pipeline_writes_layers_and_checks(spark, tmp_dir):
     bars, setups, results = testdata.load_inputs(spark, SF001)
     res = pipeline.run_pipeline(spark, bars, setups, results, out_dir=tmp_dir)
@@ -120,6 +191,7 @@ def test_catalog_tables_per_layer(spark):
     assert res.tables["session_vwap"] == "smlayer_intermediate.session_vwap"
     assert res.tables["setup_funnel"] == "smlayer_marts.setup_funnel"
     assert spark.table("smlayer_marts.setup_funnel").count() == setups.count()
+    assert spark.table("smlayer_raw.setups").count() == spark.table("smlayer_staging.stg_setups").count() == setups.count()
     assert all(r["status"] == "pass" for r in res.checks.collect())
 
 
@@ -168,3 +240,5 @@ def test_cli_ingest_then_build(spark, tmp_dir, capsys):
     assert main(["build", "--bars", raw, "--setups", s_csv, "--results", r_csv,
                  "--out", os.path.join(tmp_dir, "wh")]) == 0
     assert '"failed": 0' in capsys.readouterr().out
+    missing = spark.read.option("header", True).csv(raw + "_missing_symbols")
+    assert missing.columns == ["symbol"] and missing.count() == ingest.missing_symbols(ingest.universe(results), bars).count()

@@ -7,9 +7,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001, SF01
 from parity import compare, duck
+from sessionmart import catalog
+from sessionmart.oracle import ORACLE
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

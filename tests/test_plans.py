@@ -7,8 +7,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF001
+from sessionmart import catalog
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -20,13 +20,13 @@ WINDOW_KEYS = ({"symbol", "session_date"}, {"symbol", "utc_date"})
 def _plan(spark, name):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = E.queries()[name](spark, SF001)
+        df = catalog.queries()[name](spark, SF001)
         return df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_plan_guards(spark, name):
     plan = _plan(spark, name)
     for bad in FORBIDDEN:
@@ -40,6 +40,39 @@ def test_plan_guards(spark, name):
         assert specs, f"{name}: expected session windows in the plan"
 
 
+# Queries that write a table and read it back; all others only plan.
+WRITERS = {"dq_summary", "dq_planted", "single_day_volume", "partitioned_roundtrip", "rebuild_roundtrip", "seed_csv_roundtrip",
+           "seed_reordered_csv", "universe_from_csv"}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - WRITERS))
+def test_building_a_query_runs_no_job(spark, name):
+    spark.read.parquet(f"{SF001}/events.parquet")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"build-{name}", name)
+    try:
+        catalog.queries()[name](spark, SF001)
+        jobs = tracker.getJobIdsForGroup(f"build-{name}")
+        stages = [i for j in jobs for i in tracker.getJobInfo(j).stageIds]
+        assert len(jobs) <= 1 and all(tracker.getStageInfo(i).numTasks == 1 for i in stages)  # the Parquet footer
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_probe_day_reads_its_partition_only(spark):
+    df = catalog.queries()["single_day_volume"](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*utc_date", plan)
+
+
+def test_pipeline_plans_with_adaptive_execution(spark):
+    """The plan that runs: one hash exchange for the session windows and the features on top."""
+    df = catalog.queries()["session_features"](spark, SF001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(symbol#\d+, session_date#\d+", plan)) == 1
+
+
 def test_grain_window_by_symbol_runs_on_day_table(spark):
     plan = _plan(spark, "bar_grain")
     # the symbol-only window sits above an aggregate to (symbol, utc_date)
@@ -49,7 +82,7 @@ def test_grain_window_by_symbol_runs_on_day_table(spark):
 def test_funnel_key_reduction_sits_below_the_window_exchange(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = E.queries()["setup_funnel"](spark, SF001)
+        df = catalog.queries()["setup_funnel"](spark, SF001)
         lines = df._jdf.queryExecution().executedPlan().treeString().splitlines()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
