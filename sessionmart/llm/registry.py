@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracle
 from .chat_format import digests, format_conversations
 from .decontaminate import matches
 from .html_extract import extract
@@ -69,7 +70,7 @@ RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 @query
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url, by rule or by its host's trust."""
-    return filter_urls(table(spark, sf_dir, "pages"), RULES)
+    return filter_urls(table(spark, sf_dir, "pages"), RULES).drop("trust", "distrust")
 
 
 @query
@@ -117,3 +118,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_on=~held_out(F.col("doc_id")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+ORACLE |= {"op1_ngram_jaccard_join": oracle.NEAR_DUPLICATES, "op2_url_filters": oracle.url_filters(RULES),
+           "op3_chat_formatting": oracle.CHATS, "op5_quality_rules": oracle.QUALITY}

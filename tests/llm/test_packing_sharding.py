@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from llm_fixtures import frame  # noqa: F401
 from sessionmart.llm.packing import UnitEncoder, pack
 from sessionmart.llm.registry import tokenizer_file
 from sessionmart.llm.sharding import shard, write_shards

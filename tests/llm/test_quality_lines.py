@@ -89,3 +89,5 @@ def test_rows_repeated_with_their_id_are_one_document(spark):
     got = sorted((x.doc_id, x.runs, x.text) for x in dedup_lines(docs).collect())
     assert got == [(1, "x", t), (1, "y", t), (2, "z", "")]
     assert dedup_lines(docs.where("false")).collect() == []
+    alone = spark.createDataFrame([(i, " ".join(sentences(r, 12))) for i in range(30)], "doc_id long, text string")
+    assert all(x.removed is None for x in dedup_lines(alone).collect())  # hash ranges without any repeat
