@@ -20,7 +20,7 @@ from sessionmart.config import get_session  # noqa: E402
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = get_session()
+    spark = get_session("local[*]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()

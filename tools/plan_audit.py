@@ -30,7 +30,7 @@ def audit(df) -> dict:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = get_session()
+    spark = get_session("local[*]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.adaptive.enabled", "false")   # show the static plan
     for name, fn in catalog.queries().items():
