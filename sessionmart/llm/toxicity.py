@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .decontaminate import word_gaps
-from .textops import U64, WordHasher, byte_values, chunks, mix
+from .textops import U64, WordHasher, byte_values, chunks, mix, shingle_sets
 
 WINDOW, STRIDE, HIDDEN, INPUTS = 64, 48, 8, 5
 MAX_TRAIN, MAX_TRAIN_CHARS = 1500, 40_000
 GRAM_BITS = 20
+PRIOR = 4
 _KNOWN = 500_000
 
 
@@ -90,10 +91,11 @@ class Evidence:
         self.word_hash, code = np.unique(h, return_inverse=True)
         n1 = np.bincount(code, weights=y, minlength=len(self.word_hash))
         n0 = np.bincount(code, minlength=len(self.word_hash)) - n1
-        total = max(1, int(toxic.sum())), max(1, int((toxic == 0).sum()))
+        share = (toxic.sum() + 1) / (len(toxic) + 2)
 
-        def odds(a, b):
-            return np.clip(np.log((a + 1) / (total[0] + 2)) - np.log((b + 1) / (total[1] + 2)), -4, 6).astype(np.float32)
+        def odds(a, b):  # few documents say little: PRIOR documents of the usual mix are added to each count
+            p = (a + PRIOR * share) / (a + b + PRIOR)
+            return np.clip(np.log(p / (1 - p)) - np.log(share / (1 - share)), -4, 6).astype(np.float32)
         seen = n1 + n0 > 1
         self.word_hash, self.word_odds = self.word_hash[seen], odds(n1, n0)[seen]
         self.gram_odds = np.where(gram_n.sum(axis=0) > 1, odds(gram_n[1], gram_n[0]), 0).astype(np.float32)
@@ -250,10 +252,21 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(best, -700, 700)))
 
 
+def distinct(texts: list[str], toxic: list[int]) -> tuple[list[str], list[int]]:
+    """Labelled texts without copies and most near copies (told by their smallest 5-word hash), which would count as evidence again."""
+    hasher, seen, keep = WordHasher(word_gaps()), set(), []
+    for s in chunks(texts, 500_000):
+        for i, x in enumerate(shingle_sets(hasher(texts[s])), s.start):
+            if not len(x) or (x[0], toxic[i]) not in seen:
+                seen.add((x[0], toxic[i]) if len(x) else None)
+                keep.append(i)
+    return [texts[i] for i in keep], [toxic[i] for i in keep]
+
+
 def _midpoint(logit: np.ndarray, y: np.ndarray) -> np.float32:
-    """The logit that parts the classes best (true less false positive rate), halfway to the next score."""
+    """The logit that parts the classes with the fewest errors, halfway to the next score."""
     order = np.argsort(-logit, kind="stable")
-    gain = np.cumsum(np.where(y[order] == 1, 1 / max(1, y.sum()), -1 / max(1, (y == 0).sum())))
+    gain = np.cumsum(np.where(y[order] == 1, 1, -1))
     k = int(gain.argmax())
     return np.float32((logit[order[k]] + logit[order[min(k + 1, len(order) - 1)]]) / 2)
 
@@ -261,6 +274,7 @@ def _midpoint(logit: np.ndarray, y: np.ndarray) -> np.float32:
 def train(texts: list[str], toxic: list[int], rounds: int = 5, steps: int = 60, batch: int = 192, rate: float = 0.02,
           seed: int = 11) -> Scorer:
     """Fit evidence and network on labelled texts."""
+    texts, toxic = distinct(texts, toxic)
     y = np.array(toxic, np.int64)
     r = np.random.default_rng(seed)
     half = r.permutation(len(y)) % 2
