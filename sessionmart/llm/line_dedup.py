@@ -177,7 +177,7 @@ def _later_runs(key, pdf: pd.DataFrame) -> pd.DataFrame:
         gram, doc, hash_, first, last, context = (np.concatenate(many[c]) for c in many)
         i, lo, hi, _ = _match(gram, doc, hash_, first, last, context, _REACH)
         found(doc[i], hash_[i], lo, hi)
-    return pd.DataFrame({"doc": np.array(docs, np.int64), "hash": np.array(hashes, np.int64), "runs": runs})
+    return pd.DataFrame({"doc": np.array(docs, np.int64), "hash": np.array(hashes, np.int64), "runs": pd.Series(runs, dtype=object)})
 
 
 def cut_lines(lines: Lines, i: int, runs: np.ndarray) -> tuple[bytes, list[tuple[int, int]], int]:
@@ -217,9 +217,10 @@ def _rewrite_rows(columns: list[str]):
                 for k, i in enumerate(hit[s]):
                     b, spans[i], removed[i] = cut_lines(lines, k, np.asarray(pdf["__runs"].iloc[i], np.int64))
                     text[i] = b.decode("utf-8", "surrogatepass")
-            out["text"] = text
+            out["text"] = pd.Series(text, index=out.index, dtype=object)
             out["removed_words"] = removed
-            out["removed"] = [None if x is None else [{"from": a, "to": b} for a, b in x] for x in spans]
+            out["removed"] = pd.Series([None if x is None else [{"from": a, "to": b} for a, b in x] for x in spans],
+                                       index=out.index, dtype=object)
             yield out
     return run
 
