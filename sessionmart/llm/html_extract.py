@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRAIN_PAGES = 1200
+TRAIN_PAGES = 2000
 SEED = 7
 
 # Element names of the HTML standard.
@@ -45,15 +45,18 @@ _RAW_END = {t: re.compile(f"</{t}\\b[^>]*(?:>|\\Z)", re.I) for t in RAW}
 
 
 class Element:
-    __slots__ = ("tag", "feats", "link", "part")
+    """An open element: features of it and its ancestors, whether in a link, the nearest part of the page, and
+    words of the nearest class, id or role."""
 
-    def __init__(self, tag: str, feats: frozenset, link: bool, part: str) -> None:
-        self.tag, self.feats, self.link, self.part = tag, feats, link, part
+    __slots__ = ("tag", "feats", "link", "part", "near")
+
+    def __init__(self, tag: str, feats: frozenset, link: bool, part: str, near: frozenset) -> None:
+        self.tag, self.feats, self.link, self.part, self.near = tag, feats, link, part, near
 
 
 def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
     """Leaf blocks of a page in order: text, features of the ancestors, tag, share of link text."""
-    stack = [Element("", frozenset(), False, "")]
+    stack = [Element("", frozenset(), False, "", frozenset())]
     out: list[tuple[str, frozenset, str, float]] = []
     pieces: list[str] = []
     linked, where, at = 0, stack[-1], 0
@@ -63,7 +66,7 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append((text, where.feats | {"part=" + where.part}, where.tag, min(1.0, linked / len(text))))
+                out.append((text, where.feats | where.near | {"part=" + where.part, f"{where.part}/{where.tag}"}, where.tag, min(1.0, linked / len(text))))
         pieces, linked = [], 0
 
     def add(raw: str) -> None:
@@ -113,14 +116,16 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
             elif stack[i].tag in SCOPE:
                 break
         parent = stack[-1]
-        own = set()
+        own, near = set(), parent.near
         if tag in BLOCK:
             own.add("in=" + tag)
         if m[3]:
             for a in _ATTR.finditer(m[3]):
                 own.update("is=" + w.lower() for w in _WORD.findall(a[2] or a[3] or a[4] or "") if len(w) > 1)
+            named = frozenset("near" + w[2:] for w in own if w.startswith("is="))
+            near = named or near
         feats = parent.feats if own <= parent.feats else parent.feats | own
-        stack.append(Element(tag, feats, parent.link or tag == "a", tag if tag in PART else parent.part))
+        stack.append(Element(tag, feats, parent.link or tag == "a", tag if tag in PART else parent.part, near))
     close_block()
     return out
 
@@ -136,12 +141,13 @@ def features(found: list[tuple[str, frozenset, str, float]]) -> list[list[str]]:
             f.append("sentence")
         if any(c in text for c in "©®") or "(c)" in text:
             f.append("mark")
-        if size >= 8 and link < 0.3:
+        prose = size >= 8 and link < 0.3
+        if prose:
             f.append("prose")
-        if i == 0:
-            f.append("first")
-        if i == n - 1:
-            f.append("last")
+        if not any(x.startswith("near=") for x in up):
+            f.append(f"unnamed={prose}")
+            if any(c in text for c in "©®"):
+                f.append("unnamed mark")
         if i:
             f.append("before=" + found[i - 1][2])
             if found[i - 1][1] == up:
@@ -181,7 +187,7 @@ class Crf:
         return path[::-1]
 
 
-def train(pages: list[tuple[list[list[str]], list[int]]], steps: int = 150, rate: float = 0.15, l2: float = 2e-4,
+def train(pages: list[tuple[list[list[str]], list[int]]], steps: int = 140, rate: float = 0.2, l2: float = 1e-4,
           least: int = 4) -> Crf:
     """Maximum likelihood of labelled sequences by full-batch gradients (Adam); rare features are left out."""
     count: dict[str, int] = {}
@@ -254,6 +260,7 @@ PARTS = {
 }
 MAIN_NAMES = ["content", "post", "post-content", "entry", "entry-content", "article", "article-body", "article-content", "story", "story-body",
               "main", "main-content", "text", "body-text", "page-content", "blog-post", "single", "wrapper", "container", "column", "page", "inner"]
+ROLES = {"menu": "navigation", "header": "banner", "footer": "contentinfo", "sidebar": "complementary", "form": "search"}
 TAGS = {"menu": ["nav", "div", "ul", "nav"], "header": ["header", "div"], "footer": ["footer", "div", "footer"],
         "sidebar": ["aside", "div", "section", "aside"], "notice": ["div", "section", "aside", "p"], "ad": ["div", "aside", "section", "ins", "p"],
         "form": ["form", "div", "section"], "comments": ["section", "div", "ol", "ul", "aside"], "share": ["div", "ul", "p"]}
@@ -271,12 +278,18 @@ class PageMaker:
         w = self.r.choices(self.vocabulary, k=self.r.randint(lo, hi))
         for i in range(6, len(w) - 2, self.r.randint(6, 14)):
             w[i] += self.r.choice([".", ",", ".", "!", "?"])
+        if self.r.random() < 0.1:  # listings and decorated words
+            w = [x + self.r.choice(["***", " |", "%", "$", "#"]) for x in w]
         text = " ".join(w).capitalize() + ("." if stop else "")
         return text.replace("ing ", "ing &amp; ", 1) if self.r.random() < 0.05 else text
 
     def named(self, part: str, inner: str, bare: float = 0.0) -> str:
         tag = self.r.choice(TAGS[part])
         name = self.r.choice(PARTS[part])
+        if part in ("menu", "footer") and self.r.random() < 0.12:
+            return f"<div>{inner}</div>"
+        if part in ROLES and self.r.random() < 0.12:
+            return f'<div role="{ROLES[part]}">{inner}</div>'
         attr = self.r.choice([f' class="{name}"', f' id="{name}"', f' class="{name} x{self.r.randint(1, 9)}"', f" class='box {name}'", f' id={name}'])
         if tag in ("nav", "header", "footer", "aside", "form") and self.r.random() < 0.6 or self.r.random() < bare:
             attr = ""
@@ -319,6 +332,8 @@ class PageMaker:
         if part == "comments":
             one = lambda: self.named("comments", (f"<b>{self.words(1, 2, False)}</b> " if r.random() < 0.5 else "") + self.prose(1, 2))
             head = f"<h2>{self.words(1, 3, False)}</h2>" if r.random() < 0.6 else ""
+            if r.random() < 0.15:
+                one = lambda: f'<article class="{r.choice(PARTS["comments"])}"><p>{self.words(3, 40)}</p></article>'
             body = "".join(one() if r.random() < 0.7 else f"<li><p>{self.words(3, 40)}</p></li>" if r.random() < 0.5 else f"<div><p>{self.words(3, 40)}</p></div>"
                            for _ in range(r.randint(1, 5)))
             return self.named(part, head + body)
@@ -332,9 +347,9 @@ class PageMaker:
         for _ in range(r.randint(1, 9)):
             kind = r.random()
             if kind < 0.5:
-                out.append(f"<p>{self.words(1, 90)}" + ("</p>" if r.random() < 0.9 else ""))
+                out.append(f"<p>{self.words(1, 90, r.random() < 0.7)}" + ("</p>" if r.random() < 0.9 else ""))
             elif kind < 0.62:
-                out.append(f"<p><b>{self.words(2, 14)}" + r.choice(["</b>", ""]) + "<br>")
+                out.append(f"<p><b>{self.words(2, 14, r.random() < 0.7)}" + r.choice(["</b>", ""]) + "<br>")
             elif kind < 0.72:
                 out.append(f"<h{(k := r.randint(2, 4))}>{self.words(1, 8, False)}</h{k}>")
             elif kind < 0.78:
@@ -348,7 +363,7 @@ class PageMaker:
             elif kind < 0.94:
                 out.append("<table>" + "".join(f"<tr><td>{self.words(1, 4, False)}<td>{self.words(1, 4, False)}" for _ in range(2)) + "</table>")
             else:
-                out.append(f"<div>{self.words(3, 60)}</div>")
+                out.append(f"<div>{self.words(3, 60, r.random() < 0.7)}</div>")
         return out
 
     def page(self) -> tuple[str, str]:
@@ -357,15 +372,16 @@ class PageMaker:
         body = self.main()
         title = f"<h1>{self.words(2, 12, False)}</h1>" if r.random() < 0.75 else ""
         parts = [(x, True) for x in ([title] if title else []) + body]
-        for part, p in (("ad", 0.3), ("sidebar", 0.08), ("form", 0.12), ("share", 0.15), ("notice", 0.12), ("menu", 0.05)):
+        for part, p in (("ad", 0.3), ("ad", 0.1), ("sidebar", 0.15), ("form", 0.2), ("share", 0.15), ("notice", 0.2), ("menu", 0.05)):
             if r.random() < p:
                 parts.insert(r.randint(0, len(parts)), (self.extra(part), False))
         for part, p in (("comments", 0.2), ("sidebar", 0.1), ("footer", 0.06)):
             if r.random() < p:
                 parts.append((self.extra(part), False))
         tag, name = r.choice(["article", "article", "article", "main", "div", "div", "section", "td"]), r.choice(MAIN_NAMES)
-        attr = f' class="{name}"' if r.random() < 0.5 else f' id="{name}"' if r.random() < 0.4 else ""
-        around = [(f"<table><tr>{'<td>' + self.links(2, 5) + '</td>' if r.random() < 0.5 else ''}<td>" if tag == "td" else f"<{tag}{attr}>", False), *parts,
+        attr = f' class="{name}"' if r.random() < 0.5 else f' id="{name}"' if r.random() < 0.4 else ' role="main"' if r.random() < 0.1 else ""
+        bare = r.random() < 0.2  # no element of its own around the text
+        around = parts if bare else [(f"<table><tr>{'<td>' + self.links(2, 5) + '</td>' if r.random() < 0.5 else ''}<td>" if tag == "td" else f"<{tag}{attr}>", False), *parts,
                   ("</td></tr></table>" if tag == "td" else f"</{tag}>", False)]
         if r.random() < 0.4:
             outer = r.choice(["main", "div", "section"])
@@ -374,6 +390,7 @@ class PageMaker:
         after = [self.extra(p) for p, q in (("share", 0.15), ("comments", 0.35), ("sidebar", 0.3), ("ad", 0.25), ("form", 0.2), ("footer", 0.8), ("notice", 0.15)) if r.random() < q]
         if r.random() < 0.5:
             r.shuffle(before)
+        before, after = [] if r.random() < 0.35 else before, [] if r.random() < 0.35 else after
         whole = [("<!DOCTYPE html><html><head><title>" + self.words(1, 6) + "</title><style>p{}</style><script>var a='</p>';</script></head><body>", False),
                  *((x, False) for x in before), *around, *((x, False) for x in after), ("</body></html>" if r.random() < 0.8 else "", False)]
         return ("".join(x for x, _ in whole),
@@ -408,8 +425,8 @@ def _extract_rows(model, columns: list[str]):
         for pdf in batches:
             out = pdf[columns].copy()
             got = [main_text(crf, h) for h in pdf["html"]]
-            out["text"] = [t for t, _ in got]
-            out["blocks"] = [b for _, b in got]
+            out["text"] = pd.Series([t for t, _ in got], index=out.index, dtype=object)
+            out["blocks"] = pd.Series([b for _, b in got], index=out.index, dtype=object)
             yield out
     return run
 
