@@ -19,9 +19,10 @@ def small(seed=8):
     docs[12] = "same words again and again " * 30
     for i in (20, 21, 22):
         docs[i] += "\n" + passage
+    docs[31] = say(120)
     w = docs[31].split(" ")
-    w[len(w) // 2] = "changed"
-    docs[100] = " ".join(w).replace(". ", ", ").replace(".\n", ",\n")  # a near copy whose lines all differ
+    w[60] = "changed"
+    docs[100] = " ".join(w)  # a near copy whose one line differs
     docs[101] = docs[32]
     return docs, item, passage
 
