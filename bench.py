@@ -8,7 +8,7 @@ JSON line:
 {"metric": "total_query_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Also reported:
-* ``pipeline`` -- the full production-style build (checkpointed window table,
+* ``pipeline`` -- the full production-style build (window table written once,
   partitioned table writes, 42 checks over the written tables), one run;
 * ``pruning`` -- bytes / files scanned by SUM(volume) over the raw bars loaded
   partitioned by UTC day: whole table vs one day.

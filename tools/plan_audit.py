@@ -1,5 +1,5 @@
-"""Print, per registered query, the shuffles / broadcasts / sorts in its physical
-plan and the columns each scan reads.
+"""Print, per registered query, the shuffles / broadcasts / sorts in the physical
+plan that ran (adaptive execution on) and the columns each scan reads.
 
     python tools/plan_audit.py [sf_dir] [key ...]
 """
@@ -17,7 +17,8 @@ from sessionmart.config import get_session  # noqa: E402
 
 
 def audit(df) -> dict:
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     return {
         "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
         "broadcasts": plan.count("BroadcastExchange"),
@@ -28,11 +29,10 @@ def audit(df) -> dict:
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     only = set(sys.argv[2:])
-    spark = get_session("local[*]", 8)
+    spark = get_session("local[2]", 8)
     spark.sparkContext.setLogLevel("ERROR")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")   # show the static plan
     for name, fn in catalog.queries().items():
         if only and name not in only:
             continue
