@@ -11,7 +11,7 @@ tokens. So sequences are full or a power of two long.
 
 Token ids come from a byte-level BPE file of the ``tokenizers`` library. Its
 pre-tokeniser never joins white space or words across the places where white
-space meets a word, so each such unit is encoded once a task and looked up by
+space meets a word, or where letters end at punctuation, so each such unit is encoded once a task and looked up by
 its 64-bit hash afterwards. Texts with white space outside ASCII are encoded whole.
 
 A document's ids end with ``end_id``. Null text: empty (one id). Null
@@ -50,6 +50,11 @@ class UnitEncoder:
         self.space, self.values = is_space(), byte_values()
         self.up, self.down = powers(1 << 16)
         self.wide = re.compile(WIDE_SPACE)
+        self.feed = int(self.whole("\n")[0])
+        ascii_ = np.arange(256)
+        self.letter = ((ascii_ | 32) >= ord("a")) & ((ascii_ | 32) <= ord("z")) & (ascii_ < 128)
+        digit = (ascii_ >= ord("0")) & (ascii_ <= ord("9"))
+        self.mark = (ascii_ > 32) & (ascii_ < 127) & ~self.letter & ~digit & (ascii_ != ord("'"))
         self._forget()
 
     def _forget(self) -> None:
@@ -58,7 +63,7 @@ class UnitEncoder:
         self.off = np.zeros(1 << 16, np.int64)
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _units(self, buf: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Start of each unit; ``first``: where texts start (the byte before is a separator), with the end."""
@@ -75,20 +80,36 @@ class UnitEncoder:
         nxt = np.searchsorted(start, tails)
         following = np.where(nxt < len(start), start[np.minimum(nxt, max(len(start) - 1, 0))] if len(start) else 0, len(buf))
         last = (tails < stop) & (following >= stop) & gap[np.minimum(tails, len(buf) - 1)]
-        return np.unique(np.concatenate((unit, before[left > 0], (unit - 1)[(left > 1) & ~spaced], tails[last])))
-
-    def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
-        at = len(self.known)
-        ids = [e.ids for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        while at + len(ids) + 1 > len(self.off):
-            self.off = np.concatenate((self.off, np.zeros_like(self.off)))
-        self.off[at + 1:at + 1 + len(ids)] = self.off[at] + np.cumsum(lens)
-        total = int(self.off[at + len(ids)])
-        while total > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.flat[self.off[at]:total] = np.fromiter((x for i in ids for x in i), np.uint32, total - int(self.off[at]))
-        self.known.update(zip(hashes.tolist(), range(at, at + len(ids))))
+        mark = np.zeros(len(buf) + 1, bool)
+        for at in (unit, before[left > 0], (unit - 1)[(left > 1) & ~spaced], tails[last]):
+            mark[at] = True
+        mark[1:-1] |= self.letter[buf[:-1]] & self.mark[buf[1:]]  # letters end where ASCII punctuation starts
+        return np.flatnonzero(mark)
+
+    def _learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
+        """Encode new units. Words go in one text, divided by line feeds, each of which is a token of its own."""
+        for space in (False, True):
+            some = [i for i, u in enumerate(units) if u.isspace() == space]
+            if not some:
+                continue
+            if space:
+                ids = [self.whole(units[i].decode()) for i in some]
+                flat, lens = np.concatenate(ids), np.array([len(x) for x in ids])
+            else:
+                text = b"\n" + b"\n".join(units[i] for i in some)
+                ids = self.whole(text.decode("utf-8", "surrogatepass"))
+                feed = np.flatnonzero(ids == self.feed)
+                flat, lens = np.delete(ids, feed), np.diff(np.append(feed, len(ids))) - 1
+                assert len(feed) == len(some)
+            at = len(self.known)
+            while at + len(some) + 1 > len(self.off):
+                self.off = np.concatenate((self.off, np.zeros_like(self.off)))
+            self.off[at + 1:at + 1 + len(some)] = self.off[at] + np.cumsum(lens)
+            total = int(self.off[at + len(some)])
+            while total > len(self.flat):
+                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+            self.flat[self.off[at]:total] = flat
+            self.known.update(zip(hashes[some].tolist(), range(at, at + len(some))))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         plain = [t if t.isascii() or not self.wide.search(t) else None for t in texts]
@@ -111,7 +132,7 @@ class UnitEncoder:
         new = [i for i, x in enumerate(uniq.tolist()) if x not in self.known]
         if new:
             data, a, b = buf.tobytes(), start[where[new]], end[where[new]]
-            self._learn(uniq[new], [data[i:j].decode("utf-8", "surrogatepass") for i, j in zip(a.tolist(), b.tolist())])
+            self._learn(uniq[new], [data[i:j] for i, j in zip(a.tolist(), b.tolist())])
         slot = np.fromiter((self.known[x] for x in uniq.tolist()), np.int64, len(uniq))[code]
         a, n = self.off[slot], self.off[slot + 1] - self.off[slot]
         to = np.concatenate(([0], np.cumsum(n)))
