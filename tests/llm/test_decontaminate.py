@@ -57,3 +57,44 @@ def test_edited_copies_are_found_and_clean_documents_are_not(spark):
     assert sorted(str(x.doc_id) for x in clean) == sorted(str(d) for d, _ in rows if d not in {p for p, _ in got})
     assert matches(docs, bench.where("false")).collect() == [] and matches(docs.where("false"), bench).collect() == []
     assert decontaminate(docs, bench.where("false")).count() == len(rows)
+
+
+def test_no_spread_of_edits_hides_a_copy(spark):
+    r = random.Random(8)
+    items = [[f"w{k}x{j}" for j in range(n)] for k, n in enumerate([3, 4, 26, 33, 60, 120] * 4)]
+    rows, planted = [], set()
+
+    def plant(k, words):
+        at, own = r.randrange(60), [f"own{r.randrange(9999)}" for _ in range(60)]
+        own[at:at] = words
+        planted.add((len(rows), k))
+        rows.append((len(rows), " ".join(own)))
+    for k, item in enumerate(items):
+        for step in (3, 4, 5):  # every third, fourth, fifth word changed, and verbatim copies beside
+            plant(k, [f"new{r.randrange(9999)}" if j % step == step - 1 else w for j, w in enumerate(item)])
+        plant(k, [x for w in item for x in (w, f"ins{r.randrange(9999)}")])  # a word behind every word
+        plant(k, item)
+        for share in (0.2, 0.25):
+            words = edited(r, item, share)
+            if plain_align(item, words) >= len(item):
+                plant(k, words)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    assert {(m.doc_id, m.item_id) for m in matches(docs, bench).collect()} == planted
+
+
+def test_all_alignments_that_count_are_found_in_texts_of_few_words(spark):
+    r = random.Random(9)
+    say = lambda n: [r.choice("abcdefghijklmnop") for _ in range(n)]
+    items, docs = [say(r.choice([3, 4, 5, 6, 8, 12])) for _ in range(30)], [say(r.randint(0, 60)) for _ in range(60)]
+    want = {(d, k): plain_align(x, y) for d, y in enumerate(docs) for k, x in enumerate(items) if plain_align(x, y) >= len(x)}
+    got = matches(spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id long, text string"),
+                  spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")).collect()
+    assert len(want) > 50 and {(m.doc_id, m.item_id): round(m.score * 2 * len(items[m.item_id])) for m in got} == want
+
+
+def test_case_is_folded_beyond_a_to_z(spark):
+    text = "ñandú éxito straße übung ключ слово"
+    docs = spark.createDataFrame([(1, text.upper()), (2, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, text)], "item_id long, text string")
+    assert sorted((m.doc_id, m.score) for m in matches(docs, bench).collect()) == [(1, 1.0), (2, 1.0)]
