@@ -1,9 +1,9 @@
 """Quality rules: base counts of a document, and cross-document line frequency.
 
 Lines are normalised (lower case, single spaces) and hashed. For each host (the ``source``) the distinct
-documents that hold a line are counted; copies and near copies of one document, told by
-the smallest hash among their other lines, count once. A line above the limits (a share of the host's
-documents, and a least number) is boilerplate and is removed. A document is
+documents that hold a line are counted. Copies (the same set of lines) count once. Pages that share lines above the limits are told apart by the smallest
+hash among their own lines: those neither above them nor edited from such a line (first or last three words the same).
+Pages without own lines are near copies and told by their rarest line above the limits. A line above the limits (a share of the host's documents, and a least number) is boilerplate and is removed. A document is
 rejected if it fails the base rules, or if too few words remain.
 
 DataFrame functions only. One pass over the texts writes a small table (counts and
@@ -26,6 +26,7 @@ SPACES = r"[ \t-\r]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 MIN_DOCS, HOST_PERCENT, MIN_LEFT_PERCENT = 20, 2, 30
+EDGE_WORDS = 3
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -46,6 +47,12 @@ def line_hash(norm: Column) -> Column:
     return F.substring(F.md5(norm.cast("binary")), 1, 16)
 
 
+def line_edges(norm: Column) -> Column:
+    """Hashes of a line's first and last words; none if it is too short to have both."""
+    return F.when(F.get(F.split(norm, " ", 2 * EDGE_WORDS), F.lit(2 * EDGE_WORDS - 1)).isNotNull(),
+                  F.array(F.xxhash64(F.substring_index(norm, " ", EDGE_WORDS)), F.xxhash64(F.substring_index(norm, " ", -EDGE_WORDS))))
+
+
 def repeat_words(df: DataFrame, words: str, n: int = WINDOW) -> DataFrame:
     """Adds n_repeat_words: words inside n-word windows that occur twice or more in the array ``words``.
 
@@ -86,19 +93,33 @@ def measure(docs: DataFrame) -> DataFrame:
         "doc_id", "host", "row", "n_words", F.length(_without(F.col("text"), SPACE)).cast("long").alias("word_chars"),
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words",
-        F.slice(F.sort_array(F.array_distinct("hashes")), 1, 2).alias("low"), "hashes",
+        F.xxhash64(F.sort_array(F.array_distinct("hashes"))).alias("copy"), "hashes",
+        F.transform("norms", line_edges).alias("edges"),
         F.transform("norms", lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("line_words"))
 
 
 def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, host_percent: float = HOST_PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of lines (row, host, line, words, sign), and the lines above the limits (host, line)."""
-    line, low = F.col("x.hashes"), F.col("low")
-    sign = F.when(line == F.get(low, F.lit(0)), F.coalesce(F.get(low, F.lit(1)), line)).otherwise(F.get(low, F.lit(0)))
-    lines = (measured.select("row", "host", "low", F.explode(F.arrays_zip("hashes", "line_words")).alias("x"))
-             .select("row", "host", sign.alias("sign"), line.alias("line"), F.col("x.line_words").alias("words")))
+    """Occurrences of lines (row, host, copy, line, words), and the lines above the limits (host, line)."""
+    lines = (measured.select("row", "host", "copy", F.explode(F.arrays_zip("hashes", "edges", "line_words")).alias("x"))
+             .select("row", "host", "copy", F.col("x.hashes").alias("line"), F.col("x.edges").alias("edges"), F.col("x.line_words").alias("words")))
     docs = measured.groupBy("host").agg(F.count("*").alias("host_docs"))
-    often = (lines.groupBy("host", "line").agg(F.countDistinct("sign").alias("n_docs")).where(F.col("n_docs") > min_docs)
-             .join(docs, "host").where(F.col("n_docs") * 100 > F.col("host_docs") * host_percent).select("host", "line"))
+
+    def above(counted: DataFrame) -> DataFrame:
+        return (counted.where(F.col("n_docs") > min_docs).join(docs, "host")
+                .where(F.col("n_docs") * 100 > F.col("host_docs") * host_percent).select("host", "line", "n_docs"))
+    common = written(above(lines.groupBy("host", "line").agg(F.countDistinct("copy").alias("n_docs"))), "common-lines")
+    page = ["host", "copy"]
+    sharing = lines.join(common, ["host", "line"], "left_semi").select(page).distinct()
+    held = written(lines.join(sharing, page, "left_semi").select(*page, "line", "edges").distinct()
+                   .join(common, ["host", "line"], "left"), "held-lines")
+    own, shared = held.where("n_docs is null"), held.where("n_docs is not null")
+    edges = shared.select("host", F.explode("edges").alias("edge")).distinct()
+    edited = own.select(*page, "line", F.explode("edges").alias("edge")).join(edges, ["host", "edge"], "left_semi")
+    own = own.join(edited, [*page, "line"], "left_anti").groupBy(page).agg(F.min("line").alias("own"))
+    rarest = F.min(F.struct("n_docs", "line"))["line"]
+    signs = shared.groupBy(page).agg(rarest.alias("rarest"), F.collect_list("line").alias("lines")).join(own, page, "left")
+    often = above(signs.select("host", F.coalesce("own", "rarest").alias("sign"), F.explode("lines").alias("line"))
+                  .groupBy("host", "line").agg(F.countDistinct("sign").alias("n_docs"))).select("host", "line")
     return lines, often
 
 
@@ -112,7 +133,7 @@ def judge(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int =
     copies = measured.groupBy("row", "host").agg(F.count("*").alias("copies"))
     gone = (gone.join(copies, ["row", "host"])
             .select("row", "host", (F.col("all_words") / F.col("copies")).cast("long").alias("removed_words"), "removed_lines"))
-    df = measured.drop("hashes", "line_words", "low").join(gone, ["row", "host"], "left")
+    df = measured.drop("hashes", "line_words", "copy", "edges").join(gone, ["row", "host"], "left")
     removed = F.coalesce("removed_words", F.lit(0)).cast("long")
     left = F.col("n_words") - removed
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)

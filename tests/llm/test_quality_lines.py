@@ -91,3 +91,19 @@ def test_rows_repeated_with_their_id_are_one_document(spark):
     assert dedup_lines(docs.where("false")).collect() == []
     alone = spark.createDataFrame([(i, " ".join(sentences(r, 12))) for i in range(30)], "doc_id long, text string")
     assert all(x.removed is None for x in dedup_lines(alone).collect())  # hash ranges without any repeat
+
+
+def test_template_lines_of_a_host_go_however_many_its_pages_share(spark):
+    own = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(100 * t + i, "\n".join([f"line {k} of template {t} here" for k in range(t)] + [own(100 * t + i, 30 + 4 * t)]), f"h{t}")
+            for t in (2, 5, 10, 40) for i in range(60)]
+    article = [own(9000 + j, 12) for j in range(20)]
+    for i in range(60):  # near copies, one word each edited, count once
+        lines = [x.split() for x in article]
+        lines[i % 20][i % 12] = f"e{i}"
+        rows.append((10_000 + i, "\n".join(map(" ".join, lines)), "h0"))
+    rows += [(20_000 + i, "\n".join([own(3, 20), own(4, 20), own(500 + i // 3, 30)]), "h1") for i in range(60)]  # 20 texts, three times each
+    got = {r.doc_id: r.removed_words for r in judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for t in (2, 5, 10, 40):
+        assert all(got[100 * t + i] == 6 * t for i in range(60))
+    assert not any(got[d] for d in got if d >= 10_000)
