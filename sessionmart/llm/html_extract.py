@@ -28,7 +28,8 @@ SEED = 7
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea", "title", "head")
+RAW = ("script", "style", "textarea", "title")
+HIDDEN = frozenset("noscript template iframe svg".split())
 BLOCK = frozenset("""address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html img input label legend li main menu nav ol option p pre
 section select summary table tbody td tfoot th thead tr ul video""".split())
@@ -45,13 +46,13 @@ _RAW_END = {t: re.compile(f"</{t}\\b[^>]*(?:>|\\Z)", re.I) for t in RAW}
 
 
 class Element:
-    """An open element: features of it and its ancestors, whether in a link, the nearest part of the page, and
-    words of the nearest class, id or role."""
+    """An open element: features of it and its ancestors, whether in a link, the nearest part of the page,
+    words of the nearest class, id or role, and the hidden element it is or lies in."""
 
-    __slots__ = ("tag", "feats", "link", "part", "near")
+    __slots__ = ("tag", "feats", "link", "part", "near", "hidden")
 
-    def __init__(self, tag: str, feats: frozenset, link: bool, part: str, near: frozenset) -> None:
-        self.tag, self.feats, self.link, self.part, self.near = tag, feats, link, part, near
+    def __init__(self, tag: str, feats: frozenset, link: bool, part: str, near: frozenset, hidden: str = "") -> None:
+        self.tag, self.feats, self.link, self.part, self.near, self.hidden = tag, feats, link, part, near, hidden
 
 
 def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
@@ -71,7 +72,7 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
 
     def add(raw: str) -> None:
         nonlocal linked, where
-        if raw:
+        if raw and not stack[-1].hidden:
             if not pieces or not where.feats:
                 where = next((e for e in reversed(stack) if not e.tag or e.tag in BLOCK), stack[0])
             pieces.append(raw)
@@ -88,7 +89,7 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag in BLOCK:
+            if tag in BLOCK and not (stack[-1].hidden and any(e.tag == tag and e.hidden for e in stack)):
                 close_block()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
@@ -100,12 +101,13 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
         if tag in _RAW_END and not (m[3] or "").endswith("/"):
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
-            if tag in BLOCK:
-                close_block()
             continue
-        if tag in BLOCK:
+        if stack[-1].hidden == "svg" and tag in BLOCK and not any(e.tag == "foreignobject" for e in stack):
+            while stack[-1].hidden == "svg":  # a block ends an open drawing
+                stack.pop()
+        if tag in BLOCK and not stack[-1].hidden:
             close_block()
-        if tag in VOID:
+        if tag in VOID or tag == "head":  # what a head may hold has no text; all else is of the body
             continue
         ends = ("p",) if tag in CLOSES_P else SAME.get(tag, ())
         for i in range(len(stack) - 1, 0, -1):
@@ -113,7 +115,7 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
                 del stack[i:]
                 if len(ends) == 1:
                     break
-            elif stack[i].tag in SCOPE:
+            elif stack[i].tag in SCOPE or stack[i].tag in HIDDEN:
                 break
         parent = stack[-1]
         own, near = set(), parent.near
@@ -125,7 +127,8 @@ def blocks(page: str) -> list[tuple[str, frozenset, str, float]]:
             named = frozenset("near" + w[2:] for w in own if w.startswith("is="))
             near = named or near
         feats = parent.feats if own <= parent.feats else parent.feats | own
-        stack.append(Element(tag, feats, parent.link or tag == "a", tag if tag in PART else parent.part, near))
+        stack.append(Element(tag, feats, parent.link or tag == "a", tag if tag in PART else parent.part, near,
+                             parent.hidden or (tag if tag in HIDDEN and not (m[3] or "").endswith("/") else "")))
     close_block()
     return out
 

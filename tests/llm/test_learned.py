@@ -113,3 +113,17 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert len(got) == 503
     none = T.score(docs, labels.where("toxic = 0")).collect()
     assert {x.score for x in none} == {0.0} and T.score(docs.where("false"), labels).collect() == []
+
+
+def test_missing_end_tags_and_embedded_elements_lose_no_text():
+    text = lambda page: [b[0] for b in H.blocks(page)]
+    for head in ("<head><title>No</title><meta charset=utf-8>", "<head><title>No</title></head>", "<head><style>p{}</style><script>var a</script>", ""):
+        assert text(f"<html>{head}<body><p>First words.<p>More words.</body></html>") == ["First words.", "More words."]
+    assert text("<head><title>No</title><p>First words.") == ["First words."]
+    for tag in ("svg", "noscript", "iframe", "template"):
+        assert text(f"<article><div>One <{tag}><g>no</div><p>Two.</p></article><p>Three.") == ["One", "Two.", "Three."]
+        assert text(f"<article><p>One <{tag}><g>no</g></{tag}> and two.</p><p>Three.</article>") == ["One and two.", "Three."]
+    assert text("<noscript><p>no</p><div>no</div></noscript><p>One <noscript><div>no</div></noscript>and two.") == ["One and two."]
+    assert text("<div><svg><path d=x><p>One.</p><p>Two.</p></div>") == ["One.", "Two."]
+    assert text("<p>Let <math><mi>x</mi></math> be <object data=a>given</object> here.<p>Next.") == ["Let x be given here.", "Next."]
+    assert text("<article><object data=a><p>One.</article><p>Two.") == ["One.", "Two."]
