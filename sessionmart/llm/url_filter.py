@@ -3,9 +3,11 @@
 A rule such as ``example.org/es/`` fits urls of its host and all subdomains whose path
 starts with its path; the longest rule that fits decides. Hosts with allowed pages are
 trusted seeds, hosts with blocked pages are distrusted ones, each weighted by the share
-of its pages. Trust follows the links between hosts (personalised PageRank); distrust
-follows them backwards, from a blocked host to those that link to it. A page without a rule is
-blocked if its host's distrust exceeds its trust and a threshold.
+of its pages; a linked host without own pages is judged by the paths that are linked. Trust follows the links
+between hosts (personalised PageRank); distrust follows them backwards, from a blocked host to those that link to it. A
+page without a rule is blocked if its host's distrust exceeds its trust and a threshold, or if the mean distrust of the hosts it
+links to exceeds the mean trust of those that link to it and the threshold, each taken as a share of the
+score that seeds everywhere would give. The shares do not depend on how many other hosts link to the same target.
 
 All steps are DataFrame operations. Links are pre-aggregated to host edges before any
 join; rules are matched once a host, by an equality join on the host's suffixes, and pages
@@ -28,6 +30,8 @@ ROUNDS = 12
 MIN_DISTRUST = 0.05
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
+TARGET = LINK.replace("([^/?#", "([^?#")  # host and path
+
 
 def host_and_path(url):
     """Columns host and path of a url column."""
@@ -79,6 +83,13 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping:
     return score
 
 
+def _seeds(verdict: DataFrame) -> DataFrame:
+    """Shares of allowed and of blocked rows a host."""
+    return verdict.groupBy("host").agg(
+        F.avg(F.when(F.col("verdict") == "allow", 1.0).otherwise(0.0)).alias("good"),
+        F.avg(F.when(F.col("verdict") == "block", 1.0).otherwise(0.0)).alias("bad"))
+
+
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], rounds: int = ROUNDS, damping: float = DAMPING,
                 min_distrust: float = MIN_DISTRUST) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, host, path, rule, verdict, trust, distrust.
@@ -92,15 +103,27 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], rounds: int = RO
     decided = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["rule_path"])), F.lit(0))
     verdict = (parsed.join(ruled, "host", "left")
                .select("host", decided["verdict"].alias("verdict")))
-    seeds = verdict.groupBy("host").agg(
-        F.avg(F.when(F.col("verdict") == "allow", 1.0).otherwise(0.0)).alias("good"),
-        F.avg(F.when(F.col("verdict") == "block", 1.0).otherwise(0.0)).alias("bad"))
-    targets = F.explode(F.array_distinct(F.regexp_extract_all(F.col("html").cast("string"), F.lit(LINK), F.lit(1))))
-    links = (pages.select(host.alias("src"), targets.alias("dst")).select("src", F.translate("dst", UPPER, LOWER).alias("dst"))
-             .where("src <> dst and src <> '' and dst <> ''").distinct()
-             .join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi"))
-    scores = propagate(seeds, links, rounds, damping)
-    spread = F.when((F.col("distrust") >= min_distrust) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow")
+    seeds = _seeds(verdict)
+    targets = F.explode(F.array_distinct(F.regexp_extract_all(F.col("html").cast("string"), F.lit(TARGET), F.lit(1))))
+    link_host, link_path = host_and_path(F.concat(F.lit("://"), "target"))
+    linked = written(pages.select(host.alias("src"), targets.alias("target")).select("src", link_host.alias("host"), link_path.alias("path"))
+                     .where("src <> host and src <> '' and host <> ''").distinct(), "host-links")
+    far = linked.select("host", "path").distinct().join(hosts, "host", "left_anti")
+    far_hosts = far.select("host").distinct()
+    seeds = written(seeds.union(_seeds(far.join(far_hosts.join(_host_rules(far_hosts, rules), "host"), "host", "left")
+                                       .select("host", decided["verdict"].alias("verdict")))), "host-seeds")
+    edges = linked.select("src", F.col("host").alias("dst")).distinct()
+    scores = propagate(seeds, edges, rounds, damping)
+    most = (propagate(seeds.select("host", F.lit(1.0).alias("good"), F.lit(1.0).alias("bad")), edges, rounds, damping)
+            .select("host", F.col("trust").alias("t1"), F.col("distrust").alias("d1")))
+    scores = written(scores.join(most, "host").select("host", "trust", "distrust", (F.col("trust") / F.col("t1")).alias("good"),
+                                                      (F.col("distrust") / F.col("d1")).alias("bad")), "host-scores")
+    bad_out = edges.join(scores, edges["dst"] == scores["host"]).groupBy(F.col("src").alias("host")).agg(F.avg("bad").alias("bad_out"))
+    good_in = edges.join(scores, edges["src"] == scores["host"]).groupBy(F.col("dst").alias("host")).agg(F.avg("good").alias("good_in"))
+    scores = scores.join(bad_out, "host", "left").join(good_in, "host", "left").fillna(0.0, ["bad_out", "good_in"])
+    strong = (F.col("distrust") >= min_distrust) & (F.col("distrust") > F.col("trust"))
+    share = (F.col("bad_out") >= min_distrust) & (F.col("bad_out") > F.col("good_in"))
+    spread = F.when(strong | share, "block").otherwise("allow")
     judged = written(ruled.join(scores, "host").select("host", "rules", "trust", "distrust", spread.alias("spread")), "hosts")
     return (parsed.join(judged, "host", "left").withColumn("hit", decided)
             .select("page_id", "host", "path", F.col("hit.rule").alias("rule"),

@@ -108,3 +108,18 @@ def test_scores_agree_with_plain_iteration(spark):
     seeds = spark.createDataFrame([(h, good[h], bad[h]) for h in hosts], "host string, good double, bad double")
     for x in propagate(seeds, spark.createDataFrame(edges, "src string, dst string")).collect():
         assert abs(x.trust - t[x.host]) < 1e-9 and abs(x.distrust - d[x.host]) < 1e-9
+
+
+def test_hosts_that_link_to_a_blocked_host_are_blocked_however_many_they_are(spark):
+    linking, rows = {}, []
+    for n in (3, 30, 300):
+        for crawled in (True, False):
+            bad = f"bad{n}{crawled}.com"
+            for i in range(n):
+                linking[len(rows)] = n
+                rows.append((len(rows), f"http://links{i}.of{bad[:-4]}.net/a", f"<a href='http://{bad}/de/x?q'>x</a>" + "<a href='//friend.net/z'>" * (i == 0)))
+            rows += [(10_000 + len(rows), f"http://{bad}/de/x", "")] if crawled else []
+    clean = [(1000, "http://plain.net/", "<a href='http://friend.net/z'>"), (1001, "http://friend.net/z", ""), (1002, "http://fan.net/", "<a href='http://good.org/p'>")]
+    got = {r.page_id: r.verdict for r in filter_urls(spark.createDataFrame(rows + clean, "page_id long, url string, html string"), RULES).collect()}
+    assert len(got) == len(rows) + 3 and all(got[i] == "block" for i in linking)
+    assert all(got[i] == "allow" for i, _, _ in clean)
