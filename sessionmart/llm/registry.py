@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import oracle
 from .chat_format import digests, format_conversations
 from .decontaminate import matches
+from .hard_negatives import mine
 from .html_extract import extract
 from .line_dedup import dedup_lines
 from .ngram_join import near_duplicates
@@ -120,5 +121,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, one positive at a time."""
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine(rows, F.col("vec_id") % 50 == 0)
+
+
 ORACLE |= {"op1_ngram_jaccard_join": oracle.NEAR_DUPLICATES, "op2_url_filters": oracle.url_filters(RULES),
-           "op3_chat_formatting": oracle.CHATS, "op5_quality_rules": oracle.QUALITY}
+           "op3_chat_formatting": oracle.CHATS, "op5_quality_rules": oracle.QUALITY,
+           "op11_hard_negatives": oracle.HARD_NEGATIVES}
