@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from .license_scan import MIN_REACH, THRESHOLD
 from .quality_rules import HOST_PERCENT, MAX_REPEAT_PERCENT, MIN_DOCS, MIN_LEFT_PERCENT, MIN_WORDS
 from .url_filter import DAMPING, LINK, LOWER, MIN_DISTRUST, ROUNDS, UPPER
 
@@ -96,6 +99,49 @@ FROM (SELECT *, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_R
 """
 
 
+def license_scans(templates: list, phrases: list[tuple[str, str]]) -> str:
+    words = lambda t: re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", t.translate(str.maketrans(UPPER, LOWER)))
+    listed = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]::VARCHAR[]"
+    values = ", ".join(f"({i}, '{t.label}', {listed(words(t.text))}, {listed(words(' '.join(t.needs)))}, {listed(words(' '.join(t.without)))})"
+                       for i, t in enumerate(templates))
+    sought = ", ".join(f"('{label}', {listed(words(p))})" for label, p in phrases)
+    return f"""
+WITH RECURSIVE given(id, label, words, needs, without) AS (VALUES {values}),
+reaches(id, s) AS (SELECT id, {MIN_REACH} FROM given UNION ALL SELECT id, 2 * s FROM reaches JOIN given USING (id) WHERE s < len(words)),
+templates AS (SELECT id, label, list_distinct(words) AS words, needs, without, max(s) AS s FROM given JOIN reaches USING (id) GROUP BY ALL),
+phrases(label, words) AS (VALUES {sought}),
+vocabulary AS (SELECT unnest(words) AS w FROM templates UNION SELECT unnest(without) FROM templates),
+docs AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS words
+    FROM documents
+),
+tokens AS (SELECT rid, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS i FROM docs),
+starts AS (
+    SELECT t.rid, t.i, p.label FROM tokens t JOIN phrases p ON t.w = p.words[1] JOIN docs USING (rid)
+    WHERE docs.words[t.i + 1:t.i + len(p.words)] = p.words
+),
+base AS (
+    SELECT rid, count(*) AS n, min(i) AS first_word, max(i) AS last_word, list_sort(list_distinct(list(label))) AS labels FROM starts GROUP BY rid
+),
+known AS (SELECT * FROM tokens SEMI JOIN vocabulary USING (w)),
+blocks AS (
+    SELECT rid, s, i // s - back AS k, list(DISTINCT w) AS held
+    FROM known CROSS JOIN (SELECT DISTINCT s FROM templates) CROSS JOIN (SELECT unnest([0, 1]) AS back) WHERE i // s >= back GROUP BY ALL
+),
+matched AS (
+    SELECT rid, label, len(list_intersect(held, words)) / len(words) AS share FROM blocks JOIN templates USING (s)
+    WHERE len(list_intersect(held, words)) >= {THRESHOLD} * len(words) - 1e-9 AND list_has_all(held, needs) AND NOT list_has_any(held, without)
+),
+more AS (SELECT rid, max(share) AS share, list_distinct(list(label)) AS labels FROM matched GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
+       CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(m.share, 0.0) END AS score
+FROM docs LEFT JOIN base b USING (rid) LEFT JOIN more m USING (rid)
+"""
+
+
 def url_filters(rules: list[tuple[str, str]]) -> str:
     listed = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in rules)
     rounds = "".join(f"""

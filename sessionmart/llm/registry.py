@@ -12,6 +12,8 @@ from .chat_format import digests, format_conversations
 from .decontaminate import matches
 from .hard_negatives import mine
 from .html_extract import extract
+from .license_scan import labelled, scan
+from .licenses import PHRASES, TEMPLATES
 from .line_dedup import dedup_lines
 from .ngram_join import near_duplicates
 from .packing import pack
@@ -129,6 +131,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(rows, F.col("vec_id") % 50 == 0)
 
 
+@query
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of all documents, by phrases and by notices found in their text blocks."""
+    return labelled(scan(table(spark, sf_dir, "documents"), TEMPLATES, PHRASES))
+
+
 ORACLE |= {"op1_ngram_jaccard_join": oracle.NEAR_DUPLICATES, "op2_url_filters": oracle.url_filters(RULES),
            "op3_chat_formatting": oracle.CHATS, "op5_quality_rules": oracle.QUALITY,
-           "op11_hard_negatives": oracle.HARD_NEGATIVES}
+           "op11_hard_negatives": oracle.HARD_NEGATIVES, "op12_license_scans": oracle.license_scans(TEMPLATES, PHRASES)}
