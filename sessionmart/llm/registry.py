@@ -17,6 +17,8 @@ from .licenses import PHRASES, TEMPLATES
 from .line_dedup import dedup_lines
 from .ngram_join import near_duplicates
 from .packing import pack
+from .periodic_runs import digests as run_digests
+from .periodic_runs import find_runs
 from .quality_rules import judge
 from .sharding import shard
 from .toxicity import score
@@ -137,6 +139,28 @@ def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(scan(table(spark, sf_dir, "documents"), TEMPLATES, PHRASES))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The documents, those with a checksum that ends in 0 made periodic from a word on, as the checksum tells."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g = F.floor(F.col("h") / 10)
+    return (docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+            .select("*", F.when(F.size("words") > 0, F.size("words")).alias("n"))
+            .select("*", (g % F.col("n")).cast("int").alias("a"))
+            .select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int").alias("p"))
+            .select("doc_id", F.when(F.col("n").isNull(), F.col("text")).otherwise(F.array_join(F.concat(
+                F.slice("words", F.lit(1), F.col("a")),
+                F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")),
+                                                 F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int"))),
+                        F.lit(1), F.col("n") - F.col("a"))), " ")).alias("text")))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the periodic runs of all documents and of the documents without them."""
+    return run_digests(find_runs(with_periods(table(spark, sf_dir, "documents"))))
+
+
 ORACLE |= {"op1_ngram_jaccard_join": oracle.NEAR_DUPLICATES, "op2_url_filters": oracle.url_filters(RULES),
            "op3_chat_formatting": oracle.CHATS, "op5_quality_rules": oracle.QUALITY,
            "op11_hard_negatives": oracle.HARD_NEGATIVES, "op12_license_scans": oracle.license_scans(TEMPLATES, PHRASES)}

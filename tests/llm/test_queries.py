@@ -14,6 +14,9 @@ COLUMNS = {
     "op6_": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
     "op7_": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}, "op8_": {"doc_id", "item_id", "score"},
     "op9_": {"page_id", "url", "text", "n_chars"}, "op10_": {"doc_id", "held_out", "score", "predicted"},
+    "op11_": {"anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"},
+    "op12_": {"doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"},
+    "op13_": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
 }
 
 
@@ -32,7 +35,7 @@ def test_each_operator_has_one_query_with_its_columns(spark, start):
     assert COLUMNS[start] <= set(df.columns)
     rows = df.collect()
     docs = {r.doc_id for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id").collect()}
-    if start in ("op4_", "op7_", "op10_"):
+    if start in ("op4_", "op7_", "op10_", "op13_"):
         assert sorted(r.doc_id for r in rows) == sorted(docs)
     if start == "op6_":
         assert {r.doc_id for r in rows} == docs
