@@ -17,6 +17,14 @@ def parts_of(spark: SparkSession, factor: int = 2) -> int:
     return factor * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have (names are compared without case)."""
+    taken, name = {c.lower() for c in df.columns}, f"{base}_"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
 
