@@ -45,11 +45,16 @@ def window_minima(hash_: np.ndarray, doc: np.ndarray, width: int) -> np.ndarray:
     n = len(hash_) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    best, arg = hash_[:n].copy(), np.arange(n)
+    least = hash_[:n].copy()
     for k in range(1, width):
-        less = hash_[k:k + n] <= best
-        best[less], arg[less] = hash_[k:k + n][less], np.flatnonzero(less) + k
-    return np.unique(arg[doc[:n] == doc[width - 1:]])
+        np.minimum(least, hash_[k:k + n], out=least)
+    open_, pick = doc[:n] == doc[width - 1:], np.zeros(len(hash_), bool)  # windows inside a text, not settled yet
+    for k in range(width - 1, -1, -1):
+        here = hash_[k:k + n] == least
+        here &= open_
+        pick[k:k + n] |= here
+        open_ &= ~here
+    return np.flatnonzero(pick)
 
 
 class Lines:
@@ -86,13 +91,14 @@ def fingerprints(lines: Lines, hasher: WordHasher, gram_words: int, window_words
     gram = mix((run[last + 1] - run[first]) * hasher.down[first] + (last - first).astype(U64))
     word, doc = lines.start[first], lines.doc[first]
     best, arg = gram.copy(), np.arange(len(first))
-    for k in range(1, window_words):
-        j = np.minimum(np.arange(len(first)) + k, max(len(first) - 1, 0))
-        near = (j == np.arange(len(first)) + k) & (doc[j] == doc) & (word[j] - word < window_words)
-        if not near.any():
+    for k in range(1, min(window_words, len(first))):
+        less = word[k:] - word[:-k] < window_words
+        less &= doc[k:] == doc[:-k]
+        if not less.any():
             break
-        less = near & (gram[j] <= best)
-        best[less], arg[less] = gram[j][less], j[less]
+        less &= gram[k:] <= best[:-k]
+        np.copyto(best[:-k], gram[k:], where=less)
+        np.copyto(arg[:-k], np.arange(k, len(first)), where=less)
     pick = np.unique(arg)
     return gram[pick], first[pick], last[pick]
 
