@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from .license_scan import MIN_REACH, THRESHOLD
-from .quality_rules import HOST_PERCENT, MAX_REPEAT_PERCENT, MIN_DOCS, MIN_LEFT_PERCENT, MIN_WORDS
+from .quality_rules import EDIT_WORDS, HOST_PERCENT, MAX_REPEAT_PERCENT, MIN_DOCS, MIN_LEFT_PERCENT, MIN_WORDS
 from .url_filter import DAMPING, LINK, LOWER, MIN_DISTRUST, ROUNDS, UPPER
 
 _SPACE = r"[ \t-\r]"
@@ -77,10 +77,27 @@ repeated AS (
 norms AS (
     SELECT rid, host, trim(lower(regexp_replace(line, '{_SPACE}+', ' ', 'g'))) AS norm FROM (SELECT rid, host, unnest(lines) AS line FROM w)
 ),
-hashed AS (SELECT rid, host, substr(md5(norm), 1, 16) AS h, len(string_split(norm, ' ')) AS n FROM norms),
-low AS (SELECT rid, list_sort(list_distinct(list(h))) AS low FROM hashed GROUP BY rid),
-signed AS (SELECT *, CASE WHEN h = low[1] THEN coalesce(low[2], h) ELSE low[1] END AS sign FROM hashed JOIN low USING (rid)),
+hashed AS (SELECT rid, host, norm, substr(md5(norm), 1, 16) AS h, string_split(norm, ' ') AS ws, len(string_split(norm, ' ')) AS n FROM norms),
+copies AS (SELECT rid, array_to_string(list_sort(list_distinct(list(h))), ' ') AS copy FROM hashed GROUP BY rid),
+held AS (SELECT DISTINCT host, copy, h, ws, n FROM hashed JOIN copies USING (rid)),
 hosts AS (SELECT host, count(*) AS docs FROM d GROUP BY host),
+common AS (
+    SELECT host, h, count(*) AS n_docs FROM held JOIN hosts USING (host) GROUP BY host, h, docs
+    HAVING count(*) > {MIN_DOCS} AND count(*) * 100 > docs * {HOST_PERCENT}
+),
+pages AS (SELECT DISTINCT host, copy FROM held SEMI JOIN common USING (host, h)),
+sharing AS (SELECT * FROM held SEMI JOIN pages USING (host, copy) LEFT JOIN common USING (host, h)),
+shared AS (SELECT DISTINCT host, ws, n, CAST(ceil(n / 3.0) AS INTEGER) AS t FROM sharing WHERE n_docs IS NOT NULL AND n >= {EDIT_WORDS}),
+edited AS (
+    SELECT DISTINCT o.host, o.copy, o.h FROM sharing o JOIN shared s ON o.host = s.host AND abs(o.n - s.n) <= 1
+    WHERE o.n_docs IS NULL AND (o.ws[:s.n - s.t] = s.ws[:s.n - s.t] OR o.ws[o.n - s.n + s.t + 1:] = s.ws[s.t + 1:]
+                                OR (o.ws[:s.t] = s.ws[:s.t] AND o.ws[o.n - s.t + 1:] = s.ws[s.n - s.t + 1:]))
+),
+own AS (SELECT host, copy, min(h) AS own FROM sharing ANTI JOIN edited USING (host, copy, h) WHERE n_docs IS NULL GROUP BY host, copy),
+rarest AS (SELECT host, copy, min((n_docs, h)) AS r FROM sharing WHERE n_docs IS NOT NULL GROUP BY host, copy),
+signed AS (
+    SELECT s.host, s.h, coalesce(own, r[2]) AS sign FROM sharing s JOIN rarest USING (host, copy) LEFT JOIN own USING (host, copy) WHERE n_docs IS NOT NULL
+),
 often AS (
     SELECT host, h FROM signed JOIN hosts USING (host) GROUP BY host, h, docs
     HAVING count(DISTINCT sign) > {MIN_DOCS} AND count(DISTINCT sign) * 100 > docs * {HOST_PERCENT}

@@ -1,14 +1,16 @@
 """Quality rules: base counts of a document, and cross-document line frequency.
 
 Lines are normalised (lower case, single spaces) and hashed. For each host (the ``source``) the distinct
-documents that hold a line are counted. Copies (the same set of lines) count once. Pages that share lines above the limits are told apart by the smallest
-hash among their own lines: those neither above them nor edited from such a line (first or last three words the same).
-Pages without own lines are near copies and told by their rarest line above the limits. A line above the limits (a share of the host's documents, and a least number) is boilerplate and is removed. A document is
-rejected if it fails the base rules, or if too few words remain.
+documents that hold a line are counted. Copies (the same set of lines) count once. So do near copies: pages that share lines above the
+limits are told apart by the smallest hash among their own lines, which are those neither above the limits nor edited from
+such a line of the host. A line of ``EDIT_WORDS`` words or more is edited from another when most of their words agree in place: its first
+two thirds, its last two thirds or both its outer thirds, one word more or less allowed. Shorter lines are own lines.
+Pages without own lines are near copies and told by their rarest line above the limits. A line above the limits (a share of the host's
+documents, and a least number) is boilerplate and is removed. A document is rejected if it fails the base rules, or if too few words remain.
 
 DataFrame functions only. One pass over the texts writes a small table (counts and
-line hashes, no text); the frequencies come from it with partial aggregates, so a host or a line
-that holds a third of all rows is merged in each task before it is shuffled.
+line hashes, no text); the distinct lines of each page come from it with partial aggregates, so copies, a host or a line
+that hold a third of all rows are merged in each task before they are shuffled or joined.
 
 Null text: no words. Null source: the empty host. Null ``doc_id`` and repeated rows are kept,
 equal rows get equal results.
@@ -19,14 +21,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import free_name, written
 
 SPACE = " \t\n\x0b\f\r"
 SPACES = r"[ \t-\r]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 MIN_DOCS, HOST_PERCENT, MIN_LEFT_PERCENT = 20, 2, 30
-EDGE_WORDS = 3
+EDIT_WORDS = 8
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -48,9 +50,16 @@ def line_hash(norm: Column) -> Column:
 
 
 def line_edges(norm: Column) -> Column:
-    """Hashes of a line's first and last words; none if it is too short to have both."""
-    return F.when(F.get(F.split(norm, " ", 2 * EDGE_WORDS), F.lit(2 * EDGE_WORDS - 1)).isNotNull(),
-                  F.array(F.xxhash64(F.substring_index(norm, " ", EDGE_WORDS)), F.xxhash64(F.substring_index(norm, " ", -EDGE_WORDS))))
+    """Hashes by which a line and its edits meet: of its first and last two thirds and of both outer thirds, with the number of
+    words; then the same as if it had one word less or more. None for a short line."""
+    n = F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit(""))) + 1
+
+    def of(words: Column) -> list[Column]:
+        third = F.ceil(words / 3).cast("int")
+        head = lambda k: F.call_function("substring_index", norm, F.lit(" "), k)
+        parts = ((F.lit("head"), head(words - third)), (F.lit("tail"), head(third - words)), (head(third), head(-third)))
+        return [F.when(words >= EDIT_WORDS, F.hash(words, *p)) for p in parts]
+    return F.when(n >= EDIT_WORDS - 1, F.array(*of(n), *of(n - 1), *of(n + 1)))
 
 
 def repeat_words(df: DataFrame, words: str, n: int = WINDOW) -> DataFrame:
@@ -99,22 +108,24 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, host_percent: float = HOST_PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of lines (row, host, copy, line, words), and the lines above the limits (host, line)."""
-    lines = (measured.select("row", "host", "copy", F.explode(F.arrays_zip("hashes", "edges", "line_words")).alias("x"))
-             .select("row", "host", "copy", F.col("x.hashes").alias("line"), F.col("x.edges").alias("edges"), F.col("x.line_words").alias("words")))
+    """Occurrences of lines (row, host, line, words), and the lines above the limits (host, line)."""
+    lines = (measured.select("row", "host", F.explode(F.arrays_zip("hashes", "line_words")).alias("x"))
+             .select("row", "host", F.col("x.hashes").alias("line"), F.col("x.line_words").alias("words")))
     docs = measured.groupBy("host").agg(F.count("*").alias("host_docs"))
+    page = ["host", "copy"]
+    held = written(measured.select(*page, F.explode(F.arrays_zip("hashes", "edges")).alias("x"))
+                   .select(*page, F.col("x.hashes").alias("line"), F.col("x.edges").alias("edges")).distinct(), "page-lines")
 
     def above(counted: DataFrame) -> DataFrame:
         return (counted.where(F.col("n_docs") > min_docs).join(docs, "host")
                 .where(F.col("n_docs") * 100 > F.col("host_docs") * host_percent).select("host", "line", "n_docs"))
-    common = written(above(lines.groupBy("host", "line").agg(F.countDistinct("copy").alias("n_docs"))), "common-lines")
-    page = ["host", "copy"]
-    sharing = lines.join(common, ["host", "line"], "left_semi").select(page).distinct()
-    held = written(lines.join(sharing, page, "left_semi").select(*page, "line", "edges").distinct()
-                   .join(common, ["host", "line"], "left"), "held-lines")
+    common = written(above(held.groupBy("host", "line").agg(F.count("*").alias("n_docs"))), "common-lines")
+    sharing = held.join(common, ["host", "line"], "left_semi").select(page).distinct()
+    held = written(held.join(sharing, page, "left_semi").join(common, ["host", "line"], "left"), "held-lines")
     own, shared = held.where("n_docs is null"), held.where("n_docs is not null")
-    edges = shared.select("host", F.explode("edges").alias("edge")).distinct()
-    edited = own.select(*page, "line", F.explode("edges").alias("edge")).join(edges, ["host", "edge"], "left_semi")
+    edges = shared.select("host", F.explode(F.slice("edges", 1, 3)).alias("edge")).where("edge is not null").distinct()
+    edited = (own.select(*page, "line", F.explode("edges").alias("edge")).where("edge is not null")
+              .join(edges, ["host", "edge"], "left_semi").select(*page, "line").distinct())
     own = own.join(edited, [*page, "line"], "left_anti").groupBy(page).agg(F.min("line").alias("own"))
     rarest = F.min(F.struct("n_docs", "line"))["line"]
     signs = shared.groupBy(page).agg(rarest.alias("rarest"), F.collect_list("line").alias("lines")).join(own, page, "left")
@@ -145,10 +156,10 @@ def judge(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int =
 
 def clean(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are kept, without the lines above the limits; columns as in ``docs``."""
-    verdict = judge(docs, **options).where("kept").select(F.col("row").alias("__row"), F.col("host").alias("__host"),
-                                                         F.col("removed_lines").alias("__lines")).distinct()
+    row, host, lines = names = [free_name(docs, c) for c in ("row", "host", "lines")]
+    verdict = judge(docs, **options).where("kept").select("row", "host", "removed_lines").distinct().toDF(*names)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = docs.withColumn("__row", F.xxhash64("doc_id", text)).withColumn("__host", F.coalesce(F.col("source").cast("string"), F.lit("")))
-    stays = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("__lines", line_hash(_norm(x))))
-    text = F.when(F.col("__lines").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
-    return marked.join(verdict, ["__row", "__host"]).withColumn("text", text).select(*docs.columns)
+    marked = docs.withColumns({row: F.xxhash64("doc_id", text), host: F.coalesce(F.col("source").cast("string"), F.lit(""))})
+    stays = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(lines, line_hash(_norm(x))))
+    text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
+    return marked.join(verdict, [row, host]).withColumn("text", text).select(*docs.columns)
