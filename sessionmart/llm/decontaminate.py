@@ -2,7 +2,8 @@
 
 Words are case-folded runs of letters, digits and non-ASCII characters. A document is contaminated by an item if
 their local alignment (match 2, mismatch -1, gap -1) reaches ``min_score`` of a full match, which leaves room for
-about one changed word in three, however the changes are spread.
+about one changed word in three, however the changes are spread; and in any case the score of ``LEAST_MATCHED`` matched words, or
+of all words of a shorter item, so that a few common words of ordinary text are no copy of a short item.
 
 The seeds lose no such alignment. One of a item words that scores ``t`` or more has a - 1 steps from one matched
 word to the next. A step that skips k words in the item or the text costs k, so with p steps that skip none and
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .shared import written
 from .textops import U64, WordHasher, Words, chunks, mix
 
-LEAST_WORDS = 3
+LEAST_WORDS, LEAST_MATCHED = 3, 7
 MIN_SCORE = 0.5
 BLOCK_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -107,7 +108,8 @@ class Items:
         self.ids = ids
         self.words = [words.hash[words.at[i]:words.at[i + 1]] for i in range(len(ids))]
         self.size = np.array([len(w) for w in self.words], np.int64)
-        self.least = np.ceil(min_score * MATCH * self.size - 1e-9).astype(np.int64)  # score that counts
+        self.least = np.maximum(np.ceil(min_score * MATCH * self.size - 1e-9).astype(np.int64),  # score that counts
+                                MATCH * np.minimum(LEAST_MATCHED, self.size))
         self.needed = self.least - 2  # sum of shared pairs (adjacent 2, else 1) below which no alignment scores that
         near, far = pair_hashes(words)
         place = np.arange(len(near)) - words.at[words.doc] if len(near) else np.zeros(0, np.int64)
@@ -235,7 +237,7 @@ def passages(items: Items, words: Words) -> list[tuple[int, int, int, int]]:
     return list(zip(*(x.tolist() for x in _joined(*(np.concatenate(x) for x in zip(*out))))))
 
 
-def batch_matches(items: Items, words: Words, min_score: float) -> list[tuple]:
+def batch_matches(items: Items, words: Words) -> list[tuple]:
     """Alignments that reach the score: text, item, score share, first word and one past the last, in the text."""
     cand = sorted(passages(items, words), key=lambda c: (c[3] - c[2], len(items.words[c[1]])))
     out, k = [], 0
@@ -244,7 +246,7 @@ def batch_matches(items: Items, words: Words, min_score: float) -> list[tuple]:
         some = some[:max(1, sum((c[3] - c[2]) * len(some) <= _CELLS for c in some))]  # the longest last
         k += len(some)
         score, ei, ej = align([items.words[i] for _, i, _, _ in some], [words.hash[a:b] for _, _, a, b in some])
-        hit = [j for j, (_, i, _, _) in enumerate(some) if score[j] >= min_score * MATCH * len(items.words[i])]
+        hit = [j for j, (_, i, _, _) in enumerate(some) if score[j] >= items.least[i]]
         if not hit:
             continue
         # the same alignment read backwards from its end gives its start
@@ -262,7 +264,7 @@ def batch_matches(items: Items, words: Words, min_score: float) -> list[tuple]:
 _SHAPE = "doc_id long, item_id long, score double, word_from long, word_to long"
 
 
-def _match_rows(items: Items, min_score: float):
+def _match_rows(items: Items):
     columns = [c.split()[0] for c in _SHAPE.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -271,7 +273,7 @@ def _match_rows(items: Items, min_score: float):
             texts, ids, rows = pdf["text"].tolist(), pdf["doc_id"].tolist(), []
             for s in chunks(texts):
                 best: dict[tuple, tuple] = {}
-                for d, i, score, a, b in batch_matches(items, hasher(fold(texts[s])), min_score):
+                for d, i, score, a, b in batch_matches(items, hasher(fold(texts[s]))):
                     if (d, i) not in best or (-score, a) < (-best[d, i][0], best[d, i][1]):
                         best[d, i] = (score, a, b)
                 rows += [(ids[s.start + d], items.ids[i], *x) for (d, i), x in best.items()]
@@ -282,13 +284,13 @@ def _match_rows(items: Items, min_score: float):
     return run
 
 
-def _clean_rows(items: Items, min_score: float):
+def _clean_rows(items: Items):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher(word_gaps())
         for pdf in batches:
             texts, clean = pdf["text"].tolist(), np.ones(len(pdf), bool)
             for s in chunks(texts):
-                clean[[s.start + m[0] for m in batch_matches(items, hasher(fold(texts[s])), min_score)]] = False
+                clean[[s.start + m[0] for m in batch_matches(items, hasher(fold(texts[s])))]] = False
             yield pdf[clean]
     return run
 
@@ -316,7 +318,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE,
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
     for items in item_blocks(docs, benchmark, block_words, min_score):
-        found = rows.mapInPandas(_match_rows(items, min_score), _SHAPE)
+        found = rows.mapInPandas(_match_rows(items), _SHAPE)
         out = found if out is None else out.union(found)
     return out
 
@@ -326,5 +328,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_
     for k, items in enumerate(item_blocks(docs, benchmark, block_words, min_score)):
         if k:
             docs = written(docs, "clean")
-        docs = docs.mapInPandas(_clean_rows(items, min_score), docs.schema)
+        docs = docs.mapInPandas(_clean_rows(items), docs.schema)
     return docs

@@ -20,6 +20,11 @@ def test_alignment_scores_agree_with_the_table_method():
     assert score.tolist() == [plain_align(a, b) for a, b in pairs]
 
 
+def least(item):
+    """Score that counts: half of a full match, and seven matched words, or all words of a shorter item."""
+    return max(len(item), 2 * min(7, len(item)))
+
+
 def edited(r, words, share):
     out = []
     for w in words:
@@ -67,7 +72,9 @@ def test_no_spread_of_edits_hides_a_copy(spark):
     def plant(k, words):
         at, own = r.randrange(60), [f"own{r.randrange(9999)}" for _ in range(60)]
         own[at:at] = words
-        planted.add((len(rows), k))
+        if plain_align(items[k], words) >= least(items[k]):  # all that is planted, of items of 7 words or more
+            planted.add((len(rows), k))
+        assert len(items[k]) < 7 or (len(rows), k) in planted
         rows.append((len(rows), " ".join(own)))
     for k, item in enumerate(items):
         for step in (3, 4, 5):  # every third, fourth, fifth word changed, and verbatim copies beside
@@ -85,12 +92,12 @@ def test_no_spread_of_edits_hides_a_copy(spark):
 
 def test_all_alignments_that_count_are_found_in_texts_of_few_words(spark):
     r = random.Random(9)
-    say = lambda n: [r.choice("abcdefghijklmnop") for _ in range(n)]
-    items, docs = [say(r.choice([3, 4, 5, 6, 8, 12])) for _ in range(30)], [say(r.randint(0, 60)) for _ in range(60)]
-    want = {(d, k): plain_align(x, y) for d, y in enumerate(docs) for k, x in enumerate(items) if plain_align(x, y) >= len(x)}
+    say = lambda n: [r.choice("abcdefg") for _ in range(n)]
+    items, docs = [say(r.choice([3, 4, 5, 8, 12, 16])) for _ in range(40)], [say(r.randint(0, 60)) for _ in range(60)]
+    want = {(d, k): plain_align(x, y) for d, y in enumerate(docs) for k, x in enumerate(items) if plain_align(x, y) >= least(x)}
     got = matches(spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id long, text string"),
                   spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")).collect()
-    assert len(want) > 50 and {(m.doc_id, m.item_id): round(m.score * 2 * len(items[m.item_id])) for m in got} == want
+    assert len(want) > 20 and {(m.doc_id, m.item_id): round(m.score * 2 * len(items[m.item_id])) for m in got} == want
 
 
 def test_case_is_folded_beyond_a_to_z(spark):
@@ -98,3 +105,18 @@ def test_case_is_folded_beyond_a_to_z(spark):
     docs = spark.createDataFrame([(1, text.upper()), (2, text)], "doc_id long, text string")
     bench = spark.createDataFrame([(7, text)], "item_id long, text string")
     assert sorted((m.doc_id, m.score) for m in matches(docs, bench).collect()) == [(1, 1.0), (2, 1.0)]
+
+
+def test_short_items_do_not_match_ordinary_text(spark):
+    items = ["name the largest planet", "what is the capital of the country", "who wrote the book about the old man of the sea",
+             "which of these is the name of the tallest mountain in the world"]
+    rows = [(1, "we know the largest of them and name the country of the man"), (2, "the capital of the state is what the old book of the world is about"),
+            (3, "it is the name of some book on our world and on the tallest of the old"), (4, "the " * 300), (5, "of the sea of the sea who is the man")]
+    rows += [(100 + k, f"some text before. {t.upper()}! some text behind") for k, t in enumerate(items)]
+    rows += [(200, "see: who wrote the book about an old man of the sea"), (201, "which of these is the name of the highest mountain in our world"),
+             (202, "what is the capital of this country")]  # the last one lacks a word of a short item
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(m.doc_id, m.item_id) for m in matches(docs, bench).collect()}
+    assert got == {(100 + k, k) for k in range(4)} | {(200, 2), (201, 3)}
+    assert sorted(x.doc_id for x in decontaminate(docs, bench).collect()) == [1, 2, 3, 4, 5, 202]
