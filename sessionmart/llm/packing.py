@@ -9,10 +9,11 @@ that must close early (segments or loss used up) keeps a power-of-two number of
 tokens, which needs no padding, and the rest waits again; so do a task's last
 tokens. So sequences are full or a power of two long.
 
-Token ids come from a byte-level BPE file of the ``tokenizers`` library. Its
-pre-tokeniser never joins white space or words across the places where white
+Token ids come from a file of the ``tokenizers`` library, with its defaults: strings of added tokens in a
+text are those tokens. The byte-level pre-tokeniser never joins white space or words across the places where white
 space meets a word, or where letters end at punctuation, so each such unit is encoded once a task and looked up by
-its 64-bit hash afterwards. Texts with white space outside ASCII are encoded whole.
+its 64-bit hash afterwards. Texts with white space outside ASCII or with an added token are encoded whole,
+and so are all texts if the file has another pre-tokeniser or a normaliser.
 
 A document's ids end with ``end_id``. Null text: empty (one id). Null
 ``doc_id``: kept as null. Repeated rows are packed each for itself.
@@ -20,6 +21,7 @@ A document's ids end with ``end_id``. Null text: empty (one id). Null
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
@@ -46,11 +48,14 @@ class UnitEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        shape = json.loads(self.tok.to_str())
+        before = shape["pre_tokenizer"] or {}
+        self.by_units = (shape["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                         and not before.get("add_prefix_space"))
         self.space, self.values = is_space(), byte_values()
         self.up, self.down = powers(1 << 16)
-        self.wide = re.compile(WIDE_SPACE)
-        self.feed = int(self.whole("\n")[0])
+        self.odd = re.compile("|".join([WIDE_SPACE, *(re.escape(x["content"]) for x in shape["added_tokens"])]))
+        self.feed = int(self.whole("\n")[0]) if self.by_units else -1
         ascii_ = np.arange(256)
         self.letter = ((ascii_ | 32) >= ord("a")) & ((ascii_ | 32) <= ord("z")) & (ascii_ < 128)
         digit = (ascii_ >= ord("0")) & (ascii_ <= ord("9"))
@@ -112,7 +117,9 @@ class UnitEncoder:
             self.known.update(zip(hashes[some].tolist(), range(at, at + len(some))))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [t if t.isascii() or not self.wide.search(t) else None for t in texts]
+        if not self.by_units:
+            return [self.whole(t) for t in texts]
+        plain = [None if self.odd.search(t) else t for t in texts]
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in plain]
         first = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(b) + 1 for b in raw], out=first[1:])

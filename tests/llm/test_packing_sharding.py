@@ -4,12 +4,15 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from conftest import SF001
 from llm_fixtures import frame  # noqa: F401
 from sessionmart.llm.packing import UnitEncoder, pack
 from sessionmart.llm.registry import tokenizer_file
 from sessionmart.llm.sharding import shard, write_shards
+from tokenizers import Tokenizer
 
-ODD = [None, "", " ", "\n\n x", "a  b\n\nc ", "don't  stop\t\tnow", "x y   z", "<|endoftext|> end", "ünï cödé 日本語 text\r\n", " lead", "trail  \n "]
+TOKENIZER = Tokenizer.from_file(tokenizer_file())
+ODD = [None, "", " ", "\n\n x", "a  b\n\nc ", "don't  stop\t\tnow", "x y   z", "<|endoftext|> end", "end <|endoftext|> start", "a<|endoftext|><|endoftext|>b  c", "ünï cödé 日本語 text\r\n", " lead", "trail  \n "]
 
 
 def test_unit_lookup_gives_the_tokenizers_ids():
@@ -18,14 +21,40 @@ def test_unit_lookup_gives_the_tokenizers_ids():
     enc = UnitEncoder(tokenizer_file())
     for _ in range(2):
         for t, ids in zip(texts, enc(texts)):
-            assert ids.tolist() == enc.whole(t).tolist(), t
+            assert ids.tolist() == plain_ids(t), t
+    assert plain_ids("end <|endoftext|> start") == [437, 220, 50256, 923]
+
+
+def test_other_pre_tokenisers_are_encoded_whole():
+    path = tokenizer_file("word_bpe_49k.json")
+    enc, tok = UnitEncoder(path), Tokenizer.from_file(path)
+    for t, ids in zip(ODD, enc([t or "" for t in ODD])):
+        assert ids.tolist() == tok.encode(t or "", add_special_tokens=False).ids
+
+
+def test_limits_bind_in_the_query_and_each_document_is_whole(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = [(x.doc_id, x.text) for x in docs.collect()]
+    for segments, loss in ((256, 2048), (3, 2048), (256, 1500), (2, 700)):
+        got = pack(docs, tokenizer_file(), max_segments=segments, max_loss_tokens=loss).collect()
+        assert check_pieces(rows, got, 2048, segments, loss) < 0.01 * sum(p.length for p in got)
+        by_seq = defaultdict(list)
+        for p in got:
+            by_seq[p.sequence_id].append(p)
+        full = max(len(s) for s in by_seq.values()), max(sum(p.loss_tokens for p in s) for s in by_seq.values())
+        assert segments == 256 or full[0] == segments
+        assert loss == 2048 or full[1] > loss - 64
+
+
+def plain_ids(text):
+    """Ids by the library alone, with its defaults."""
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
 
 
 def check_pieces(rows, got, limit, segments, loss):
-    enc = UnitEncoder(tokenizer_file())
     want = defaultdict(int)
     for d, t in rows:
-        want[(d, tuple(enc.whole(t or "").tolist()) + (1,))] += 1
+        want[(d, tuple(plain_ids(t)) + (1,))] += 1
     docs, seqs = defaultdict(list), defaultdict(list)
     for p in got:
         ids = np.frombuffer(p.ids, "<u4").tolist()
