@@ -1,7 +1,7 @@
 """Command line: build the layers, or ingest a bar cache.
 
     python -m sessionmart build  --bars PATH|db.table --setups CSV --results CSV
-                                 [--out DIR | --namespace PREFIX] [--target dev|prod]
+                                 [--out DIR | --namespace PREFIX] [--target dev|prod] [--chunk-bars N]
     python -m sessionmart ingest --cache 'DIR/*_1min_*.parquet' --results CSV --out DIR
                                  [--sample] [--expect-rows N] [--expect-symbols M]
 
@@ -35,7 +35,7 @@ def _build(args) -> int:
     res = pipeline.run_pipeline(
         spark, readers.read_bars(spark, args.bars), readers.read_setups(spark, args.setups),
         readers.read_results(spark, args.results), out_dir=args.out, target=args.target,
-        namespace_prefix=args.namespace, create_namespaces=args.create_namespaces)
+        namespace_prefix=args.namespace, create_namespaces=args.create_namespaces, chunk_bars=args.chunk_bars)
     rows = res.checks.orderBy("model", "check_name").collect()
     for r in rows:
         print(f"{r['status']:5s} {r['violations']:>8d}  {r['model']:18s} {r['check_name']}")
@@ -87,6 +87,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--namespace")
     b.add_argument("--create-namespaces", action="store_true", help="else they must exist")
     b.add_argument("--target", choices=("dev", "prod"), default="dev")
+    b.add_argument("--chunk-bars", type=int, help="sessions of more bars are worked on in chunks")
     i = sub.add_parser("ingest")
     i.add_argument("--cache", required=True)
     i.add_argument("--results")

@@ -19,6 +19,7 @@ from sessionmart.config import scratch_path
 from sessionmart.functions import round_scaled, time_of_day, to_et
 from sessionmart.functions import session_phase as phase_of
 from sessionmart.operators import windows as Wn
+from sessionmart.operators.long_sessions import LongSessions
 from sessionmart.plans import intermediate, pipeline, quality_suite, reports, staging
 from sessionmart.sources import ingest, readers, sinks, testdata
 
@@ -89,6 +90,16 @@ def extension_rank(spark, d):
                       .alias("extension_rank"))
 
 
+def long_session_windows(spark, d):
+    """Running and rolling figures of planted long sessions, worked on in chunks of about 500 bars."""
+    bars = testdata.long_session_bars(testdata.events(spark, d))
+    long = LongSessions.find(bars, 500)
+    out = long.running(bars, {"cum_tp_volume": ("sum", F.col("high_price") * F.col("volume")), "cum_volume": ("sum", "volume"),
+                              "day_high": ("max", "high_price"), "day_open": ("first", "open_price")})
+    return (long.trailing_max(out, "vol_peak_10", "volume", 10)
+            .select("event_id", "symbol", "cum_tp_volume", "cum_volume", "day_high", "day_open", "vol_peak_10"))
+
+
 # ---- aggregates -------------------------------------------------------------------
 
 def session_argmax_extension(spark, d):
@@ -331,6 +342,7 @@ REGISTRY: dict[str, Query] = {
     "session_open": session_open,
     "rolling10_volume_peak": rolling10_volume_peak,
     "extension_rank": extension_rank,
+    "long_session_windows": long_session_windows,
     # aggregates
     "session_argmax_extension": session_argmax_extension,
     "bars_meeting_2of3": bars_meeting_2of3,

@@ -540,4 +540,16 @@ ORACLE: dict[str, str] = {
                                                   "high_price", "low_price", "close_price", "volume"],
                                      MALFORMED, WITH_PLANTED),
     "et_parts_dst": _clock_changes(),
+    "long_session_windows": """
+WITH bars AS (
+    SELECT event_id, 'L' || CAST(event_id % 7 % 3 AS VARCHAR) AS symbol, 10.0 + (event_id * 37 % 400) / 4.0 AS high_price,
+           10.0 + (event_id * 37 % 400) / 4.0 - (event_id % 8) / 4.0 AS open_price,
+           CASE WHEN event_id % 53 <> 0 THEN CAST(event_id * 7 % 977 AS DOUBLE) END AS volume
+    FROM events
+)
+SELECT event_id, symbol, sum(high_price * volume) OVER so_far AS cum_tp_volume, sum(volume) OVER so_far AS cum_volume,
+       max(high_price) OVER so_far AS day_high, first_value(open_price) OVER so_far AS day_open,
+       max(volume) OVER (PARTITION BY symbol ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS vol_peak_10
+FROM bars WINDOW so_far AS (PARTITION BY symbol ORDER BY event_id)
+""",
 }

@@ -17,31 +17,47 @@ from sessionmart.functions import bool_to_int, is_regular_time, safe_div
 from sessionmart.operators import windows as Wn
 from sessionmart.operators.aggregates import count_if
 from sessionmart.operators.joins import preserving_left_join
+from sessionmart.operators.long_sessions import LongSessions
+
+
+def regular_bars(stg: DataFrame) -> DataFrame:
+    """Bars of the regular session.
+
+    session_phase = 'regular', stated as the equivalent range test on the
+    minutes of the day (cheaper once Catalyst pushes it below the source).
+    """
+    return stg.where(is_regular_time("bar_ts_et"))
 
 
 def with_session_totals(stg: DataFrame) -> DataFrame:
     """Regular-session bars with typical price, running totals and session VWAP."""
-    # session_phase = 'regular', stated as the equivalent range test on the
-    # minutes of the day (cheaper once Catalyst pushes it below the source).
-    regular = stg.where(is_regular_time("bar_ts_et"))
-    tp = regular.withColumn(
+    tp = regular_bars(stg).withColumn(
         "typical_price",
         (F.col("high_price") + F.col("low_price") + F.col("close_price")) / F.lit(3.0))
     cum = Wn.with_running_vwap(tp)
     return cum.withColumn("session_vwap", safe_div("cum_tp_volume", "cum_volume"))
 
 
-def session_vwap(stg: DataFrame) -> DataFrame:
+def session_vwap(stg: DataFrame, long: LongSessions | None = None) -> DataFrame:
     """Regular-session bars with session-anchored cumulative VWAP.
 
     The regular-session filter comes BEFORE the windows, so the anchor is the
     first existing bar at or after 09:30 ET (not a literal 09:30 bar).
     day_high / day_gain are running values ("so far"), not session finals.
+    With ``long`` its sessions are worked on in chunks; the rows are the same.
     """
-    vw = with_session_totals(stg).withColumns({
-        "day_high": Wn.running_max("high_price"),
-        "day_open": Wn.session_first("open_price"),
-    })
+    if long is None:
+        vw = with_session_totals(stg).withColumns({
+            "day_high": Wn.running_max("high_price"),
+            "day_open": Wn.session_first("open_price"),
+        })
+    else:
+        tp = regular_bars(stg).withColumn(
+            "typical_price", (F.col("high_price") + F.col("low_price") + F.col("close_price")) / F.lit(3.0))
+        vw = long.running(tp, {
+            "cum_tp_volume": ("sum", F.col("typical_price") * F.col("volume")), "cum_volume": ("sum", "volume"),
+            "day_high": ("max", "high_price"), "day_open": ("first", "open_price"),
+        }).withColumn("session_vwap", safe_div("cum_tp_volume", "cum_volume"))
     return vw.select(
         *schemas.SESSION_VWAP_COLS[:-2],
         safe_div("close_price", "session_vwap").alias("vwap_extension_ratio"),
@@ -49,14 +65,17 @@ def session_vwap(stg: DataFrame) -> DataFrame:
     )
 
 
-def bars_exhaustion(vwap: DataFrame, params: P.StrategyParams = P.FROZEN) -> DataFrame:
+def bars_exhaustion(vwap: DataFrame, params: P.StrategyParams = P.FROZEN, long: LongSessions | None = None) -> DataFrame:
     """Per-bar 2-of-3 entry criteria over the session-VWAP bars.
 
     vol_peak_10 is the max volume over the last 10 BARS of the session,
     including the current one; it restarts each session. A NULL criterion
     counts as not met.
     """
-    peak = vwap.withColumn("vol_peak_10", Wn.trailing_max("volume", params.volume_peak_bars))
+    if long is None:
+        peak = vwap.withColumn("vol_peak_10", Wn.trailing_max("volume", params.volume_peak_bars))
+    else:
+        peak = long.trailing_max(vwap, "vol_peak_10", "volume", params.volume_peak_bars)
     ratios = peak.withColumns({
         "volume_ratio": safe_div("volume", "vol_peak_10"),
         "proximity_to_high": safe_div("close_price", "day_high"),

@@ -23,6 +23,7 @@ from sessionmart import params as P
 from sessionmart.config import shared_dir
 from sessionmart.plans import intermediate, marts, quality_suite, staging
 from sessionmart.operators.joins import reduce_to_keys
+from sessionmart.operators.long_sessions import LongSessions
 from sessionmart.sources import sinks
 from sessionmart.sources.ingest import check_preconditions
 
@@ -34,7 +35,8 @@ class Models(Mapping[str, DataFrame]):
              "session_features", "setup_outcomes", "signal_candidates", "setup_funnel")
 
     def __init__(self, bars: DataFrame, setups: DataFrame, results: DataFrame,
-                 params: P.StrategyParams = P.FROZEN):
+                 params: P.StrategyParams = P.FROZEN, chunk_bars: int | None = None):
+        self._chunk_bars, self._long = chunk_bars, None
         self._in = {"bars": bars, "setups": setups, "results": results}
         self._params = params
         self._built: dict[str, DataFrame] = {}
@@ -43,6 +45,12 @@ class Models(Mapping[str, DataFrame]):
         """Use ``df`` (a written copy) for the model from now on."""
         self._built[name] = df
 
+    def _long_sessions(self) -> LongSessions | None:
+        """Cuts of the sessions with more than ``chunk_bars`` bars, found once (this runs a job); None without that limit."""
+        if self._chunk_bars and self._long is None:
+            self._long = LongSessions.find(intermediate.regular_bars(self["stg_bars"]), self._chunk_bars)
+        return self._long
+
     def _build(self, name: str) -> DataFrame:
         p, m = self._params, self
         if name == "stg_bars":
@@ -52,9 +60,9 @@ class Models(Mapping[str, DataFrame]):
         if name == "stg_results":
             return staging.stg_results(self._in["results"])
         if name == "session_vwap":
-            return intermediate.session_vwap(m["stg_bars"])
+            return intermediate.session_vwap(m["stg_bars"], self._long_sessions())
         if name == "bars_exhaustion":
-            return intermediate.bars_exhaustion(m["session_vwap"], p)
+            return intermediate.bars_exhaustion(m["session_vwap"], p, self._long_sessions())
         if name == "session_features":
             return intermediate.session_features(m["bars_exhaustion"], p)
         if name == "setup_outcomes":
@@ -76,7 +84,8 @@ class Models(Mapping[str, DataFrame]):
             return self._built["session_features"]
         keys = self["stg_setups"].select("symbol", F.col("setup_date").alias("session_date"))
         bars = reduce_to_keys(self["stg_bars"], keys, ["symbol", "session_date"])
-        exh = intermediate.bars_exhaustion(intermediate.session_vwap(bars), self._params)
+        long = self._long_sessions()
+        exh = intermediate.bars_exhaustion(intermediate.session_vwap(bars, long), self._params, long)
         return intermediate.session_features(exh, self._params)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -92,8 +101,9 @@ class Models(Mapping[str, DataFrame]):
 
 
 def build_models(bars: DataFrame, setups: DataFrame, results: DataFrame,
-                 params: P.StrategyParams = P.FROZEN) -> Models:
-    return Models(bars, setups, results, params)
+                 params: P.StrategyParams = P.FROZEN, chunk_bars: int | None = None) -> Models:
+    """The models; with ``chunk_bars``, sessions of more bars are worked on in chunks (``operators.long_sessions``)."""
+    return Models(bars, setups, results, params, chunk_bars)
 
 
 def materialize(models: Models, scratch: str) -> Models:
@@ -124,7 +134,8 @@ LAYER = {"stg_bars": "staging", "stg_setups": "staging", "stg_results": "staging
 def run_pipeline(spark: SparkSession, bars: DataFrame, setups: DataFrame,
                  results: DataFrame, out_dir: str | None = None, target: str = "dev",
                  params: P.StrategyParams = P.FROZEN,
-                 namespace_prefix: str | None = None, create_namespaces: bool = True) -> PipelineResult:
+                 namespace_prefix: str | None = None, create_namespaces: bool = True,
+                 chunk_bars: int | None = None) -> PipelineResult:
     """Build every layer, write the tables, run the 42 checks over what was written.
 
     Tables go to ``out_dir`` as Parquet folders, or -- with
@@ -142,7 +153,7 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, setups: DataFrame,
             for database in layers.values():
                 check_preconditions(spark, database=database)
     out_dir = out_dir or os.path.join(shared_dir(spark), "warehouse")
-    models = build_models(bars, setups, results, params)
+    models = build_models(bars, setups, results, params, chunk_bars)
 
     def target_of(name: str) -> str:
         return f"{layers[LAYER[name]]}.{name}" if layers else os.path.join(out_dir, name)

@@ -132,6 +132,22 @@ def planted_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return bars, setups, results
 
 
+def long_session_bars(ev: DataFrame) -> DataFrame:
+    """Every event as a bar of one of three sessions, a millisecond apart by its id.
+
+    Prices are quarters and volumes whole numbers, so sums are the same in any order. A volume is
+    missing where the id is divisible by 53.
+    """
+    i = F.col("event_id")
+    start = F.lit("2024-03-05 14:30:00").cast(TimestampNTZType())
+    high = F.lit(10.0) + (i * 37 % 400) / F.lit(4.0)
+    return ev.select(
+        "event_id", F.concat(F.lit("L"), (i % 7 % 3).cast("string")).alias("symbol"), F.lit("2024-03-05").cast("date").alias("session_date"),
+        F.timestamp_add("MICROSECOND", (i * 1000).cast("bigint"), start).alias("bar_ts_utc"),
+        high.alias("high_price"), (high - (i % 8) / F.lit(4.0)).alias("open_price"),
+        F.when(i % 53 != 0, (i * 7 % 977).cast("double")).alias("volume"))
+
+
 CLOCK_CHANGES = ("2024-03-10 07:00:00", "2024-11-03 06:00:00")
 
 
