@@ -9,6 +9,7 @@ independent engine whose floating-point sums may differ in the last bits.
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -271,25 +272,76 @@ def seed_csv_roundtrip(spark, d):
     return m["setup_outcomes"]
 
 
+def failed_load_keeps_table(spark, d):
+    """Rows per day of a loaded table after a second load of fewer bars, refused by the count guard."""
+    bars, _, _ = testdata.load_inputs(spark, d)
+    path = scratch_path(spark, "guarded")
+    rows, _ = ingest.load_raw(bars, path)
+    try:
+        ingest.load_raw(bars.where(F.dayofmonth("timestamp") % 2 == 1), path, expected_rows=rows)
+    except ingest.IngestError:
+        pass
+    back = readers.read_bars(spark, path).withColumn("utc_date", F.to_date("timestamp"))
+    return back.groupBy("utc_date").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("symbol").alias("symbols"),
+                                        F.sum("volume").alias("volume"))
+
+
+def first_file_per_symbol(spark, d):
+    """Bars of a cache with one or two files a symbol (here 50 groups of users), the first file of each only."""
+    cache = scratch_path(spark, "bar_cache")
+    bars = testdata.grouped_bars(testdata.events(spark, d))
+    for mark, part in (("a", bars.where("even and g % 7 <> 0")), ("b", bars)):
+        (part.withColumn("file", F.concat("symbol", F.lit(f"_1min_{mark}.parquet"))).drop("even", "g")
+         .repartition("file").write.mode("append").partitionBy("file").parquet(cache))
+    u = spark.range(49).select(F.concat(F.lit("G"), F.col("id")).alias("symbol"))  # all groups but one
+    return (ingest.read_first_files(spark, cache, u).groupBy("symbol")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume")))
+
+
+def seed_files_by_header(spark, d):
+    """Result seeds in several files of one folder whose headers differ in order, staged."""
+    _, _, results = testdata.load_inputs(spark, d)
+    path, odd = scratch_path(spark, "seed_folder"), F.dayofmonth("date") % 2 == 1
+    results.where(odd).write.option("header", True).csv(path)
+    (results.where(~odd).select(F.lit("x").alias("note"), *reversed(results.columns))
+     .write.mode("append").option("header", True).csv(path))
+    return staging.stg_results(readers.read_results(spark, path))
+
+
+def sample_bars(spark, d):
+    """Bars of a frozen list of ten symbols, per symbol."""
+    bars, _, _ = testdata.load_inputs(spark, d)
+    sample = ingest.sample_universe(spark, [f"U{k}" for k in range(1, 11)])
+    return ingest.restrict_to_universe(bars, sample).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume"))
+
+
 def rebuild_roundtrip(spark, d):
     """A table written with all days and rebuilt with fewer holds the fewer; a rebuilt range leaves the other days.
 
-    Rows per day and table: ``rebuilt`` (odd days of the month only) and ``range`` (all days, of which
-    the probe day and the two after it were rebuilt with the odd days only).
+    Rows per day and table: ``rebuilt`` (odd days of the month only), ``range`` (all days, of which
+    the probe day and the two after it were rebuilt with the odd days only) and ``table`` (the same in a catalog table).
     """
     bars, _, _ = testdata.load_inputs(spark, d)
     dated = bars.withColumn("utc_date", F.to_date("timestamp"))
     odd = dated.where(F.dayofmonth("utc_date") % 2 == 1)
     out = None
-    for name in ("rebuilt", "range"):
+    for name in ("rebuilt", "range", "table"):
         path = scratch_path(spark, name)
         sinks.write_partitioned(dated, path, "utc_date", ("symbol", "timestamp"))
         if name == "rebuilt":
             sinks.write_partitioned(odd, path, "utc_date", ("symbol", "timestamp"))
         else:
-            sinks.rebuild_partitions(odd, path, PROBE_DAY, PROBE_DAY + dt.timedelta(days=2), "utc_date", ("symbol", "timestamp"))
-        rows = (sinks.read_table(spark, path).groupBy("utc_date")
+            target = path
+            if name == "table":
+                target = f"default.{os.path.basename(path).replace('-', '_')}"
+                spark.sql(f"CREATE TABLE {target} USING parquet LOCATION '{path}'")
+            sinks.rebuild_partitions(odd, target, PROBE_DAY, PROBE_DAY + dt.timedelta(days=2), "utc_date", ("symbol", "timestamp"))
+        rows = (sinks.read_table(spark, path if name == "rebuilt" else target).groupBy("utc_date")
                 .agg(F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume")).withColumn("target", F.lit(name)))
+        if name == "table":  # an external table: its files stay, the name goes
+            rows.write.parquet(f"{path}_days")
+            rows = spark.read.parquet(f"{path}_days")
+            spark.sql(f"DROP TABLE {target}")
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -369,6 +421,10 @@ REGISTRY: dict[str, Query] = {
     "partitioned_roundtrip": partitioned_roundtrip,
     "seed_csv_roundtrip": seed_csv_roundtrip,
     "rebuild_roundtrip": rebuild_roundtrip,
+    "failed_load_keeps_table": failed_load_keeps_table,
+    "first_file_per_symbol": first_file_per_symbol,
+    "seed_files_by_header": seed_files_by_header,
+    "sample_bars": sample_bars,
     "seed_reordered_csv": seed_reordered_csv,
     "universe_from_csv": universe_from_csv,
     "sorted_universe": sorted_universe,

@@ -353,7 +353,8 @@ def _rebuilt() -> str:
                  FROM raw_bars WHERE {keep} GROUP BY 1"""
     odd = """day("timestamp") % 2 = 1"""
     outside = """CAST("timestamp" AS DATE) NOT BETWEEN DATE '2024-01-15' AND DATE '2024-01-17'"""
-    return over(per_day.format(name="rebuilt", keep=odd) + " UNION ALL " + per_day.format(name="range", keep=f"{odd} OR {outside}"),
+    return over(" UNION ALL ".join([per_day.format(name="rebuilt", keep=odd), per_day.format(name="range", keep=f"{odd} OR {outside}"),
+                                    per_day.format(name="table", keep=f"{odd} OR {outside}")]),
                 ["utc_date", "rows", "volume", "target"])
 
 
@@ -529,6 +530,20 @@ ORACLE: dict[str, str] = {
         ["utc_date", "rows", "symbols", "volume"]),
     "rebuild_roundtrip": _rebuilt(),
     "seed_reordered_csv": select("stg_results", STG_RESULTS),
+    "seed_files_by_header": select("stg_results", STG_RESULTS),
+    "failed_load_keeps_table": over(
+        """SELECT CAST("timestamp" AS DATE) AS utc_date, count(*) AS rows,
+                  count(DISTINCT symbol) AS symbols, sum(volume) AS volume
+           FROM raw_bars GROUP BY CAST("timestamp" AS DATE)""",
+        ["utc_date", "rows", "symbols", "volume"]),
+    "first_file_per_symbol": over(
+        """SELECT 'G' || CAST(user_id % 50 AS VARCHAR) AS symbol, count(DISTINCT date_trunc('minute', ts)) AS rows, sum(k) AS volume
+           FROM ev WHERE user_id % 50 < 49 AND (user_id % 50 % 7 = 0 OR minute(ts) % 2 = 0) GROUP BY user_id % 50""",
+        ["symbol", "rows", "volume"]),
+    "sample_bars": over(
+        """SELECT symbol, count(*) AS rows, sum(volume) AS volume FROM raw_bars
+           WHERE symbol IN (SELECT 'U' || CAST(range AS VARCHAR) FROM range(1, 11)) GROUP BY symbol""",
+        ["symbol", "rows", "volume"]),
     "universe_from_csv": select("universe", ["symbol"]),
     "sorted_universe": over("SELECT symbol FROM universe ORDER BY symbol", ["symbol"]),
     # planted faults and clock changes

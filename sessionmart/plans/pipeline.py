@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from sessionmart import params as P
 from sessionmart.config import shared_dir
-from sessionmart.plans import intermediate, marts, quality_suite, staging
+from sessionmart.plans import catalog_layers, intermediate, marts, quality_suite, staging
 from sessionmart.operators.joins import reduce_to_keys
 from sessionmart.operators.long_sessions import LongSessions
 from sessionmart.sources import sinks
-from sessionmart.sources.ingest import check_preconditions
+from sessionmart.sources.ingest import check_preconditions, load_raw
 
 
 class Models(Mapping[str, DataFrame]):
@@ -135,14 +135,15 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, setups: DataFrame,
                  results: DataFrame, out_dir: str | None = None, target: str = "dev",
                  params: P.StrategyParams = P.FROZEN,
                  namespace_prefix: str | None = None, create_namespaces: bool = True,
-                 chunk_bars: int | None = None) -> PipelineResult:
+                 chunk_bars: int | None = None, bars_table: str | None = None) -> PipelineResult:
     """Build every layer, write the tables, run the 42 checks over what was written.
 
     Tables go to ``out_dir`` as Parquet folders, or -- with
     ``namespace_prefix`` -- into one catalog namespace per layer
-    (``<prefix>_intermediate.session_vwap`` ...); the two seeds then go to the raw
-    namespace and their staging models to the staging one. Without
-    ``create_namespaces`` the namespaces must exist.
+    (``<prefix>_intermediate.session_vwap`` ...); the two seeds and the bars (unless ``bars_table`` names the
+    catalog table they came from) then go to the raw namespace, the seeds' staging models to the staging one, and the
+    other models become permanent views (``catalog_layers``), so every layer can be read by name in later
+    sessions. Without ``create_namespaces`` the namespaces must exist.
     """
     layers = None
     if namespace_prefix:
@@ -168,12 +169,17 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, setups: DataFrame,
         for name, df in (("setups", setups), ("backtest_results", results)):
             tables[name] = f"{layers['raw']}.{name}"
             sinks.write_table(df, tables[name])
+        if not bars_table:
+            bars_table = tables["bars_1min"] = f"{layers['raw']}.bars_1min"
+            load_raw(bars, bars_table)
         for name in ("stg_setups", "stg_results"):
             write(name, sinks.write_table)
     write("session_vwap", sinks.write_partitioned, partition_col=PARTITIONED["session_vwap"], cluster_by=("symbol", "bar_ts_utc"))
     write("session_features", sinks.write_table)
     write("signal_candidates", sinks.write_partitioned, partition_col=PARTITIONED["signal_candidates"], cluster_by=("symbol", "bar_ts_utc"))
     write("setup_funnel", sinks.write_table)
+    if layers:
+        tables |= catalog_layers.create_views(spark, layers, bars_table, params)
     for name in models:
         sinks.write_view(models[name], name)
     checks = quality_suite.run_suite(models, target=target, params=params)

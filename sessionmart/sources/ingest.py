@@ -15,7 +15,8 @@ from sessionmart import params as P
 from sessionmart import schemas
 from sessionmart.operators.joins import semi_join
 from sessionmart.sources import sinks
-from sessionmart.sources.readers import conform, conform_columns
+from sessionmart.sources.files import Store
+from sessionmart.sources.readers import conform, conform_columns, csv_by_header
 
 
 class IngestError(RuntimeError):
@@ -58,6 +59,29 @@ def read_bar_files(spark: SparkSession, pattern: str, symbols: DataFrame | None
     return one.select("timestamp", *[F.col(f"b.{c}").alias(c) for c in values], "symbol")
 
 
+#: Name of a bar file (or folder of part files): the symbol stands before the mark.
+BAR_FILE = r"^(.*/(?:[^/=]+=)?([^/=]+)_1min_[^/]*\.parquet)(?:/|$)"
+
+
+def first_files(spark: SparkSession, pattern: str, symbols: DataFrame | None = None) -> DataFrame:
+    """The first bar file by path of each symbol (symbol, path), by file names alone: no bar is read."""
+    listed = spark.read.format("binaryFile").load(pattern).select("path")  # without their content
+    files = listed.select(F.regexp_extract("path", BAR_FILE, 2).alias("symbol"), F.regexp_extract("path", BAR_FILE, 1).alias("path"))
+    first = files.where(F.col("symbol") != "").groupBy("symbol").agg(F.min("path").alias("path"))
+    return first if symbols is None else semi_join(first, symbols, "symbol")
+
+
+def read_first_files(spark: SparkSession, pattern: str, symbols: DataFrame | None = None) -> DataFrame:
+    """Bars of one file a symbol, the first by path; the other files of the cache are not opened.
+
+    The chosen paths pass through the driver, as any list of files to read does.
+    """
+    paths = [r["path"] for r in first_files(spark, pattern, symbols).collect()]
+    if not paths:
+        return spark.createDataFrame([], schemas.BARS_NTZ)
+    return conform(spark.read.parquet(*sorted(paths)), schemas.BARS_NTZ)
+
+
 def restrict_to_universe(bars: DataFrame, symbols: DataFrame) -> DataFrame:
     """Bars of universe symbols only (semi join)."""
     return semi_join(bars, symbols, "symbol")
@@ -65,7 +89,7 @@ def restrict_to_universe(bars: DataFrame, symbols: DataFrame) -> DataFrame:
 
 def universe_from_csv(spark: SparkSession, path: str) -> DataFrame:
     """The universe of any CSV with a header that has a ``symbol`` column."""
-    return universe(spark.read.option("header", True).option("mode", "FAILFAST").csv(path))
+    return universe(csv_by_header(spark, path, ["symbol"]))
 
 
 def missing_symbols(symbols: DataFrame, bars: DataFrame) -> DataFrame:
@@ -97,9 +121,9 @@ def count_guard(bars: DataFrame, expected_rows: int | None = None,
     r = bars.agg(F.count(F.lit(1)).alias("rows"),
                  F.count_distinct("symbol").alias("symbols")).first()
     if expected_rows is not None and r["rows"] != expected_rows:
-        raise IngestError(f"expected {expected_rows:,} rows, got {r['rows']:,}; the counted table stays as it is")
+        raise IngestError(f"expected {expected_rows:,} rows, got {r['rows']:,}; nothing was published")
     if expected_symbols is not None and r["symbols"] != expected_symbols:
-        raise IngestError(f"expected {expected_symbols} symbols, got {r['symbols']}; the counted table stays as it is")
+        raise IngestError(f"expected {expected_symbols} symbols, got {r['symbols']}; nothing was published")
     return r["rows"], r["symbols"]
 
 
@@ -164,9 +188,8 @@ def check_preconditions(spark: SparkSession, source_path: str | None = None,
                         database: str | None = None) -> None:
     """Fail before writing: the source must exist, the target namespace too."""
     if source_path is not None:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(source_path)
-        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(jvm_path) and not fs.globStatus(jvm_path):
+        store = Store(spark, source_path)
+        if not store.exists(source_path) and not store.matches(source_path):
             raise IngestError(f"source not found: {source_path}")
     if database is not None and not spark.catalog.databaseExists(database):
         raise IngestError(f"namespace {database!r} does not exist; create it first")
@@ -175,12 +198,13 @@ def check_preconditions(spark: SparkSession, source_path: str | None = None,
 def load_raw(bars: DataFrame, target: str, expected_rows: int | None = None,
              expected_symbols: int | None = None) -> tuple[int, int]:
     """Load raw bars as the vendor sent them: partitioned by UTC day, clustered
-    by symbol, snappy Parquet (a full rebuild: days not in ``bars`` go); then verify the
-    row/symbol counts of what was written. A mismatch raises; the table is then written."""
-    spark = bars.sparkSession
-    staged = conform(bars, schemas.BARS_NTZ).withColumn("utc_date", F.to_date("timestamp"))
-    sinks.write_partitioned(staged, target, partition_col="utc_date",
-                            cluster_by=("symbol", "timestamp"))
-    return count_guard(sinks.read_table(spark, target), expected_rows, expected_symbols)
+    by symbol, snappy Parquet (a full rebuild: days not in ``bars`` go). The rows go to a
+    staging copy, whose row/symbol counts are verified, and then replace ``target`` in one
+    switch. A mismatch raises, and ``target`` stays as it was."""
+    dated = conform(bars, schemas.BARS_NTZ).withColumn("utc_date", F.to_date("timestamp"))
+    return sinks.publish(
+        bars.sparkSession, target,
+        write=lambda t: sinks.write_partitioned(dated, t, partition_col="utc_date", cluster_by=("symbol", "timestamp")),
+        verify=lambda df: count_guard(df, expected_rows, expected_symbols))
 
 

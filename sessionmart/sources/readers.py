@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,13 +62,34 @@ def read_bars(spark: SparkSession, source: str | DataFrame,
     return conform(df, schemas.BARS_NTZ)
 
 
+def csv_by_header(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Text columns by name from a CSV file or all files of a folder, each by its own header.
+
+    A reader of several files takes the first file's header for all; here files are grouped by their header line (the
+    first of the file) and each group is read with it. A file without one of the columns fails; empty files count for nothing.
+    """
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+             .where("at = 0").withColumn("line", F.monotonically_increasing_id()))
+    groups = (lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+              .groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect())
+    out = None
+    for g in groups:
+        one = spark.read.option("header", True).option("mode", "FAILFAST").csv([unquote(f) for f in g["files"]])
+        absent = [c for c in columns if c.lower() not in (x.lower() for x in one.columns)]
+        if absent:
+            raise ValueError(f"no column {', '.join(absent)} in {g['files'][0]} (header: {g['header']})")
+        one = one.select(*[F.col(f"`{c}`") for c in columns])
+        out = one if out is None else out.union(one)
+    return out if out is not None else spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+
+
 def read_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Version-controlled CSV: columns by header name, cast to their declared types.
+    """Version-controlled CSV: columns by each file's header, cast to their declared types.
 
     The order of the columns is free and further columns are ignored; a missing column,
     a malformed row or a value that does not cast (ANSI) fails.
     """
-    text = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    text = csv_by_header(spark, path, schema.names)
     return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 

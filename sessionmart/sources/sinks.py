@@ -2,18 +2,25 @@
 
 Tables are written as snappy Parquet. A write is a full rebuild for paths and
 catalog tables alike: partitions that the new rows do not hold are gone. Only
-``rebuild_partitions`` replaces a stated range and leaves the rest.
+``rebuild_partitions`` replaces a stated range and leaves the rest. ``publish`` lets a check
+of the written rows decide whether they replace the live ones.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionmart.sources.files import Store
+
+T = TypeVar("T")
+
 LAYERS = ("raw", "staging", "intermediate", "marts")
 
 
@@ -67,24 +74,97 @@ def write_partitioned(df: DataFrame, target: str, partition_col: str = "session_
     _partitioned(df, partition_col, cluster_by, mode, "static", target)
 
 
+def publish(spark: SparkSession, target: str, write: Callable[[str], None], verify: Callable[[DataFrame], T]) -> T:
+    """Write, verify, publish: ``target`` changes only if ``verify`` accepts the new rows.
+
+    ``write`` gets the name of a staging table (or folder) beside ``target``, ``verify`` the rows read back from it. If either
+    raises, the staging copy is dropped and ``target`` is as it was. Otherwise the copies are exchanged by renames,
+    which are undone if one fails, and the old copy is dropped.
+    """
+    tag = uuid.uuid4().hex[:12]
+    staged, old = f"{target.rstrip('/')}__staged_{tag}", f"{target.rstrip('/')}__replaced_{tag}"
+    try:
+        write(staged)
+        result = verify(read_table(spark, staged))
+    except Exception:
+        _drop(spark, staged)
+        raise
+    if is_table(target):
+        there = spark.catalog.tableExists(target)
+        if there:
+            _rename_table(spark, target, old)
+        try:
+            _rename_table(spark, staged, target)
+        except Exception:
+            if there:
+                _rename_table(spark, old, target)
+            raise
+    else:
+        store = Store(spark, target)
+        there = store.exists(target)
+        store.exchange(([(target, old)] if there else []) + [(staged, target)])
+        spark.catalog.refreshByPath(target)
+    if there:
+        _drop(spark, old)
+    return result
+
+
+def _drop(spark: SparkSession, target: str) -> None:
+    if is_table(target):
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+    else:
+        Store(spark, target).delete(target)
+
+
+def _rename_table(spark: SparkSession, table: str, new: str) -> None:
+    """Rename; the places of the partitions are brought up to date at once, before another table takes the old name's folder."""
+    spark.sql(f"ALTER TABLE {table} RENAME TO {new}")
+    _list_partitions(spark, new)
+
+
+def _list_partitions(spark: SparkSession, table: str) -> None:
+    """Bring the catalog's list of a table's partitions in line with its folders, whose places or number have changed."""
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
+def location(spark: SparkSession, target: str) -> str:
+    """The folder that holds the files of a path or catalog table."""
+    if not is_table(target):
+        return target
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").where(F.col("col_name") == "Location").select("data_type").take(1)
+    return rows[0][0]
+
+
 def rebuild_partitions(df: DataFrame, target: str, first: dt.date, last: dt.date, partition_col: str = "session_date",
                        cluster_by: Sequence[str] = ("symbol",)) -> None:
-    """Replace the partitions from ``first`` to ``last`` (dates) by the rows of ``df`` in that range.
+    """Replace the partitions from ``first`` to ``last`` (dates) by the rows of ``df`` in that range, in a path or catalog table.
 
-    Partitions of the range that ``df`` no longer holds are emptied too. Paths only.
+    Partitions of the range that ``df`` no longer holds are emptied too, and no other day is touched. The new days are written beside
+    the table first (``df`` may read the table itself); then the days change places by renames, all of them or none.
     """
-    if is_table(target):
-        raise ValueError("a range can be rebuilt in a path target only")
     spark = df.sparkSession
-    day = F.col(partition_col)
-    there = {r[0] for r in spark.read.parquet(target).where(day.between(F.lit(first), F.lit(last))).select(partition_col).distinct().collect()}
-    rows = df.where(day.between(F.lit(first), F.lit(last)))
-    now = {r[0] for r in rows.select(partition_col).distinct().collect()}
-    _partitioned(rows, partition_col, cluster_by, "overwrite", "dynamic", target)
-    root = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for gone in there - now:  # at most one folder for each day of the range
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={gone}"), True)
+    root, tag = location(spark, target).rstrip("/"), uuid.uuid4().hex[:12]
+    staged, old = f"{root}/_staged_{tag}", f"{root}/_replaced_{tag}"  # such folders are no partitions to Spark
+    store = Store(spark, root)
+    try:
+        _partitioned(df.where(F.col(partition_col).between(F.lit(first), F.lit(last))), partition_col, cluster_by, "overwrite", "static", staged)
+        moves = []
+        for k in range((last - first).days + 1):
+            day = f"{partition_col}={first + dt.timedelta(days=k)}"
+            if store.exists(f"{root}/{day}"):
+                moves.append((f"{root}/{day}", f"{old}/{day}"))
+            if store.exists(f"{staged}/{day}"):
+                moves.append((f"{staged}/{day}", f"{root}/{day}"))
+        store.exchange(moves)
+    finally:
+        store.delete(staged)
+    store.delete(old)
+    if is_table(target):
+        _list_partitions(spark, target)
+    else:
+        spark.catalog.refreshByPath(root)
 
 
 # Tasks and files that one partition value is spread over at most.

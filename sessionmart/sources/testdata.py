@@ -132,6 +132,16 @@ def planted_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return bars, setups, results
 
 
+def grouped_bars(ev: DataFrame) -> DataFrame:
+    """Bars whose symbol is one of 50 groups of users, with the group's number and whether the minute is even."""
+    g = F.col("user_id") % 50
+    minute = F.date_trunc("minute", F.col("ts")).cast(TimestampNTZType())
+    agg = (_with_k(ev).groupBy(g.alias("g"), minute.alias("timestamp"))
+           .agg(*_ohlc(), F.sum("k").alias("volume"), safe_div(F.sum(F.col("value") * F.col("k")), F.sum("k")).alias("vwap")))
+    return agg.select("timestamp", "open", "high", "low", "close", "volume", "vwap", F.concat(F.lit("G"), F.col("g").cast("string")).alias("symbol"),
+                      "g", (F.minute("timestamp") % 2 == 0).alias("even"))
+
+
 def long_session_bars(ev: DataFrame) -> DataFrame:
     """Every event as a bar of one of three sessions, a millisecond apart by its id.
 

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, bars_df
+from parity import canonical
 from sessionmart import schemas
 from sessionmart.plans import pipeline
 from sessionmart.sources import ingest, readers, sinks, testdata
+from sessionmart.sources.files import Store
 
 
 def test_universe_semi_and_missing(spark):
@@ -111,8 +113,45 @@ def test_a_rebuild_leaves_no_stale_partition(spark, tmp_dir):
     sinks.rebuild_partitions(dated.where(F.col("utc_date") == days[1]), p, days[0], days[2], "utc_date")
     left = sorted(r[0] for r in sinks.read_table(spark, p).select("utc_date").distinct().collect())
     assert left == [days[1], *days[3:]]
-    with pytest.raises(ValueError):
-        sinks.rebuild_partitions(dated, "smstale_raw.bars", days[0], days[1], "utc_date")
+    for target in (p, "smstale_raw.ranged"):  # in a catalog table too, from rows of the table itself
+        sinks.write_partitioned(dated, target, "utc_date")
+        own = sinks.read_table(spark, target).where(F.col("utc_date") != days[0])
+        sinks.rebuild_partitions(own, target, days[0], days[1], "utc_date")
+        assert sorted(r[0] for r in sinks.read_table(spark, target).select("utc_date").distinct().collect()) == days[1:]
+        assert sinks.read_table(spark, target).count() == dated.where(F.col("utc_date") != days[0]).count()
+    root = sinks.location(spark, "smstale_raw.ranged").removeprefix("file:")
+    assert not [x for x in os.listdir(root) if x.startswith(("_staged", "_replaced"))]
+
+
+def test_moves_happen_all_or_not_at_all(spark, tmp_dir):
+    for name in ("a", "b", "taken"):
+        os.makedirs(os.path.join(tmp_dir, name))
+    at = lambda name: os.path.join(tmp_dir, name)
+    with pytest.raises(OSError):
+        Store(spark, tmp_dir).exchange([(at("a"), at("x/a")), (at("b"), at("taken"))])
+    assert sorted(os.listdir(tmp_dir)) == ["a", "b", "taken", "x"] and os.listdir(at("x")) == []
+
+
+@pytest.mark.parametrize("target", ["path", "smguard_raw.bars"])
+def test_a_refused_load_leaves_the_old_table(spark, tmp_dir, target):
+    bars, _, _ = testdata.load_inputs(spark, SF001)
+    sinks.create_layers(spark, prefix="smguard")
+    target = target if "." in target else os.path.join(tmp_dir, target)
+    half = bars.where(F.dayofmonth("timestamp") % 2 == 1)
+    with pytest.raises(ingest.IngestError):
+        ingest.load_raw(bars, target, expected_rows=1)  # nothing there yet, and nothing after it
+    assert not (spark.catalog.tableExists(target) if sinks.is_table(target) else os.path.exists(target))
+    n, _ = ingest.load_raw(bars, target)
+    with pytest.raises(ingest.IngestError):
+        ingest.load_raw(half, target, expected_rows=n)
+    with pytest.raises(Exception):  # a write that fails
+        ingest.load_raw(half.withColumn("open", F.raise_error(F.lit("broken")).cast("double")), target)
+    back = readers.read_bars(spark, target)
+    assert back.count() == n and back.exceptAll(bars).count() == 0
+    assert ingest.load_raw(half, target) == ingest.count_guard(half)
+    assert readers.read_bars(spark, target).count() == half.count()
+    left = [t.name for t in spark.catalog.listTables("smguard_raw")] if sinks.is_table(target) else os.listdir(tmp_dir)
+    assert left == [target.rpartition(".")[2] if sinks.is_table(target) else "path"]
 
 
 def test_one_rule_tells_tables_from_paths(spark, tmp_dir, monkeypatch):
@@ -141,6 +180,66 @@ def test_seed_columns_go_by_header_name(spark, tmp_dir):
     assert [x[0] for x in u.collect()] == ["A"]
 
 
+def test_each_file_goes_by_its_own_header(spark, tmp_dir):
+    _, _, results = testdata.load_inputs(spark, SF001)
+    p = os.path.join(tmp_dir, "res ults")
+    results.limit(30).write.option("header", True).csv(p)
+    results.limit(30).select(*reversed(results.columns), F.lit("x").alias("more")).write.mode("append").option("header", True).csv(p)
+    back = readers.read_results(spark, p).collect()
+    assert sorted(back, key=str) == sorted(2 * results.limit(30).collect(), key=str)
+    assert {r[0] for r in ingest.universe_from_csv(spark, p).collect()} == {r.symbol for r in back}
+    results.drop("win").limit(3).write.mode("append").option("header", True).csv(p)
+    with pytest.raises(ValueError, match="win"):
+        readers.read_results(spark, p)
+    assert {r[0] for r in ingest.universe_from_csv(spark, p).collect()} == {r.symbol for r in back} | {r.symbol for r in results.limit(3).collect()}
+    empty = os.path.join(tmp_dir, "empty.csv")
+    open(empty, "w").close()
+    assert readers.read_results(spark, empty).collect() == []
+
+
+def test_first_file_of_each_symbol(spark, tmp_dir):
+    t = dt.datetime(2024, 1, 16, 15, 0)
+    for name, v in (("A_1min_b", 1), ("A_1min_a", 2), ("B_1min_x", 3), ("C_1min_x", 4)):
+        bars_df(spark, [(t, 1, 2, 1, 2, v, name[0])]).write.parquet(os.path.join(tmp_dir, f"{name}.parquet"))
+    cache = os.path.join(tmp_dir, "*_1min_*.parquet")
+    with open(os.path.join(tmp_dir, "C_1min_zz.parquet"), "w") as fh:
+        fh.write("not parquet, and never opened")
+    symbols = spark.createDataFrame([("A",), ("C",), ("Z",)], "symbol string")
+    assert sorted((r.symbol, r.volume) for r in ingest.read_first_files(spark, cache, symbols).collect()) == [("A", 2.0), ("C", 4.0)]
+    assert ingest.read_first_files(spark, cache).count() == 3
+    assert ingest.read_first_files(spark, cache, symbols.where("false")).collect() == []
+
+
+def test_cli_refuses_a_missing_namespace_and_lists_missing_symbols_beside_the_table(spark, tmp_dir):
+    from sessionmart.__main__ import main
+    bars, _, results = testdata.load_inputs(spark, SF001)
+    cache, r_csv = os.path.join(tmp_dir, "P_1min_all.parquet"), os.path.join(tmp_dir, "results")
+    bars.write.parquet(cache)
+    results.write.option("header", True).csv(r_csv)
+    with pytest.raises(ingest.IngestError, match="smmissing"):
+        main(["ingest", "--cache", cache, "--results", r_csv, "--out", "smmissing.bars"])
+    sinks.create_layers(spark, prefix="smcli")
+    assert main(["ingest", "--cache", cache, "--results", r_csv, "--out", "smcli_raw.bars"]) == 0
+    missing = ingest.missing_symbols(ingest.universe(results), bars)
+    assert spark.table("smcli_raw.bars_missing_symbols").count() == missing.count()
+
+
+def test_layers_are_read_by_name_in_a_second_session(spark):
+    bars, setups, results = testdata.load_inputs(spark, SF001)
+    res = pipeline.run_pipeline(spark, bars, setups, results, namespace_prefix="smviews")
+    models = pipeline.build_models(bars, setups, results)
+    later = spark.newSession()
+    for name in ("stg_bars", "stg_setups", "bars_exhaustion", "setup_outcomes", "session_vwap"):
+        got = later.table(res.tables[name])
+        assert sorted(got.columns) == sorted(models[name].columns)
+        cols = sorted(got.columns)
+        a, b = ([tuple(r) for r in df.select(cols).collect()] for df in (got, models[name]))
+        assert canonical(cols, a) == canonical(cols, b) and a
+    (r,) = later.sql("SELECT smviews_staging.session_phase(smviews_staging.time_of_day(smviews_staging.to_et(TIMESTAMP_NTZ'2024-07-01 13:30:00'))) AS p, "
+                     "smviews_staging.safe_div(1, 0) AS d, smviews_staging.bar_key(NULL, NULL) AS k").collect()
+    assert r.p == "regular" and r.d is None and len(r.k) == 32
+
+
 def test_destination_namespaces_must_exist(spark):
     bars, setups, results = testdata.load_inputs(spark, SF001)
     with pytest.raises(ingest.IngestError):
