@@ -6,7 +6,7 @@ import re
 
 from .license_scan import MIN_REACH, THRESHOLD
 from .quality_rules import EDIT_WORDS, HOST_PERCENT, MAX_REPEAT_PERCENT, MIN_DOCS, MIN_LEFT_PERCENT, MIN_WORDS
-from .url_filter import DAMPING, LINK, LOWER, MIN_DISTRUST, ROUNDS, UPPER
+from .url_filter import DAMPING, LOWER, MIN_DISTRUST, ROUNDS, TARGET, UPPER
 
 _SPACE = r"[ \t-\r]"
 
@@ -161,36 +161,47 @@ FROM docs LEFT JOIN base b USING (rid) LEFT JOIN more m USING (rid)
 
 def url_filters(rules: list[tuple[str, str]]) -> str:
     listed = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in rules)
+    keep, pass_on = 1 - DAMPING, DAMPING
     rounds = "".join(f"""
-s{k} AS (
-    SELECT host, {1 - DAMPING} * good + {DAMPING} * coalesce((SELECT sum(p.t / e.out_n) FROM edges e JOIN s{k - 1} p ON p.host = e.src WHERE e.dst = seeds.host), 0) AS t,
-           {1 - DAMPING} * bad + {DAMPING} * coalesce((SELECT sum(p.d / e.in_n) FROM edges e JOIN s{k - 1} p ON p.host = e.dst WHERE e.src = seeds.host), 0) AS d
-    FROM seeds
+flow{k} AS MATERIALIZED (
+    SELECT host, sum(t) AS t, sum(d) AS d, sum(t1) AS t1, sum(d1) AS d1 FROM (
+        SELECT dst AS host, p.t / out_n AS t, 0.0 AS d, p.t1 / out_n AS t1, 0.0 AS d1 FROM edges JOIN s{k - 1} p ON p.host = src
+        UNION ALL SELECT src, 0.0, p.d / in_n, 0.0, p.d1 / in_n FROM edges JOIN s{k - 1} p ON p.host = dst) GROUP BY host
+),
+s{k} AS MATERIALIZED (
+    SELECT host, {keep} * good + {pass_on} * coalesce(f.t, 0) AS t, {keep} * bad + {pass_on} * coalesce(f.d, 0) AS d,
+           {keep} + {pass_on} * coalesce(f.t1, 0) AS t1, {keep} + {pass_on} * coalesce(f.d1, 0) AS d1 FROM seeds LEFT JOIN flow{k} f USING (host)
 ),""" for k in range(1, ROUNDS + 1))
-    link = LINK.replace("'", "''")
+    target = TARGET.replace("'", "''")
+    by_rule = ("arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM {0} LEFT JOIN rules "
+               "ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY ALL")
+    share = "avg(CASE WHEN verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS good, avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0.0 END) AS bad"
+    parts = (f"translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, "
+             "regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path")
     return f"""
 WITH cut AS (
     SELECT row_number() OVER () AS rid, page_id, html, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
 ),
-parsed AS (
-    SELECT rid, page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
-           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
-),
+parsed AS (SELECT rid, page_id, html, {parts} FROM cut),
 rules(verdict, rule, rule_host, rule_path) AS (VALUES {listed}),
-ruled AS (
-    SELECT rid, page_id, host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
-    FROM parsed LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
-    GROUP BY ALL
-),
-seeds AS (
-    SELECT host, avg(CASE WHEN verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS good, avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0.0 END) AS bad FROM ruled GROUP BY host
-),
-found AS (SELECT DISTINCT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{UPPER}', '{LOWER}') AS dst FROM parsed),
-edges AS (
-    SELECT src, dst, count(*) OVER (PARTITION BY src) AS out_n, count(*) OVER (PARTITION BY dst) AS in_n
-    FROM found WHERE src <> dst AND src <> '' AND dst <> '' AND dst IN (SELECT host FROM seeds)
-),
-s0 AS (SELECT host, {1 - DAMPING} * good AS t, {1 - DAMPING} * bad AS d FROM seeds),{rounds}
-judged AS (SELECT host, CASE WHEN host <> '' AND d >= {MIN_DISTRUST} AND d > t THEN 'block' ELSE 'allow' END AS spread FROM s{ROUNDS})
+ruled AS MATERIALIZED (SELECT rid, page_id, host, path, {by_rule.format("(SELECT rid, page_id, host, path FROM parsed)")}),
+found AS (SELECT DISTINCT host AS src, unnest(regexp_extract_all(html, '{target}', 1)) AS rest FROM parsed),
+linked AS MATERIALIZED (SELECT DISTINCT src, host, path FROM (SELECT src, {parts} FROM found) WHERE src <> host AND src <> '' AND host <> ''),
+far AS (SELECT DISTINCT host, path FROM linked ANTI JOIN parsed USING (host)),
+judged_far AS (SELECT host, path, {by_rule.format("far")}),
+seeds AS MATERIALIZED (SELECT host, {share} FROM ruled GROUP BY host UNION ALL SELECT host, {share} FROM judged_far GROUP BY host),
+edges AS MATERIALIZED (
+    SELECT src, dst, count(*) OVER (PARTITION BY src) AS out_n, count(*) OVER (PARTITION BY dst) AS in_n FROM (SELECT DISTINCT src, host AS dst FROM linked)
+),
+s0 AS MATERIALIZED (SELECT host, {keep} * good AS t, {keep} * bad AS d, {keep} AS t1, {keep} AS d1 FROM seeds),{rounds}
+scores AS MATERIALIZED (SELECT host, t, d, t / t1 AS good, d / d1 AS bad FROM s{ROUNDS}),
+bad_out AS (SELECT src AS host, avg(bad) AS bad_out FROM edges JOIN scores ON scores.host = dst GROUP BY src),
+good_in AS (SELECT dst AS host, avg(good) AS good_in FROM edges JOIN scores ON scores.host = src GROUP BY dst),
+judged AS (
+    SELECT host, CASE WHEN host <> '' AND ((d >= {MIN_DISTRUST} AND d > t)
+                                           OR (coalesce(bad_out, 0) >= {MIN_DISTRUST} AND coalesce(bad_out, 0) > coalesce(good_in, 0)))
+                      THEN 'block' ELSE 'allow' END AS spread
+    FROM scores LEFT JOIN bad_out USING (host) LEFT JOIN good_in USING (host)
+)
 SELECT page_id, host, path, rule, coalesce(verdict, spread) AS verdict FROM ruled JOIN judged USING (host)
 """

@@ -2,8 +2,9 @@ import hashlib
 import random
 
 import numpy as np
+from parity import compare
 from sessionmart.llm.chat_format import digests, escape, format_conversations, mask, parse, render, unescape
-from sessionmart.llm.registry import RULES, tokenizer_file
+from sessionmart.llm.registry import ORACLE, RULES, tokenizer_file
 from sessionmart.llm.url_filter import filter_urls, propagate
 
 HARD = ["", "\\", "###", "\\### Assistant: </turn> ok", "####", "</turn>", "<</turn>>", "a\\", "\n", "  lead", "trail \n ", "é 日本", "a: b", "\\\\###\\", "</turn>\n### user: x"]
@@ -123,3 +124,25 @@ def test_hosts_that_link_to_a_blocked_host_are_blocked_however_many_they_are(spa
     got = {r.page_id: r.verdict for r in filter_urls(spark.createDataFrame(rows + clean, "page_id long, url string, html string"), RULES).collect()}
     assert len(got) == len(rows) + 3 and all(got[i] == "block" for i in linking)
     assert all(got[i] == "allow" for i, _, _ in clean)
+
+
+def test_verdicts_equal_sql_where_hosts_link_to_each_other(spark, tmp_path):
+    import duckdb
+    r = random.Random(21)
+    hosts = [f"{r.choice(['', 'www.', 'A.'])}h{i}.{r.choice(['com', 'net', 'org', 'example.org'])}" for i in range(60)]
+    far = [f"far{i}.{r.choice(['com', 'net', 'org'])}" for i in range(20)]
+    path = lambda: r.choice(["/de/x", "/fr/y?q", "/es/1", "/en/1", "/", "", "#f", "/z"])
+    rows = []
+    for i in range(400):
+        links = [f"<A HREF={q}{r.choice(['http:', 'https:', ''])}//{r.choice(hosts[:12] * 3 + hosts + far)}{path()}{q}>x</a>"
+                 for q in r.choices(["'", '"'], k=r.choice([0, 0, 1, 3, 8]))]
+        rows.append((i, r.choice([f"http://{r.choice(hosts)}{path()}"] * 9 + [None, "no scheme", "://"]), r.choice([None] + 5 * ["".join(links)])))
+    pages = spark.createDataFrame(rows + rows[:9], "page_id long, url string, html string").selectExpr("*", "1 as host", "2 as path", "3 as trust", "4 as rules")
+    pages.coalesce(1).write.parquet(str(tmp_path / "pages"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages/*.parquet')")
+    got = filter_urls(spark.read.parquet(str(tmp_path / "pages")), RULES).drop("trust", "distrust")
+    res = compare(got, con, ORACLE["op2_url_filters"])
+    assert res["cols_match"] and res["values_match"], res
+    spread = [x.verdict for x in got.where("rule is null and host <> ''").collect()]
+    assert min(spread.count("allow"), spread.count("block")) > 20
