@@ -13,6 +13,7 @@ space, blocks joined by one space. Null, empty or text-free html gives the empty
 
 from __future__ import annotations
 
+import functools
 import html
 import random
 import re
@@ -411,7 +412,9 @@ def labelled_pages(n: int = TRAIN_PAGES, seed: int = SEED) -> list[tuple[str, li
     return out
 
 
+@functools.cache
 def train_default(n: int = TRAIN_PAGES, seed: int = SEED) -> Crf:
+    """The model of the built pages, trained once a process."""
     return train([(features(blocks(p)), y) for p, y in labelled_pages(n, seed)])
 
 
@@ -437,7 +440,9 @@ def _extract_rows(model, columns: list[str]):
 def extract(pages: DataFrame, model: Crf | None = None) -> DataFrame:
     """The rows of ``pages`` (html, ...) with ``text`` and ``blocks`` (its main blocks) in place of ``html``.
 
-    The model (some hundred weights) is trained on the driver unless given, and sent to the tasks.
+    Input columns named ``text`` or ``blocks`` are replaced.
+
+    The model (some hundred weights) is trained on the driver, once a process, unless given, and sent to the tasks.
     """
     spark = pages.sparkSession
     columns = [c for c in pages.columns if c not in ("html", "text", "blocks")]
