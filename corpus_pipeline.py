@@ -20,10 +20,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup: later repeated runs go from the texts; a document without any words left goes."""
+    """Line dedup: later repeated runs go from the texts; a document that this leaves with too few words for the quality rules goes."""
     out = line_dedup.dedup_lines(docs)
-    emptied = (F.col("removed_words") > 0) & (F.length(F.btrim("text", F.lit(quality_rules.SPACE))) == 0)
-    return out.where(~emptied).select(*docs.columns)
+    text = F.btrim("text", F.lit(quality_rules.SPACE))
+    left = F.when(text == "", 0).otherwise(F.size(F.split(text, quality_rules.SPACES)))
+    depleted = (F.col("removed_words") > 0) & (left < quality_rules.MIN_WORDS)
+    return out.where(~depleted).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
