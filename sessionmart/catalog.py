@@ -21,7 +21,7 @@ from sessionmart.functions import round_scaled, time_of_day, to_et
 from sessionmart.functions import session_phase as phase_of
 from sessionmart.operators import windows as Wn
 from sessionmart.operators.long_sessions import LongSessions
-from sessionmart.plans import intermediate, pipeline, quality_suite, reports, staging
+from sessionmart.plans import intermediate, marts, pipeline, quality_suite, reports, staging
 from sessionmart.sources import ingest, readers, sinks, testdata
 
 ROUND_DIGITS = 6
@@ -212,6 +212,14 @@ def signals_outside_hours(spark, d):
             .select(*quality_suite.OUTSIDE_HOURS_REPORT))
 
 
+def signals_outside_planted(spark, d):
+    """Signals formed without the entry gate: those that break the market-hours rule."""
+    exh = models(spark, d)["bars_exhaustion"]
+    sig = exh.where(F.col("criteria_met") >= 2)
+    return (sig.where(quality_suite.outside_hours_predicate()(sig))
+            .select(*quality_suite.OUTSIDE_HOURS_REPORT))
+
+
 def dq_summary(spark, d):
     """All 42 checks; the window table and the features are written once and read by the rest."""
     return quality_suite.run_suite(pipeline.materialize(models(spark, d), scratch_path(spark, "checks")))
@@ -315,6 +323,28 @@ def sample_bars(spark, d):
     return ingest.restrict_to_universe(bars, sample).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume"))
 
 
+def bucketed_sessions(spark, d):
+    """Session features and the funnel from bars and outcomes written in buckets of their sessions: no further Exchange."""
+    m = models(spark, d)
+    names = {}
+    for name, keys, order in (("session_vwap", ("symbol", "session_date"), ("symbol", "session_date", "bar_ts_utc")),
+                              ("setup_outcomes", ("symbol", "setup_date"), ("symbol", "setup_date"))):
+        path = scratch_path(spark, name)
+        names[name] = f"default.{os.path.basename(path).replace('-', '_')}"
+        sinks.write_bucketed(m[name], names[name], keys, order, 8, path)
+    out = scratch_path(spark, "bucketed_funnel")
+    bucketed_funnel(spark, names["session_vwap"], names["setup_outcomes"]).write.parquet(out)
+    for table in names.values():  # external tables: their files stay, the names go
+        spark.sql(f"DROP TABLE {table}")
+    return spark.read.parquet(out)
+
+
+def bucketed_funnel(spark, vwap_table: str, outcomes_table: str) -> DataFrame:
+    """The funnel over two bucketed tables."""
+    features = intermediate.session_features(intermediate.bars_exhaustion(spark.table(vwap_table)))
+    return marts.setup_funnel(spark.table(outcomes_table), features)
+
+
 def rebuild_roundtrip(spark, d):
     """A table written with all days and rebuilt with fewer holds the fewer; a rebuilt range leaves the other days.
 
@@ -414,6 +444,7 @@ REGISTRY: dict[str, Query] = {
     "source_profile": source_profile,
     "malformed_bars": malformed_bars,
     "signals_outside_hours": signals_outside_hours,
+    "signals_outside_planted": signals_outside_planted,
     "dq_summary": dq_summary,
     "bar_grain": bar_grain,
     # ingest
@@ -421,6 +452,7 @@ REGISTRY: dict[str, Query] = {
     "partitioned_roundtrip": partitioned_roundtrip,
     "seed_csv_roundtrip": seed_csv_roundtrip,
     "rebuild_roundtrip": rebuild_roundtrip,
+    "bucketed_sessions": bucketed_sessions,
     "failed_load_keeps_table": failed_load_keeps_table,
     "first_file_per_symbol": first_file_per_symbol,
     "seed_files_by_header": seed_files_by_header,

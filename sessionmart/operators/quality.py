@@ -8,11 +8,19 @@ A check is declared once (``Check``) and has two readings:
   (check_name, model, severity, violations, status) as a DataFrame.
 
 The summary takes one pass over each model and one shuffle for all checks. A
-row emits an entry (check, key) for every key check it takes part in and for
+row emits an entry for every key check it takes part in and for
 every row-level check it violates; a parent row of a reference check emits its
 key. Entries are counted per (check, key) -- partial counts first, so a key or a
 violation shared by very many rows collapses in each task -- and the counts per
-check follow from them. Nothing is run while the query is built.
+check follow from them.
+
+Uniqueness is found in two exact phases. The pass above counts 64-bit hashes in
+place of the keys, so no key text is shuffled: a hash seen once proves its key
+unique. Only if some hash was seen more often, a second pass over those models
+takes the keys with such hashes (a semi join; the hashes are read from a
+written table, so they are broadcast only while their size allows) and counts
+them by their text. What the first pass found is written when the query is
+built.
 
 Failure counts follow the usual generic-test semantics:
   not_null            rows where the column is NULL
@@ -31,6 +39,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionmart.config import scratch_path
 from sessionmart.operators.joins import anti_join
 
 NOT_NULL = "not_null"
@@ -128,14 +137,31 @@ def _key_text(*cols: str) -> Column:
     return F.concat(*parts)
 
 
-def _entry(i: int, when: Column | None, key: Column | None, child: int = 1, parent: int = 0) -> Column:
-    e = F.struct(F.lit(i).alias("check_id"), (F.lit(None) if key is None else key).cast("string").alias("key"),
+def _entry(i: int, when: Column | None, key: Column | None, child: int = 1, parent: int = 0, hash_: Column | None = None) -> Column:
+    e = F.struct(F.lit(i).alias("check_id"), (F.lit(None) if hash_ is None else hash_).cast("bigint").alias("hash"),
+                 (F.lit(None) if key is None else key).cast("string").alias("key"),
                  F.lit(child).cast("bigint").alias("n"), F.lit(parent).cast("bigint").alias("parents"))
     return e if when is None else F.when(when, e)
 
 
+def _unique_entry(i: int, check: Check, with_key: bool) -> Column:
+    """A row's key in a uniqueness check: its hash, and on demand its text."""
+    whole = F.col(check.columns[0]) if check.kind == UNIQUE else _key_text(*check.columns)
+    return _entry(i, F.col(check.columns[0]).isNotNull() if check.kind == UNIQUE else None, whole if with_key else None,
+                  hash_=F.xxhash64(*check.columns))
+
+
+def _emitted(by_model: Mapping[str, Sequence[Column]], models: Mapping[str, DataFrame]) -> DataFrame:
+    out = None
+    for model, entries in by_model.items():
+        found = F.filter(F.array(*entries), lambda e: e.isNotNull())
+        rows = models[model].select(F.inline(found))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _entries(checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
-    """(check_id, key, n, parents) of all checks, one pass over each model."""
+    """(check_id, hash, key, n, parents) of all checks, one pass over each model; a uniqueness check gives hashes only."""
     by_model: dict[str, list[Column]] = {}
     for i, ch in enumerate(checks):
         mine = by_model.setdefault(ch.model, [])
@@ -143,22 +169,26 @@ def _entries(checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFr
             mine.append(_entry(i, _row_predicate(ch, models[ch.model]), None))
         elif ch.kind == ACCEPTED_VALUES:
             mine.append(_entry(i, _row_predicate(ch, models[ch.model]), F.col(ch.columns[0])))
-        elif ch.kind == UNIQUE:
-            mine.append(_entry(i, F.col(ch.columns[0]).isNotNull(), F.col(ch.columns[0])))
-        elif ch.kind == UNIQUE_COMBINATION:
-            mine.append(_entry(i, None, _key_text(*ch.columns)))
+        elif ch.kind in (UNIQUE, UNIQUE_COMBINATION):
+            mine.append(_unique_entry(i, ch, with_key=False))
         elif ch.kind == RELATIONSHIPS:
             mine.append(_entry(i, F.col(ch.columns[0]).isNotNull(), F.col(ch.columns[0])))
             by_model.setdefault(ch.to_model, []).append(
                 _entry(i, F.col(ch.to_field).isNotNull(), F.col(ch.to_field), child=0, parent=1))
         else:
             raise ValueError(f"unknown check kind {ch.kind!r}")
-    out = None
-    for model, entries in by_model.items():
-        found = F.filter(F.array(*entries), lambda e: e.isNotNull())
-        rows = models[model].select(F.inline(found))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    return _emitted(by_model, models)
+
+
+def _repeated_keys(checks: Sequence[Check], models: Mapping[str, DataFrame], repeated: DataFrame) -> DataFrame:
+    """(check_id, found): keys that occur more than once, among those whose hashes do (``repeated``: check_id, hash)."""
+    by_model: dict[str, list[Column]] = {}
+    for i, ch in enumerate(checks):
+        if ch.kind in (UNIQUE, UNIQUE_COMBINATION):
+            by_model.setdefault(ch.model, []).append(_unique_entry(i, ch, with_key=True))
+    return (_emitted(by_model, models).join(repeated, ["check_id", "hash"], "left_semi")
+            .groupBy("check_id", "key").agg(F.sum("n").alias("n")).where("n > 1")
+            .groupBy("check_id").agg(F.count(F.lit(1)).alias("found")))
 
 
 def run_checks(checks: Sequence[Check], models: Mapping[str, DataFrame],
@@ -182,7 +212,8 @@ def run_checks(checks: Sequence[Check], models: Mapping[str, DataFrame],
             source.append(len(counted) - 1)
         else:
             source.append(at[key])
-    per_key = (_entries(counted, models).groupBy("check_id", "key")
+    spark = models[checks[0].model].sparkSession
+    per_key = (_entries(counted, models).groupBy("check_id", "hash", "key")
                .agg(F.sum("n").alias("n"), F.sum("parents").alias("parents")))
     kinds = [c.kind for c in counted]
 
@@ -192,8 +223,14 @@ def run_checks(checks: Sequence[Check], models: Mapping[str, DataFrame],
                .when(of(ACCEPTED_VALUES), F.lit(1).cast("bigint"))
                .when(of(RELATIONSHIPS), F.when(F.col("parents") == 0, F.col("n")).otherwise(F.lit(0)))
                .otherwise(F.col("n")))
-    counts = per_key.groupBy("check_id").agg(F.sum(failing).alias("found"))
-    listed = models[checks[0].model].sparkSession.createDataFrame(
+    first = scratch_path(spark, "check-counts")
+    (per_key.select("check_id", "hash", failing.alias("failing")).where("failing > 0")
+     .groupBy("check_id", "hash").agg(F.sum("failing").alias("found")).write.parquet(first))
+    first = spark.read.parquet(first)
+    counts, repeated = first.where("hash is null").select("check_id", "found"), first.where("hash is not null").select("check_id", "hash")
+    if not repeated.isEmpty():
+        counts = counts.union(_repeated_keys(counted, models, repeated))
+    listed = spark.createDataFrame(
         [(c.name, c.model, c.severity, s) for c, s in zip(checks, source)],
         "check_name string, model string, severity string, check_id int")
     violations = F.coalesce("found", F.lit(0)).cast("bigint")

@@ -510,6 +510,10 @@ ORACLE: dict[str, str] = {
         "signal_candidates",
         ["bar_key", "symbol", "session_date", "bar_ts_utc", "bar_ts_et", "bar_time_et"],
         "bar_time_et < '09:45:00.000000' OR bar_time_et > '14:00:00.000000'"),
+    "signals_outside_planted": select(
+        "bars_exhaustion",
+        ["bar_key", "symbol", "session_date", "bar_ts_utc", "bar_ts_et", "bar_time_et"],
+        "criteria_met >= 2 AND (bar_time_et < '09:45:00.000000' OR bar_time_et > '14:00:00.000000')"),
     "dq_summary": _dq_summary(),
     "bar_grain": _bar_grain(),
     # ingest
@@ -529,6 +533,7 @@ ORACLE: dict[str, str] = {
            GROUP BY CAST("timestamp" AS DATE)""",
         ["utc_date", "rows", "symbols", "volume"]),
     "rebuild_roundtrip": _rebuilt(),
+    "bucketed_sessions": select("setup_funnel", FUNNEL),
     "seed_reordered_csv": select("stg_results", STG_RESULTS),
     "seed_files_by_header": select("stg_results", STG_RESULTS),
     "failed_load_keeps_table": over(

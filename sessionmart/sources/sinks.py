@@ -74,6 +74,20 @@ def write_partitioned(df: DataFrame, target: str, partition_col: str = "session_
     _partitioned(df, partition_col, cluster_by, mode, "static", target)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], sort_by: Sequence[str], buckets: int, path: str | None = None) -> None:
+    """A catalog table whose files are dealt by hash of ``keys``, sorted inside by ``sort_by`` (full rebuild).
+
+    Windows, aggregates and joins on these keys read it without an Exchange, again and again: the one shuffle is paid when it is
+    written. Two tables with the same number of buckets join that way. ``keys`` should be as fine as the work on the table allows
+    (a session, not a symbol), so that no bucket grows with one hot value. With ``path`` the table is external.
+    """
+    if not is_table(table):
+        raise ValueError(f"only a catalog table keeps its buckets, got {table!r}")
+    w = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("compression", "snappy")
+         .bucketBy(buckets, *keys).sortBy(*sort_by))
+    (w.option("path", path) if path else w).saveAsTable(table)
+
+
 def publish(spark: SparkSession, target: str, write: Callable[[str], None], verify: Callable[[DataFrame], T]) -> T:
     """Write, verify, publish: ``target`` changes only if ``verify`` accepts the new rows.
 

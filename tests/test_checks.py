@@ -114,6 +114,19 @@ def test_key_checks_are_exact(spark):
     assert _count(ch, {"m": odd})[0] == 0
 
 
+def test_key_text_is_counted_only_where_hashes_repeat(spark):
+    # a missing value is skipped by the hash, so these keys share theirs and differ all the same
+    odd = spark.createDataFrame([(None, "x"), ("x", None), ("a", "b"), ("a", "b"), ("c", None), ("c", None)], "a string, b string")
+    ch = Q.unique_combination("m", ("a", "b"))
+    entries = Q._entries([ch], {"m": odd})
+    assert entries.where("key is not null").isEmpty() and entries.select("hash").distinct().count() == 3
+    assert _count(ch, {"m": odd})[0] == 2
+    clean = spark.range(1000).selectExpr("cast(id as string) as a")
+    plan = Q.run_checks([Q.unique("m", "a")], {"m": clean})._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan  # all hashes differ: no second pass over the model
+    assert _count(Q.unique("m", "a"), {"m": clean.union(clean.limit(3))})[0] == 3
+
+
 def test_key_checks_on_a_view_take_the_base_result(spark):
     df = spark.createDataFrame([(1,), (1,)], "a int")
     checks = [Q.unique("base", "a"), Q.unique("view", "a"), Q.not_null("view", "a")]

@@ -9,12 +9,13 @@ import pytest
 
 from conftest import SF001
 from sessionmart import catalog
+from sessionmart.sources import sinks
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 # Window partition keys allowed: a session or a UTC day of one symbol; the
 # grain check also windows one symbol's day-level table (one row per day).
-WINDOW_KEYS = ({"symbol", "session_date"}, {"symbol", "utc_date"})
+WINDOW_KEYS = ({"symbol", "session_date"}, {"symbol", "utc_date"}, {"symbol", "session_date", "session_chunk"})
 
 
 def _plan(spark, name):
@@ -42,7 +43,8 @@ def test_plan_guards(spark, name):
 
 # Queries that write a table and read it back; all others only plan.
 WRITERS = {"dq_summary", "dq_planted", "single_day_volume", "partitioned_roundtrip", "rebuild_roundtrip", "seed_csv_roundtrip",
-           "seed_reordered_csv", "universe_from_csv"}
+           "seed_reordered_csv", "universe_from_csv", "seed_files_by_header", "failed_load_keeps_table", "first_file_per_symbol",
+           "long_session_windows", "bucketed_sessions"}
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.queries()) - WRITERS))
@@ -90,3 +92,22 @@ def test_funnel_key_reduction_sits_below_the_window_exchange(spark):
                     if "Exchange hashpartitioning(symbol" in ln and "session_date" in ln)
     semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln)
     assert semi > exchange        # deeper in the tree = runs before the window shuffle
+
+
+def test_bucketed_sessions_need_no_exchange(spark, tmp_dir):
+    sinks.create_layers(spark, prefix="smbucket")
+    m = catalog.models(spark, SF001)
+    tables = {"session_vwap": ("session_date", "bar_ts_utc"), "setup_outcomes": ("setup_date",)}
+    for name, rest in tables.items():
+        sinks.write_bucketed(m[name], f"smbucket_raw.{name}", ("symbol", rest[0]), ("symbol", *rest), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        funnel = catalog.bucketed_funnel(spark, "smbucket_raw.session_vwap", "smbucket_raw.setup_outcomes")
+        rows = funnel.collect()
+        plan = funnel._jdf.queryExecution().executedPlan().toString()  # after it ran, adaptive execution on
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "isFinalPlan=true" in plan and "Exchange" not in plan and "Window" in plan and "SortMergeJoin" in plan
+    assert sorted(map(str, rows)) == sorted(map(str, m["setup_funnel"].select(funnel.columns).collect()))
+    with pytest.raises(ValueError):
+        sinks.write_bucketed(m["session_vwap"], "/a/path", ("symbol",), ("symbol",), 4)
