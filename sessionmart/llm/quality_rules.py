@@ -49,16 +49,17 @@ def line_hash(norm: Column) -> Column:
     return F.substring(F.md5(norm.cast("binary")), 1, 16)
 
 
-def line_edges(norm: Column) -> Column:
+def line_edges(words: Column) -> Column:
     """Hashes by which a line and its edits meet: of its first and last two thirds and of both outer thirds, with the number of
-    words; then the same as if it had one word less or more. None for a short line."""
-    n = F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit(""))) + 1
-
-    def of(words: Column) -> list[Column]:
-        third = F.ceil(words / 3).cast("int")
-        head = lambda k: F.call_function("substring_index", norm, F.lit(" "), k)
-        parts = ((F.lit("head"), head(words - third)), (F.lit("tail"), head(third - words)), (head(third), head(-third)))
-        return [F.when(words >= EDIT_WORDS, F.hash(words, *p)) for p in parts]
+    words; then the same as if it had one word less or more. None for a short line. ``words``: hashes of its words."""
+    n = F.size(words)
+
+    def of(m: Column) -> list[Column]:
+        third = F.ceil(m / 3).cast("int")
+        head = lambda k: F.slice(words, F.lit(1), k)
+        tail = lambda k: F.slice(words, n - k + 1, k)
+        parts = ((F.lit("head"), head(m - third)), (F.lit("tail"), tail(m - third)), (head(third), tail(third)))
+        return [F.when(m >= EDIT_WORDS, F.hash(m, *p)) for p in parts]
     return F.when(n >= EDIT_WORDS - 1, F.array(*of(n), *of(n - 1), *of(n + 1)))
 
 
@@ -98,13 +99,13 @@ def measure(docs: DataFrame) -> DataFrame:
     df = df.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: _trim(x) != ""))
     df = df.withColumn("norms", F.transform("lines", _norm))
     df = df.withColumn("hashes", F.transform("norms", line_hash))
+    df = df.withColumn("marks", F.transform("norms", lambda x: F.transform(F.split(x, " "), lambda w: F.hash(w))))
     return df.select(
         "doc_id", "host", "row", "n_words", F.length(_without(F.col("text"), SPACE)).cast("long").alias("word_chars"),
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words",
         F.xxhash64(F.sort_array(F.array_distinct("hashes"))).alias("copy"), "hashes",
-        F.transform("norms", line_edges).alias("edges"),
-        F.transform("norms", lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("line_words"))
+        F.transform("marks", line_edges).alias("edges"), F.transform("marks", lambda x: F.size(x)).alias("line_words"))
 
 
 def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, host_percent: float = HOST_PERCENT) -> tuple[DataFrame, DataFrame]:
