@@ -20,7 +20,8 @@ unique. Only if some hash was seen more often, a second pass over those models
 takes the keys with such hashes (a semi join; the hashes are read from a
 written table, so they are broadcast only while their size allows) and counts
 them by their text. What the first pass found is written when the query is
-built.
+built. Both passes must see the same rows, as tables and scans give them; a model
+with a random or unordered ``limit`` in it is to be written first.
 
 Failure counts follow the usual generic-test semantics:
   not_null            rows where the column is NULL

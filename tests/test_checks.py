@@ -87,7 +87,7 @@ def test_suite_has_42_checks_and_passes_on_test_tables(spark):
 
 def test_suite_fires_on_duplicated_bars(spark):
     bars, setups, results = testdata.load_inputs(spark, SF001)
-    doubled = bars.unionByName(bars.limit(3))
+    doubled = bars.unionByName(bars.orderBy("symbol", "timestamp").limit(3))  # the same rows in every pass
     res = quality_suite.run_suite(pipeline.build_models(doubled, setups, results))
     fails = {r["check_name"]: r["violations"] for r in res.where("status = 'fail'").collect()}
     assert fails.get("unique_stg_bars_bar_key") == 3

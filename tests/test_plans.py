@@ -34,7 +34,7 @@ def test_plan_guards(spark, name):
         assert bad not in plan, f"{name}: {bad}"
     for spec in re.findall(r"windowspecdefinition\(([^)]*?)(?:,\s*\w+#\d+\s+(?:ASC|DESC)|,\s*specifiedwindowframe)", plan):
         keys = {re.sub(r"#\d+L?$", "", k.strip()) for k in spec.split(",")}
-        allowed = WINDOW_KEYS + (({"symbol"},) if name == "bar_grain" else ())
+        allowed = WINDOW_KEYS + {"bar_grain": ({"symbol"},), "long_session_windows": ({"symbol", "session_chunk"},)}.get(name, ())  # one planted date
         assert keys in allowed, f"{name}: window partitioned by {keys}"
     specs = re.findall(r"windowspecdefinition", plan)
     if name in ("signal_candidates", "session_features", "bars_exhaustion"):
