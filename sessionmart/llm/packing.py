@@ -54,7 +54,7 @@ class UnitEncoder:
                          and not before.get("add_prefix_space"))
         self.space, self.values = is_space(), byte_values()
         self.up, self.down = powers(1 << 16)
-        self.odd = re.compile("|".join([WIDE_SPACE, *(re.escape(x["content"]) for x in shape["added_tokens"])]))
+        self.wide, self.added = re.compile(WIDE_SPACE), [x["content"] for x in shape["added_tokens"]]
         self.feed = int(self.whole("\n")[0]) if self.by_units else -1
         ascii_ = np.arange(256)
         self.letter = ((ascii_ | 32) >= ord("a")) & ((ascii_ | 32) <= ord("z")) & (ascii_ < 128)
@@ -119,7 +119,7 @@ class UnitEncoder:
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_units:
             return [self.whole(t) for t in texts]
-        plain = [None if self.odd.search(t) else t for t in texts]
+        plain = [None if any(a in t for a in self.added) or not t.isascii() and self.wide.search(t) else t for t in texts]
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in plain]
         first = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(b) + 1 for b in raw], out=first[1:])
