@@ -50,9 +50,10 @@ def _micros(c: str) -> Column:
 
 @dataclass(frozen=True)
 class LongSessions:
-    """Cuts of the long sessions: symbol, session_date, cuts (ascending times in microseconds)."""
+    """Cuts of the long sessions: symbol, session_date, cuts (ascending times in microseconds, fewer than ``pieces``)."""
 
     cuts: DataFrame
+    pieces: int = PIECES
 
     @classmethod
     def find(cls, bars: DataFrame, chunk_bars: int, pieces: int = PIECES) -> LongSessions:
@@ -64,11 +65,13 @@ class LongSessions:
         # of all marks, every k-th: as many as give chunks of about chunk_bars bars
         every = F.greatest(F.lit(1), F.floor(F.lit(pieces) * chunk_bars / F.col("n"))).cast("int")
         cuts = F.array_distinct(F.filter("marks", lambda m, i: (i + 1) % every == 0))
-        return cls(_written(marks.select(*SESSION_KEYS, cuts.alias("cuts")), "session-cuts"))
+        return cls(_written(marks.select(*SESSION_KEYS, cuts.alias("cuts")), "session-cuts"), pieces)
 
     def tag(self, bars: DataFrame) -> DataFrame:
         """``bars`` with their chunk (from 0 on; null: not a long session)."""
-        chunk = F.size(F.filter("cuts", lambda c: c <= _micros(BAR_ORDER)))
+        # the number of cuts up to the bar's time, by binary search: comparisons grow with the logarithm of the cuts
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(self.pieces.bit_length()))])
+        chunk = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get("cuts", n + step - 1) <= _micros(BAR_ORDER), n + step).otherwise(n))
         return _with(bars, self.cuts, SESSION_KEYS, "left").withColumn(CHUNK, F.when(F.col("cuts").isNotNull(), chunk)).drop("cuts")
 
     def running(self, bars: DataFrame, figures: Mapping[str, tuple[str, Column | str]]) -> DataFrame:

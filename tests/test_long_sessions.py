@@ -85,3 +85,17 @@ def test_the_models_are_the_same_in_chunks(spark):
         assert a[name].columns == b[name].columns
         x, y = (canonical(m[name].columns, [tuple(r) for r in m[name].collect()]) for m in (a, b))
         assert x == y and x[1]
+
+
+def test_a_bar_finds_its_chunk_by_binary_search(spark):
+    day, noon = dt.date(2024, 3, 5), dt.datetime(2024, 3, 5, 12)
+    marks = [10 * k for k in range(1, 256)]
+    cuts = spark.createDataFrame([("A", day, [int(noon.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6) + m for m in marks])],
+                                 "symbol string, session_date date, cuts array<long>")
+    bars = spark.createDataFrame([("A", day, noon + dt.timedelta(microseconds=k)) for k in range(0, 2600, 5)] + [("A", day, None), ("B", day, noon)],
+                                 "symbol string, session_date date, bar_ts_utc timestamp_ntz")
+    tagged = LongSessions(cuts, 256).tag(bars)
+    got = {(r.symbol, r.bar_ts_utc): r[CHUNK] for r in tagged.collect()}
+    assert got.pop(("B", noon)) is None and got.pop(("A", None)) == 0
+    assert got == {("A", noon + dt.timedelta(microseconds=k)): sum(m <= k for m in marks) for k in range(0, 2600, 5)}
+    assert "filter(cuts" not in tagged._jdf.queryExecution().optimizedPlan().toString()  # no bar is compared with every cut
