@@ -35,7 +35,16 @@ from .textops import U64, byte_values, chunks, is_space, mix, powers
 
 #: White space beyond ASCII (Unicode White_Space).
 WIDE_SPACE = "[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_KNOWN = 600_000
+#: A word of Latin letters, with its space: one pre-token.
+LETTERS = " ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+_KNOWN, _TOGETHER, _CHARS = 600_000, 200, 1_000_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in same]
+    return {b: chr(b) for b in same} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class UnitEncoder:
@@ -52,6 +61,12 @@ class UnitEncoder:
         before = shape["pre_tokenizer"] or {}
         self.by_units = (shape["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
                          and not before.get("add_prefix_space"))
+        vocab = self.tok.get_vocab()
+        self.byte_letters = _byte_letters()
+        self.model = Tokenizer(self.tok.model) if self.by_units and all(c in vocab for c in self.byte_letters.values()) else None
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token
+        self.size[list(vocab.values())] = [len(t) for t in vocab]
+        self.letters = re.compile(LETTERS)
         self.space, self.values = is_space(), byte_values()
         self.up, self.down = powers(1 << 16)
         self.wide, self.added = re.compile(WIDE_SPACE), [x["content"] for x in shape["added_tokens"]]
@@ -63,7 +78,7 @@ class UnitEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known, self.slot = np.zeros(0, U64), np.zeros(0, np.int64)  # hashes of units in ascending order, and their places in ``off``
         self.flat = np.zeros(1 << 16, np.uint32)
         self.off = np.zeros(1 << 16, np.int64)
 
@@ -91,41 +106,61 @@ class UnitEncoder:
         mark[1:-1] |= self.letter[buf[:-1]] & self.mark[buf[1:]]  # letters end where ASCII punctuation starts
         return np.flatnonzero(mark)
 
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are one pre-token each, end to end, and their number for each word: the model alone, without the pre-tokeniser."""
+        spelt = b"\n".join(words).decode("latin-1").translate(self.byte_letters).split(self.byte_letters[10])
+        ids = np.array(self.model.encode_batch_fast([spelt], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        ends, to = np.cumsum([len(w) for w in words]), np.cumsum(self.size[ids])
+        assert ends[-1] == to[-1]
+        return ids, np.diff(np.searchsorted(to, ends, side="right"), prepend=0)
+
+    def _lines(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any units but white space, as lines of one text: each line feed is a token of its own."""
+        ids = self.whole((b"\n" + b"\n".join(units)).decode("utf-8", "surrogatepass"))
+        feed = np.flatnonzero(ids == self.feed)
+        assert len(feed) == len(units)
+        return np.delete(ids, feed), np.diff(np.append(feed, len(ids))) - 1
+
     def _learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
-        """Encode new units. Words go in one text, divided by line feeds, each of which is a token of its own."""
-        for space in (False, True):
-            some = [i for i, u in enumerate(units) if u.isspace() == space]
-            if not some:
-                continue
-            if space:
-                ids = [self.whole(units[i].decode()) for i in some]
-                flat, lens = np.concatenate(ids), np.array([len(x) for x in ids])
-            else:
-                text = b"\n" + b"\n".join(units[i] for i in some)
-                ids = self.whole(text.decode("utf-8", "surrogatepass"))
-                feed = np.flatnonzero(ids == self.feed)
-                flat, lens = np.delete(ids, feed), np.diff(np.append(feed, len(ids))) - 1
-                assert len(feed) == len(some)
-            at = len(self.known)
-            while at + len(some) + 1 > len(self.off):
-                self.off = np.concatenate((self.off, np.zeros_like(self.off)))
-            self.off[at + 1:at + 1 + len(some)] = self.off[at] + np.cumsum(lens)
-            total = int(self.off[at + len(some)])
-            while total > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-            self.flat[self.off[at]:total] = flat
-            self.known.update(zip(hashes[some].tolist(), range(at, at + len(some))))
+        """Encode new units; ``hashes`` ascend."""
+        kinds: tuple[list[int], ...] = ([], [], [])
+        for i, u in enumerate(units):
+            kinds[2 if u.isspace() else 0 if self.model and self.letters.fullmatch(u.decode("utf-8", "surrogatepass")) else 1].append(i)
+        some = [self._words([units[i] for i in kinds[0][k:k + _TOGETHER]]) for k in range(0, len(kinds[0]), _TOGETHER)]
+        some += [self._lines([units[i] for i in kinds[1][k:k + _TOGETHER]]) for k in range(0, len(kinds[1]), _TOGETHER)]
+        some += [(ids, [len(ids)]) for ids in (self.whole(units[i].decode()) for i in kinds[2])]
+        at = len(self.known)
+        while at + len(units) + 1 > len(self.off):
+            self.off = np.concatenate((self.off, np.zeros_like(self.off)))
+        self.off[at + 1:at + 1 + len(units)] = self.off[at] + np.cumsum(np.concatenate([n for _, n in some]))
+        total = int(self.off[at + len(units)])
+        while total > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.flat[self.off[at]:total] = np.concatenate([ids for ids, _ in some])
+        slot = np.empty(len(units), np.int64)
+        slot[[i for kind in kinds for i in kind]] = np.arange(at, at + len(units))
+        to = np.searchsorted(self.known, hashes)
+        self.known, self.slot = np.insert(self.known, to, hashes), np.insert(self.slot, to, slot)
+
+    def _place(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index of each hash among the known ones, and whether it is there."""
+        at = np.searchsorted(self.known, hashes)
+        return at, self.known[np.minimum(at, len(self.known) - 1)] == hashes if len(self.known) else np.zeros(len(hashes), bool)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_units:
             return [self.whole(t) for t in texts]
+        return [ids for s in chunks(texts, _CHARS) for ids in self._encode(texts[s])]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [None if any(a in t for a in self.added) or not t.isascii() and self.wide.search(t) else t for t in texts]
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in plain]
         first = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(b) + 1 for b in raw], out=first[1:])
-        buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        data = b"\n".join(raw) + b"\n"
+        buf = np.frombuffer(data, np.uint8)
         if len(buf) > len(self.up):
-            self.up, self.down = powers(1 << int(len(buf)).bit_length())
+            self.up, self.down = powers(len(buf) + len(buf) // 8)
         start = self._units(buf, first)
         of = np.searchsorted(first, start, side="right") - 1
         nxt = np.append(start[1:], len(buf))
@@ -136,11 +171,10 @@ class UnitEncoder:
         uniq, where, code = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known) + len(uniq) > _KNOWN:
             self._forget()
-        new = [i for i, x in enumerate(uniq.tolist()) if x not in self.known]
-        if new:
-            data, a, b = buf.tobytes(), start[where[new]], end[where[new]]
-            self._learn(uniq[new], [data[i:j] for i, j in zip(a.tolist(), b.tolist())])
-        slot = np.fromiter((self.known[x] for x in uniq.tolist()), np.int64, len(uniq))[code]
+        new = np.flatnonzero(~self._place(uniq)[1])
+        if len(new):
+            self._learn(uniq[new], [data[i:j] for i, j in zip(start[where[new]].tolist(), end[where[new]].tolist())])
+        slot = self.slot[self._place(uniq)[0]][code]
         a, n = self.off[slot], self.off[slot + 1] - self.off[slot]
         to = np.concatenate(([0], np.cumsum(n)))
         flat = self.flat[np.repeat(a - to[:-1], n) + np.arange(to[-1])]

@@ -25,6 +25,19 @@ def test_unit_lookup_gives_the_tokenizers_ids():
     assert plain_ids("end <|endoftext|> start") == [437, 220, 50256, 923]
 
 
+def test_new_latin_words_skip_the_pre_tokeniser_and_units_take_few_bytes(monkeypatch):
+    r = random.Random(6)
+    enc, seen = UnitEncoder(tokenizer_file()), []
+    whole = enc.whole
+    monkeypatch.setattr(enc, "whole", lambda t: seen.append(t) or whole(t))
+    words = ["".join(r.choices("abcdeXYZéüßñČőƀɏ", k=r.randint(1, 12))) for _ in range(3000)]
+    texts = [" ".join(words[i:i + 100]) for i in range(0, 3000, 100)] + ["don't stop", "x1 2y ×÷ª ǃa ɐb", "日本 語x", "a" * 1_500_000]
+    for t, ids in zip(texts, enc(texts)):
+        assert ids.tolist() == plain_ids(t), t[:50]
+    assert not any(w in t for t in seen for w in words if len(w) > 4)
+    assert enc.known.nbytes + enc.slot.nbytes == 16 * len(enc.known) > 16 * 2000
+
+
 def test_other_pre_tokenisers_are_encoded_whole():
     path = tokenizer_file("word_bpe_49k.json")
     enc, tok = UnitEncoder(path), Tokenizer.from_file(path)
