@@ -44,3 +44,11 @@ def test_chunks_cover_every_text():
     got = [i for s in chunks(texts, 60) for i in range(len(texts))[s]]
     assert got == list(range(len(texts)))
     assert list(chunks([], 10)) == []
+
+
+def test_hash_tables_are_little_longer_than_the_texts():
+    hasher = WordHasher()
+    for n in (70_000, 1_100_000):
+        words = hasher(["ab " * (n // 3), "ab"])
+        assert len(words.buf) <= len(hasher.up) == len(hasher.down) <= 1.2 * len(words.buf)
+        assert (words.hash == words.hash[0]).all()
